@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, url_filter, warc
 
 QUERIES = {
+    "op1_url_filters": url_filter.op1_url_filters,
+    "op2_warc": warc.op2_warc,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
 }
 
 ORACLES = {
+    "op2_warc": warc.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
 }
