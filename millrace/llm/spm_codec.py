@@ -7,8 +7,9 @@ the best path is not a sum of scores: an edge may follow the last piece of the b
 pieces could stand side by side in a BPE result, which the merge ranks decide. There is exactly one such
 edge into every position, so one pass gives the library's own result. Characters without a piece become byte pieces.
 
-Words are cut before each U+2581 (space); no piece of the model but pure runs of U+2581 reaches across. Runs
-have pieces of equal rank; they are merged leftmost first.
+Words are cut before each U+2581 (space), around line feeds and before a punctuation mark behind a letter, wherever
+no piece of the model reaches across but pure runs of U+2581. Runs have pieces of equal rank; they are merged
+leftmost first.
 
 Defined results: a null text has null ids, null count and null round trip; an empty text has no ids; the round trip
 is false for texts that hold U+2581 itself, which decodes to a space; rows that repeat are encoded one by
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +32,12 @@ from pyspark.sql.types import StructType
 from .common import table
 
 SPACE = "▁"
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 22
 MAX_CACHED_WORDS, MAX_CACHED_CHARS = 300_000, 1 << 23
 UNKNOWN = -1
+MARKS = ".,;:!?"
+#: Characters that may stand between units while a text is cut; one that the texts don't hold is taken.
+SEPARATORS = "\ufffe\uffff\ufdd0\ufdd1\ufdd2"
 
 
 def default_model() -> str:
@@ -71,6 +76,13 @@ class Vocabulary:
         self.rank = {p: r for r, p in enumerate(self.pieces)}
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
         self.longest = int(self.lengths.max())
+        inner = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
+        letters = [p for p in self.pieces if len(p) == 1 and p.isalpha()]
+        marks = [c for c in MARKS if c in self.rank]
+        safe = "".join(x for x in letters if not any(x + c in inner for c in marks))
+        #: A mark behind a letter with which it stands together in no piece.
+        self.cut = re.compile(f"[{re.escape(''.join(marks))}](?<=[{re.escape(safe)}].)", re.S) if marks and safe else None
+        self.cut_lines = "\n" not in self.rank
         left, right, merged, self.left, self.right = [], [], [], np.arange(len(known)), np.arange(len(known))
         for r, p in enumerate(self.pieces):
             pairs = [(self.rank[p[:k]], self.rank[p[k:]]) for k in range(1, len(p)) if p[:k] in self.rank and p[k:] in self.rank]
@@ -180,11 +192,28 @@ class Encoder:
         self.matrix = np.zeros((len(piece_sizes), self.vocabulary.longest), np.int64)
         for r, c in enumerate(self.piece_codes):
             self.matrix[r, : len(c)] = c
+        self.piece_alphabet, self.matrix = np.unique(self.matrix, return_inverse=True)
+        self.inside = np.arange(self.vocabulary.longest) < self.vocabulary.lengths[:, None]
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.starts, self.sizes, self.chars = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        self.index: dict[str, int] = {"": 0}
+        self.flat, self.starts, self.sizes, self.chars = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64), 0
+
+    def units(self, text: str) -> list[str]:
+        """The text with its leading space, cut where no piece reaches across."""
+        if not text:
+            return []
+        mark = next((c for c in SEPARATORS if c not in text), None)
+        text = SPACE + text.replace(" ", SPACE)
+        if mark is None:
+            return re.findall(f"{SPACE}?[^{SPACE}]*", text)
+        text = text.replace(SPACE, mark + SPACE)
+        if self.vocabulary.cut_lines:
+            text = text.replace("\n", f"{mark}\n{mark}")
+        if self.vocabulary.cut:
+            text = self.vocabulary.cut.sub(mark + r"\g<0>", text)
+        return text.split(mark)
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, rank) of every occurrence of every piece."""
@@ -194,11 +223,12 @@ class Encoder:
         keys = suffix_keys(np.searchsorted(alphabet, codes), bits, v.longest)
         order = np.lexsort(keys[::-1])
         keys = [k[order] for k in keys]
-        at = np.minimum(np.searchsorted(alphabet, self.matrix), len(alphabet) - 1)
-        inside = np.arange(v.longest) < v.lengths[:, None]
-        usable = np.flatnonzero(((alphabet[at] == self.matrix) | ~inside).all(axis=1))
-        low, high = at[usable].copy(), at[usable].copy()
-        low[~inside[usable]], high[~inside[usable]] = 0, (1 << bits) - 1
+        place = np.minimum(np.searchsorted(alphabet, self.piece_alphabet), len(alphabet) - 1)
+        present = (alphabet[place] == self.piece_alphabet) | (self.piece_alphabet == 0)
+        usable = np.flatnonzero(present[self.matrix].all(axis=1))
+        inside = self.inside[usable]
+        at = place[self.matrix[usable]]
+        low, high = np.where(inside, at, 0), np.where(inside, at, (1 << bits) - 1)
         pack = lambda m: [functools.reduce(lambda a, k: (a << bits) | (m[:, k] if k < v.longest else 0), range(s, s + 63 // bits), np.zeros(len(m), np.int64)) for s in range(0, v.longest, 63 // bits)]
         first, last = bisect(keys, pack(low), False), bisect(keys, pack(high), True)
         counts = last - first
@@ -207,10 +237,10 @@ class Encoder:
         return order[spots], np.repeat(usable, counts)
 
     def learn(self, words: list[str]) -> None:
-        """Encode new words, each behind one U+2581, and keep the results."""
+        """Encode new units and keep the results."""
         v = self.vocabulary
-        codes = np.frombuffer("".join(f"{SPACE}{w}\0" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        sizes = np.array([len(w) + 1 for w in words], np.int64)
+        codes = np.frombuffer(("\0".join(words) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
         begin = np.cumsum(sizes + 1) - sizes - 1
         separators = begin + sizes
         # A null character inside a word is no separator: it has no piece, and gets a code that no piece has.
@@ -268,12 +298,12 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text)."""
         v = self.vocabulary
-        split = [t.replace(" ", SPACE).split(SPACE) if t else [] for t in texts]
+        split = [self.units(t) for t in texts]
         words = set().union(*split)
-        words.discard("")
+        words.discard(SPACE)
         if len(self.index) > MAX_CACHED_WORDS or self.chars > MAX_CACHED_CHARS:
             self.clear()
-        new = sorted(words.difference(self.index))
+        new = list(words.difference(self.index))
         if new:
             self.learn(new)
         # A run of spaces before a word is a unit of its own; so is one at the end.
@@ -283,15 +313,17 @@ class Encoder:
         lone, base, index = v.runs.get(1), len(self.index), self.index
         for k, parts in enumerate(split):
             at = len(units)
-            if "" not in parts:
+            if SPACE not in parts:
                 units += [index[w] for w in parts]
             else:
                 spaces = 0
                 for w in parts:
-                    if w:
+                    if w == "":
+                        continue
+                    if w != SPACE:
                         if spaces:
                             j = index[w]
-                            joined = lone is not None and self.flat[self.starts[j]] == lone
+                            joined = w[0] == SPACE and lone is not None and self.flat[self.starts[j]] == lone
                             units.append(base + len(runs))
                             runs.append(v.encode_run(spaces + joined) + (tuple(self.flat[self.starts[j] + 1 : self.starts[j] + self.sizes[j]].tolist()) if joined else tuple(self.flat[self.starts[j] : self.starts[j] + self.sizes[j]].tolist())))
                             spaces = 0
