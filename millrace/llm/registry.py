@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_extract, language_id, quality_cnn, spm_codec, url_filter, warc
+from . import decontaminate, exact_dedup, html_extract, language_id, pii, quality_cnn, spm_codec, url_filter, warc
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_warc": warc.op2_warc,
+    "op3_decontamination": decontaminate.op3_decontamination,
     "op4_quality": quality_cnn.op4_quality,
+    "op5_pii": pii.op5_pii,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_language_id": language_id.op7_language_id,
     "op8_sentencepiece": spm_codec.op8_sentencepiece,
@@ -16,5 +18,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_warc": warc.ORACLE,
+    "op3_decontamination": decontaminate.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
 }
