@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructType
 
 from .common import table
 
@@ -380,7 +380,7 @@ def encode_texts(docs: DataFrame, model_file: str | None = None, text_col: str =
     with open(model_file or default_model(), "rb") as f:
         model = f.read()
     slim = docs.select(*keep, F.col(text_col).alias("__text"))
-    schema = StructType(list(slim.select(*keep).schema)).add("ids", "array<int>").add("n_tokens", "int").add("round_trip", "boolean")
+    schema = StructType(list(slim.select(*keep).schema)).add("ids", ArrayType(IntegerType())).add("n_tokens", IntegerType()).add("round_trip", BooleanType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(model)
@@ -404,7 +404,7 @@ def decode_ids(rows: DataFrame, model_file: str | None = None, ids_col: str = "i
     with open(model_file or default_model(), "rb") as f:
         model = f.read()
     slim = rows.select(*keep, F.col(ids_col).alias("__ids"))
-    schema = StructType(list(slim.select(*keep).schema)).add("text", "string")
+    schema = StructType(list(slim.select(*keep).schema)).add("text", StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(model)
