@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_extract, language_id, pii, quality_cnn, spm_codec, url_filter, warc
+from . import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, pii, quality_cnn, spm_codec, url_filter, warc
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_language_id": language_id.op7_language_id,
     "op8_sentencepiece": spm_codec.op8_sentencepiece,
     "op9_html_extraction": html_extract.op9_html_extraction,
+    "op10_jaccard_join": jaccard_join.op10_jaccard_join,
 }
 
 ORACLES = {
