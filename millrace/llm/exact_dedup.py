@@ -120,10 +120,10 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     return out
 
 
-def keep_one(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, one for each group, with the columns of `docs`."""
     kept = decisions.where("kept").select(F.col(id_col).alias("__kept")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates([id_col])
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates([id_col, text_col])
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
