@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import generator_queries, model_queries, quality_queries, text_queries
+
+MODULES = (generator_queries, model_queries, quality_queries, text_queries)
+QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLES = {k: s for m in MODULES for k, s in m.ORACLES.items()}
