@@ -32,6 +32,8 @@ BLOCKED_WORDS = ("cheap", "pills", "casino", "win", "free", "bets", "spam", "far
 PLAIN_WORDS = ("news", "city", "garden", "music", "school", "library", "river", "museum", "science", "travel", "kitchen", "weather", "history", "sport", "forum", "open", "data", "docs", "art", "film", "book", "green", "mountain", "health", "theatre", "market", "letters", "village", "ocean", "bridge")
 SYLLABLES = ("th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it", "st", "io", "le", "is", "ou", "ar", "as", "de", "rt", "ve", "ing", "tion", "ble", "wh", "sh", "ly")
 ZONES = ("example.com", "example.org", "example.net", "com", "org", "net")
+#: Labels below which names are given out, as under a top-level domain.
+SECOND_LEVEL = ("example", "co", "com", "org", "net", "ac", "gov", "edu")
 PREFIXES = ("", "www.", "m.", "blog.")
 LANGS = ("en", "de", "fr", "es")
 TAILS = ("", "/", ".html", "#top", "?utm_source=feed", "?page=2&ref=x")
@@ -71,9 +73,10 @@ def lexical(df: DataFrame, url_col: str = "url") -> DataFrame:
     entropy = F.aggregate(F.filter(chars, lambda c: c != ""), F.lit(0.0), lambda a, c: a - (F.length("__host") - F.length(F.replace(F.col("__host"), c))) / size * F.log2((F.length("__host") - F.length(F.replace(F.col("__host"), c))) / size))
     query = F.regexp_extract("__url", r"\?([^#]*)", 1)
     labels = F.split("__host", r"\.")
-    # The site's own name: the label before a one- or two-label zone, else the first.
-    zone = F.when(F.size(labels) >= 3, F.concat_ws(".", F.element_at(labels, -2), F.element_at(labels, -1))).otherwise(F.element_at(labels, -1))
-    name = F.coalesce(F.try_element_at(labels, F.when(F.size(labels) >= 3, F.lit(-3)).otherwise(F.lit(-2))), F.col("__host"))
+    # The site's own name: the label before a one- or two-label zone, else the host.
+    double = (F.size(labels) >= 3) & F.get(labels, F.size(labels) - 2).isin(*SECOND_LEVEL)
+    zone = F.when(double, F.concat_ws(".", F.element_at(labels, -2), F.element_at(labels, -1))).otherwise(F.element_at(labels, -1))
+    name = F.coalesce(F.try_element_at(labels, F.when(double, F.lit(-3)).otherwise(F.lit(-2))), F.col("__host"))
     return df.withColumns({
         "url_length": F.length("__url").cast("double"), "host_length": F.length("__host").cast("double"), "path_length": F.length("__path").cast("double"),
         "path_depth": (F.length("__path") - F.length(F.replace(F.col("__path"), F.lit("/")))).cast("double"), "host_depth": F.size(labels).cast("double"),

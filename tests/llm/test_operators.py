@@ -1,0 +1,349 @@
+"""Small tests of the dealt operators: defined results for odd rows, and plainer versions to compare with."""
+
+import hashlib
+import json
+import random
+import re
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, pii, quality_cnn, spm_codec, url_filter, warc
+from millrace.llm.components import components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, host string, id long, w string"
+
+
+def docs_of(spark, rows):
+    """Documents with further columns whose names clash with results and helpers."""
+    return spark.createDataFrame([(i, t, lang, "s", 1, 9.0, "x", 7, "w") for i, t, lang in rows], DOCS)
+
+
+ODD = [(1, None, "en"), (2, "", "en"), (3, " \n\t ", None), (4, "Hello World", "en"), (5, "hello world", "en"), (4, "Hello World", "en"), (None, "no id", "en"), (None, None, None), (6, "x" * 200_000 + " end", "en"), (7, "a b c " * 20_000, "de")]
+
+
+def plain(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+# op1
+
+
+def test_url_parts_and_rules(spark):
+    urls = [("http://A.Example.COM/en/7?x", "a.example.com", "/en/7", "example.com/en/7", "allow"), ("http://a.com/en/x", "a.com", "/en/x", "com/en/", "block"), ("http://com/en/", "com", "/en/", "com/en/", "block"), ("http://xcom/en/", "xcom", "/en/", None, None),
+            ("https://x.net/de/8", "x.net", "/de/8", "net/de/", "block"), ("https://example.net/de/8#t", "example.net", "/de/8", "example.net/de/8", "allow"), (None, "", "", None, None), ("no scheme", "", "", None, None), ("a://b?c/d", "b", "", None, None), ("x://É.org/es/://y/z", "É.org", "/es/://y/z", "org/es/", "block"), ("", "", "", None, None), ("a\nb://h\nost/p", "h\nost", "/p", None, None)]
+    df = spark.createDataFrame([(i, u[0], "clash", 1.5) for i, u in enumerate(urls)], "page_id int, url string, host string, features double")
+    model = url_filter.train(url_filter.labelled_urls(spark, 600))
+    got = {r.page_id: r for r in url_filter.judge(df.select("page_id", "url"), model).collect()}
+    for i, (_, host, path, rule, verdict) in enumerate(urls):
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule)
+        assert got[i].verdict == verdict if verdict else got[i].verdict in ("allow", "block")
+    assert url_filter.judge(df.select("page_id", "url").limit(0), model).count() == 0
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    parts = spark.createDataFrame([(got[i].host, got[i].path) for i in got], "host string, path string")
+    assert {(r.host, r.path, r.rule) for r in url_filter.match_rules(parts, rules).collect()} == {(h, p, r) for _, h, p, r, v in urls if r}
+    scores = url_filter.score(spark.createDataFrame([("http://cheap-pills.example.com/en/3",), ("http://www.therti.example.org/en/334/",)], "url string"), model).collect()
+    assert scores[0].url_score > 0.5 > scores[1].url_score
+
+
+# op2
+
+
+def test_warc_round_trip(spark, tmp_path):
+    long = "<p>é " * 400
+    rows = [(1, "http://a/ü?x=1", long), (2, "http://b", long), (3, None, None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (9, "u\r\nX: y", long), (None, "u", long), (7, "u", "a\r\n\r\nWARC/1.1\r\n\r\n" * 100)]
+    df = spark.createDataFrame([(*r, "d") for r in rows], "page_id long, url string, html string, digest string")
+    folder = f"file://{tmp_path}/w"
+    index = warc.write_archives(warc.typed_records(df), folder)
+    full = warc.read_records(index, folder)
+    back = {r.page_id: r for r in warc.resolve_revisits(full).collect()}
+    assert len(back) == len(rows)
+    for page, url, html in rows:
+        data = (html or "").encode()
+        r = back[page]
+        assert (r.payload_bytes, r.payload_digest, r.url) == (len(data), hashlib.sha1(data).hexdigest(), url)
+        same = html == long and page != 9
+        assert (r.record_type, r.refers_to) == (("revisit", 9) if same else ("response", None))
+        assert same or bytes(r.payload) == data
+    some = index.where("page_id in (2, 7)")
+    assert {r.page_id for r in warc.read_records(some, folder).collect()} == {2, 7}
+    empty = warc.write_archives(warc.typed_records(df.limit(0)), f"{folder}-empty")
+    assert warc.resolve_revisits(warc.read_records(empty, f"{folder}-empty")).count() == 0
+
+
+# op3
+
+
+def test_overlaps(spark):
+    r = random.Random(1)
+    words = [f"w{k}" for k in range(3000)]
+    items = [[r.choice(words) for _ in range(n)] for n in (40, 15, 8, 5)]
+    swap = lambda item, every: [("zz" if k % every == every - 1 else w) for k, w in enumerate(item)]
+    noise = lambda n: [r.choice(words) for _ in range(n)]
+    texts = {1: noise(50) + items[0] + noise(50), 2: swap(items[0], 5), 3: swap(items[0], 6) + noise(9), 4: noise(300), 5: noise(3) + items[1], 6: items[2], 7: items[3] * 3, 8: swap(items[0], 2), 9: items[0][:19], 10: noise(4) + items[0][5:27]}
+    rows = [(i, " ".join(t).upper() + "!", "en") for i, t in texts.items()] + [(11, None, "en"), (12, "", None), (None, "x y", None), (1, " ".join(texts[1]).upper() + "!", "en")]
+    bench = spark.createDataFrame([(k, " ".join(t), "c") for k, t in enumerate(items)] + [(9, None, ""), (10, "", "")], "item_id long, text string, seed string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.overlaps(docs_of(spark, rows), bench).collect()}
+    assert got == {(1, 0), (2, 0), (3, 0), (5, 1), (6, 2), (10, 0)}
+    assert decontaminate.overlaps(docs_of(spark, rows), bench.limit(0)).count() == 0
+    assert decontaminate.overlaps(docs_of(spark, rows).limit(0), bench).count() == 0
+
+
+# op4
+
+
+def test_quality_network(spark, data):
+    docs, labels = (spark.read.parquet(f"{data.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    parameters = quality_cnn.train(docs, labels, lambda c: ~quality_cnn.held_out(c))
+    scored = quality_cnn.score(docs, parameters).join(labels, "doc_id").where(quality_cnn.held_out(F.col("doc_id"))).select("score", "quality").collect()
+    right = sum((r.score >= 0.7) == (r.quality == 1) for r in scored)
+    assert len(scored) > 50 and right / len(scored) > 0.95
+    odd = quality_cnn.score(docs_of(spark, ODD).drop("score"), parameters).collect()
+    assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
+    assert quality_cnn.train(docs, labels.limit(0), lambda c: F.lit(True)) is None
+    assert [r.score for r in quality_cnn.score(docs.limit(2), None).collect()] == [0.5, 0.5]
+    assert quality_cnn.score(docs.limit(0), parameters).count() == 0
+
+
+def test_quality_reads_whole_texts():
+    """Scores don't depend on how texts are put together or cut for the pass."""
+    r = random.Random(2)
+    texts = [bytes(r.randrange(256) for _ in range(n)) for n in (0, 1, 4, 127, 128, 129, 300, 20_000, 70_000)]
+    net = quality_cnn.Network()
+    alone = [float(quality_cnn.score_texts([t], net.p)[0]) for t in texts]
+    assert quality_cnn.score_texts(texts, net.p).tolist() == pytest.approx(alone, abs=1e-4)
+
+
+
+# op5
+
+
+def test_pseudonyms(spark):
+    values = {"card": ["4111 1111 1111 1111", "4111111111111111", "5500-0000-0000-0004"], "phone": ["+1 (366) 555-9807", "+13665559807", "(212) 555-0147", "+49 30 1234567"], "ipv4": ["8.8.8.8", "192.168.0.255"], "ssn": ["123-45-6789"], "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"], "date": ["2024-02-29", "29/02/2024", "29.02.2024", "12/31/1999"], "email": ["Jo.Doe+x@Mail7.example.com"]}
+    bad = ["4111111111111112", "999.1.1.1", "000-12-3456", "2023-02-29", "DE88370400440532013000", "1.2.3.4.5", "ab@", "v1.2.3"]
+    rows = [(i, f"call {v}, or {v}.", "en") for i, v in enumerate(x for xs in values.values() for x in xs)]
+    more = [(100 + i, f"see {v} here", "en") for i, v in enumerate(bad)] + [(200, None, None), (201, "", None), (202, "plain text", "en")]
+    df = docs_of(spark, rows + more)
+    got = {r.doc_id: r for r in pii.pseudonymise(df, "k1").collect()}
+    again = {r.doc_id: r.text for r in pii.pseudonymise(df, "k1").collect()}
+    other = {r.doc_id: r.text for r in pii.pseudonymise(df, "k2").collect()}
+    flat = [(k, v) for k, xs in values.items() for v in xs]
+    new = {}
+    for i, (kind, v) in enumerate(flat):
+        text = got[i].text
+        assert v not in text and text == again[i] and text != other[i], (v, text)
+        a, b = re.fullmatch(r"call (.*), or (.*)\.", text).groups()
+        assert a == b and got[i][f"n_{kind}"] == 2
+        assert re.sub("[0-9]", "9", re.sub("[a-z]", "a", a)) == re.sub("[0-9]", "9", re.sub("[a-z]", "a", v.lower() if kind == "email" else v)) or kind in ("ipv4", "iban"), (v, a)
+        new[v] = a
+    digits = lambda x: re.sub(r"\D", "", x)
+    luhn = lambda d: sum(int(c) if k % 2 else (int(c) * 2 - 9 * (int(c) > 4)) for k, c in enumerate(d if len(d) % 2 == 0 else "0" + d)) % 10 == 0
+    assert all(luhn(digits(new[v])) for v in values["card"])
+    assert digits(new[values["card"][0]]) == new[values["card"][1]]
+    assert digits(new[values["phone"][0]]) == digits(new[values["phone"][1]])
+    for v in values["iban"]:
+        x = new[v].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+    iso = date.fromisoformat(new["2024-02-29"])
+    assert new["29/02/2024"] == iso.strftime("%d/%m/%Y") and new["29.02.2024"] == iso.strftime("%d.%m.%Y")
+    for i, v in enumerate(bad):
+        assert got[100 + i].text == f"see {v} here", v
+    assert (got[200].text, got[201].text, got[202].text) == (None, "", "plain text")
+    assert pii.pseudonymise(df.limit(0)).count() == 0
+
+
+def test_pseudonyms_are_permutations(spark):
+    df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"), F.col("id"))
+    got = df.select(pii.permuted(F.col("d"), "t", "k").alias("p"), pii.permuted_pair(F.floor(F.col("id") / 40), F.col("id") % 40, 40, "t", "k").alias("q")).collect()
+    assert len({r.p for r in got}) == 1000 and all(re.fullmatch(r"\d{3}", r.p) for r in got)
+    assert len({(r.q.a, r.q.b) for r in got}) == 1000 and all(0 <= r.q.a < 40 and 0 <= r.q.b < 40 for r in got)
+
+
+# op6
+
+
+def brute_dedup(rows):
+    norm = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    groups = {}
+    for i, t, _ in rows:
+        groups.setdefault(norm(t), []).append(i)
+    low = -(10**9)
+    out = []
+    for i, t, _ in rows:
+        g = groups[norm(t)]
+        keep = max(g, key=lambda x: low if x is None else x)
+        out.append((i, keep, len(g), i == keep, hashlib.sha256(norm(t).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_dedup(spark, tmp_path, weak):
+    rows = [*ODD, (20, "ÀB", "fr"), (21, "àb", "fr"), (22, "Àb", "fr"), (23, "yello World", "en"), (24, "YELLO world", "en")]
+    docs_of(spark, rows).repartition(3).write.parquet(f"{tmp_path}/d.parquet")
+    digest = (lambda c: F.length(c).cast("string")) if weak else exact_dedup.sha256_hex
+    got = exact_dedup.exact_dedup(spark, f"{tmp_path}/d.parquet", digest=digest, files_per_batch=1)
+    assert plain(got) == brute_dedup(rows)
+
+    kept = exact_dedup.keep_one(docs_of(spark, rows), got)
+    assert kept.count() == len({x[4] for x in brute_dedup(rows)})
+
+
+def test_exact_dedup_keeps_state_between_runs(spark, tmp_path):
+    at, source = f"file://{tmp_path}/state", f"{tmp_path}/in"
+    for k, rows in enumerate(([(1, "a", ""), (2, "b", "")], [(5, "A", ""), (0, "B", ""), (7, "c", "")])):
+        docs_of(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("doc_id long, text string").parquet(source)
+        exact_dedup.run_stream(spark, stream, f"{at}/table", f"{at}/check")
+        state = {(r["__keep"], r.group_size) for r in exact_dedup.read_state(spark, f"{at}/table").collect()}
+        assert state == ({(1, 1), (2, 1)} if k == 0 else {(5, 2), (2, 2), (7, 1)})
+
+
+def test_exact_dedup_of_nothing(spark, tmp_path):
+    docs_of(spark, ODD).limit(0).write.parquet(f"{tmp_path}/e.parquet")
+    assert exact_dedup.exact_dedup(spark, f"{tmp_path}/e.parquet").collect() == []
+
+
+# op7
+
+
+def test_language(spark, data):
+    docs = spark.read.parquet(f"{data.replace('0.001', '0.01')}/documents.parquet")
+    model = language_id.train(docs, lambda c: ~language_id.held_out(c), max_docs=200)
+    found = language_id.identify(docs.where(language_id.held_out(F.col("doc_id")) & F.col("lang").isNotNull()), model, keep=("doc_id", "lang")).collect()
+    assert sum(r.lang == r.lang_pred for r in found) / len(found) > 0.97
+    odd = {r.doc_id: r for r in language_id.identify(docs_of(spark, [*ODD, (30, "123 !?", "en"), (31, "日本語 テキスト", None)]), model).collect()}
+    assert all(odd[i].lang_pred == "und" and odd[i].score == 0 for i in (1, 2, 3, 30)) and all(0 <= r.score <= 1 for r in odd.values())
+    assert odd[31].rejected and odd[4].lang_pred in model.langs
+    none = language_id.train(docs.limit(0), lambda c: F.lit(True))
+    assert {r.lang_pred for r in language_id.identify(docs.limit(3), none).collect()} == {"und"}
+    assert language_id.identify(docs.limit(0), model).count() == 0
+
+
+def test_kneser_ney_sums_to_one():
+    """Over all letters that can follow, a context's probabilities sum to one, with the floor's share."""
+    import numpy as np
+
+    texts = ["the cat sat on the mat", "that bat ate the rat"]
+    keys, n = np.unique(language_id.grams(language_id.folded(texts)[0]), return_counts=True)
+    model = language_id.Model(keys, n)
+    seen = sorted({int(k & np.uint64(0xFFFF)) for k in keys})
+    for context in ("  t", " th", "zzz", "at "):
+        c = [ord(x) for x in context]
+        grams = np.array([(c[0] << 48) | (c[1] << 32) | (c[2] << 16) | x for x in seen], np.uint64)
+        total = np.exp(model.log_probability(grams)).sum()
+        rest = (language_id.VOCABULARY - len(seen)) * np.exp(model.log_probability(np.array([(c[0] << 48) | (c[1] << 32) | (c[2] << 16) | 0x3042], np.uint64)))[0]
+        assert total + rest == pytest.approx(1, abs=1e-3)
+
+
+# op8
+
+
+def test_sentencepiece_equals_the_library(spark, data):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=spm_codec.default_model())
+    r = random.Random(4)
+    letters = "abc ABC éß的一 \n.,  \t▁𝒳"
+    made = ["".join(r.choice(letters) for _ in range(r.randrange(60))) for _ in range(800)]
+    texts = [t for _, t, _ in ODD] + ["  ", "   x", "a" * 5000, " " * 300 + "z" + " " * 77, "\x00a\x00 b", "你好  世界", "def f(x):\n    return x\n"] + made
+    df = docs_of(spark, [(i, t, None) for i, t in enumerate(texts)])
+    got = spm_codec.encode_texts(df)
+    for row in got.collect():
+        t = texts[row.doc_id]
+        assert row.ids == (None if t is None else library.encode(t)), t
+        assert row.n_tokens == (None if t is None else len(row.ids))
+        assert row.round_trip == (None if t is None else "▁" not in t)
+    back = {r.doc_id: r.text for r in spm_codec.decode_ids(got).collect()}
+    assert all(back[i] == (t if t is None else t.replace("▁", " ")) for i, t in enumerate(texts))
+    assert spm_codec.encode_texts(df.limit(0)).count() == 0
+
+
+# op9
+
+PAGES = [
+    (None, ""), ("", ""), ("<html></html>", ""), ("plain &lt; text", "plain < text"), ("<p>cut off <b", "cut off"), ("<p>a<p>b</p>c", "a\n\nb\n\nc"),
+    ("<body><nav>menu</nav><article><header><h1>T &amp; U</h1></header><p>One,\n two.</p><div class='comments'><p>Nice!</p></div><section class=ad>buy</section><ul><li>x<li>y</ul></article><footer>f</footer>", "T & U\n\nOne, two.\n\nx\n\ny"),
+    ("<div id=sidebar>s</div><div class=content><h2>H</h2><p>" + "Long text, with marks. " * 20 + "</p><p>Short.</p></div><form>f</form><script>var a='<p>no</p>'</script>", "H\n\n" + ("Long text, with marks. " * 20).strip() + "\n\nShort."),
+    ("<article><p><b>B<br><p>&eacute;&#233;&#xe9; <i>it</i>alic</article>", "B\n\nééé italic"),
+]
+
+
+def test_main_text(spark):
+    df = spark.createDataFrame([(i, None, h, "x") for i, (h, _) in enumerate(PAGES)], "page_id long, url string, html string, text string")
+    got = {r.page_id: r for r in html_extract.extract_pages(df).collect()}
+    for i, (_, want) in enumerate(PAGES):
+        assert (got[i].text, got[i].n_chars) == (want, len(want))
+    assert html_extract.extract_pages(df.limit(0)).count() == 0
+
+
+# op10
+
+
+def brute_components(rows, n, percent):
+    fold = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    sets = []
+    for i, t, _ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", fold(t))
+        sets.append((i, frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])))
+    parent = {i: i for i, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, s in sets:
+        for b, t in sets:
+            if a is not None and b is not None and a < b and s and t and 100 * len(s & t) >= percent * len(s | t):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return sorted(((i, len(s), i if i is None else root(i)) for i, s in sets), key=str)
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_join(spark, n, percent):
+    r = random.Random(n)
+    word = lambda: r.choice("abcdefghijklmnopqrstuvwxyz") + r.choice("aeiou") + str(r.randrange(9))
+    rows, number = list(ODD), 1000
+    for size in (4, 6, 9, 12, 14, 22, 25, 60, 120):
+        for _ in range(4):
+            base = [word() for _ in range(size)]
+            for _ in range(12):
+                w = list(base)
+                for _ in range(r.choice([0, 0, 1, 1, 2, 3])):
+                    k, kind = r.randrange(len(w)), r.randrange(3)
+                    w[k : k + 1] = [[word()], [], [w[k], word()]][kind]
+                rows.append((number, " ".join(w), "en"))
+                number += r.choice([1, 3])
+    rows = [x for k, x in enumerate(rows) if x not in rows[:k]] + [rows[3]]
+    got = jaccard_join.jaccard_components(docs_of(spark, rows), n, percent)
+    assert plain(got) == brute_components(rows, n, percent)
+
+
+def test_jaccard_join_of_nothing(spark):
+    assert jaccard_join.jaccard_components(docs_of(spark, ODD).limit(0)).count() == 0
+    assert plain(jaccard_join.jaccard_components(docs_of(spark, [(1, None, ""), (2, "", "")]))) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_word_hashes_do_not_depend_on_pieces(monkeypatch):
+    text = ("Some words " * 50 + "x" * 300 + " end").encode()
+    whole = jaccard_join.word_hashes(text)
+    monkeypatch.setattr(jaccard_join, "PIECE", 64)
+    assert (jaccard_join.word_hashes(text)[:100] == whole[:100]).all() and len(whole) == 102
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(1, 60)] + [(100, 101), (200, 150), (150, 101)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(1, 61), 1), **dict.fromkeys((100, 101, 150, 200), 100)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_registry(spark, data):
+    from millrace.llm import registry
+
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 11))
+    assert set(registry.ORACLES) <= set(registry.QUERIES)
+    json.dumps(registry.ORACLES)
