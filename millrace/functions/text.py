@@ -78,7 +78,7 @@ def grammar_slips(text: Column) -> Column:
 def overlapping_count(text: Column, key: Column) -> Column:
     """Occurrences of a literal, overlapping ones too."""
     spots = F.sequence(F.lit(1), F.greatest(F.length(text) - F.length(key) + 1, F.lit(1)))
-    return F.when(F.length(key) == 0, 0).otherwise(F.size(F.filter(spots, lambda i: F.substring(text, i, F.length(key)) == key))).cast("bigint")
+    return F.when(text.isNull(), None).when(F.length(key) == 0, 0).otherwise(F.size(F.filter(spots, lambda i: F.substring(text, i, F.length(key)) == key))).cast("bigint")
 
 
 def amount_digits(text: Column) -> Column:

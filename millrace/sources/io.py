@@ -27,10 +27,10 @@ def read_jsonl_strict(spark: SparkSession, path: str, schema: StructType | str)
 def read_jsonl_logged(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """(good records, bad lines as text)."""
     full = StructType(list(schema)).add(CORRUPT, StringType())
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    # Spark refuses a query of the corrupt column alone, so both sides read all columns.
-    marked = rows.withColumn("__bad", F.col(CORRUPT).isNotNull())
-    return marked.where("not __bad").drop("__bad", CORRUPT), marked.where("__bad").select(*schema.fieldNames(), CORRUPT).select(F.col(CORRUPT).alias("line"))
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = lines.select("value", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    bad = F.col(f"r.{CORRUPT}").isNotNull()
+    return rows.where(~bad).select(*(F.col(f"r.{c}").alias(c) for c in schema.fieldNames())), rows.where(bad).select(F.col("value").alias("line"))
 
 
 def read_jsonl_lenient(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

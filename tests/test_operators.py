@@ -178,7 +178,7 @@ def test_files(spark, tmp_path):
     (tmp_path / "specs" / "a.intent.json").write_text('{\n"intent": "a"\n}')
     (tmp_path / "specs" / "other.json").write_text('{"intent": "no"}')
     assert [r.intent for r in io.read_specs(spark, str(tmp_path / "specs")).collect()] == ["a"]
-    io.write_csv(spark.createDataFrame([('a "q"', None)], "x string, y string"), str(tmp_path / "csv"))
+    io.write_csv(spark.createDataFrame([('a "q"', None)], "x string, y string").coalesce(1), str(tmp_path / "csv"))
     text = "".join(f.read_text() for f in (tmp_path / "csv").glob("*.csv"))
     assert text == 'x,y\n"a ""q""",\n'
     io.write_routes(spark.createDataFrame([(1, "clean"), (2, "manual")], "id int, route string"), str(tmp_path / "routes"))
