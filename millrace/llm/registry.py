@@ -21,4 +21,5 @@ ORACLES = {
     "op2_warc": warc.ORACLE,
     "op3_decontamination": decontaminate.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op10_jaccard_join": jaccard_join.ORACLE,
 }
