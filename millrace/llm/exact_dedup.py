@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, remove, shared_path, table
+from .common import ascii_lower, remove, shared_path, written
 
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -77,17 +77,15 @@ def resolve(docs: DataFrame, state: DataFrame, id_col: str = "doc_id", text_col:
 
     Returns (doc_id, keep_id, group_size, kept, text_sha256), one row per row of `docs`.
     """
-    spark = docs.sparkSession
     rows = normalised(docs, id_col, text_col, digest)
-    joined = rows.join(state.select("__digest", "__keep", "group_size"), "__digest")
+    # Both sides that groups are joined to are written first: a join behind an aggregation can't split a hot group.
+    joined = rows.join(written(state.select("__digest", "__keep", "group_size"), "dedup-groups"), "__digest")
     shared = F.col("group_size") > 1
     found = joined.select("__id", "__digest", "__keep", "group_size", sha256_hex(F.col("__text")).alias("sha"), F.when(shared, F.col("__text")).alias("__text"), F.octet_length("__text").alias("n_bytes"))
-    path = shared_path(spark, "dedup-rows")
-    found.write.parquet(path)
-    found = spark.read.schema(found.schema).parquet(path)
+    found = written(found, "dedup-rows")
     keeper = F.col("__id").eqNullSafe(F.col("__keep"))
     hits = found.where((F.col("group_size") > 1) & ~keeper)
-    keepers = found.where((F.col("group_size") > 1) & keeper).groupBy(F.col("__digest").alias("k_digest")).agg(F.min("__text").alias("k_text"))
+    keepers = written(found.where((F.col("group_size") > 1) & keeper).groupBy(F.col("__digest").alias("k_digest")).agg(F.min("__text").alias("k_text")), "dedup-keepers")
     checked = hits.join(keepers, F.col("__digest") == F.col("k_digest"), "left").withColumn("same", F.col("__text").eqNullSafe(F.col("k_text"))).select(*found.columns, "same")
     differ = checked.where(~F.col("same"))
     plain = found.where((F.col("group_size") == 1) | keeper).withColumn("same", F.lit(True)).unionByName(checked.where("same"))
