@@ -16,7 +16,8 @@ from millrace.llm.common import shared_path, table, written
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network scores 0.7 or more."""
     parameters = quality_cnn.train(docs, table(spark, sf_dir, "labels"), lambda c: ~quality_cnn.held_out(c))
-    return quality_cnn.score(docs, parameters).where("score >= 0.7").drop("score")
+    scored = quality_cnn.score(docs, parameters, out="__quality")
+    return scored.where("__quality >= 0.7").select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

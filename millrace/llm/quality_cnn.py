@@ -208,11 +208,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column],
     return fit([(r[2] or "").encode() for r in rows], np.array([r[1] for r in rows]))
 
 
-def score(docs: DataFrame, parameters: dict[str, np.ndarray] | None, text_col: str = "text") -> DataFrame:
-    """`docs` with a column `score`."""
-    names = docs.columns
-    packed = docs.select(F.struct(*map(F.col, names)).alias("__row"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    return packed.select("__row.*", score_udf(parameters)("__text").alias("score"))
+def score(docs: DataFrame, parameters: dict[str, np.ndarray] | None, text_col: str = "text", out: str = "score") -> DataFrame:
+    """`docs` with the score in the column `out`, in place of a column of that name."""
+    others = [c for c in docs.columns if c != out]
+    return docs.select(*others, score_udf(parameters)(F.coalesce(F.col(text_col), F.lit(""))).alias(out))
 
 
 def score_udf(parameters: dict[str, np.ndarray] | None):

@@ -100,7 +100,7 @@ def test_quality_network(spark, data):
     scored = quality_cnn.score(docs, parameters).join(labels, "doc_id").where(quality_cnn.held_out(F.col("doc_id"))).select("score", "quality").collect()
     right = sum((r.score >= 0.7) == (r.quality == 1) for r in scored)
     assert len(scored) > 50 and right / len(scored) > 0.95
-    odd = quality_cnn.score(docs_of(spark, ODD).drop("score"), parameters).collect()
+    odd = quality_cnn.score(docs_of(spark, ODD), parameters).collect()
     assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
     assert quality_cnn.train(docs, labels.limit(0), lambda c: F.lit(True)) is None
     assert [r.score for r in quality_cnn.score(docs.limit(2), None).collect()] == [0.5, 0.5]
