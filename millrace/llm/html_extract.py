@@ -3,8 +3,9 @@
 A page is read once into text leaves, each with its path of tags from the root and the block it belongs to. For
 every path the text length and the punctuation are summed and divided by the number of its leaves; the two ratios
 are smoothed over the page's sequence of leaves with a Gaussian, fused by their product, and paths whose mean
-exceeds the threshold are content paths. The smallest element that holds at least `share` of the
-content paths' text is the article; its blocks, without those in boilerplate elements, are the result.
+exceeds the threshold are content paths. The smallest container that holds at least `share` of the
+content paths' text is the article; its blocks, without those in boilerplate elements, are the result. Where no
+`article` or `main` marks it, blocks of other paths stay if they are headings, or lie in it and are more than links.
 
 Defined results: a null or empty page, and one without text, gives an empty text with n_chars 0; unclosed and
 misnested tags are closed as browsers close them as far as blocks go; a tag cut off at the end of the page is
@@ -29,6 +30,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SKIP = frozenset("head title script style noscript template iframe object svg math canvas audio video select button textarea".split())
 BOILER = frozenset("nav header footer aside form dialog menu".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+CONTAINERS = frozenset(["", *"article aside body center details div fieldset figure form html main section td".split()])
 CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot html body legend summary".split())
 #: Words in class, id or role attributes of boilerplate.
 NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alerts?|popup|modal|overlay|comments?|disqus|replies|respond|sidebar|side-bar|widgets?|menus?|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|header|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|tags?|complementary|contentinfo|search|dialog)(?=$|[\s_-]|\d)", re.I)
@@ -37,6 +39,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
 HEADING = re.compile(r"/h[1-6](?:/|$)")
+LINK = re.compile(r"/a(?:/|$)")
 PUNCTUATION = re.compile(r"[.,;:!?…、。¿¡，？！]")
 #: What an opening tag ends (the nearest such element), and where the search for it stops.
 ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",))}
@@ -63,7 +66,7 @@ def is_boiler(tag: str, attributes: str, inside_article: bool) -> bool:
 
 
 def leaves(page: str) -> list[Leaf]:
-    """The page's text leaves in order."""
+    """The page's text leaves in order, holders and tags of the path side by side."""
     found: list[Leaf] = []
     stack: list[tuple[str, int, bool, str]] = [("", 0, False, "")]  # tag, number, boilerplate, path
     at, block, number, skipped = 0, 0, 0, 0
@@ -178,10 +181,11 @@ def extract(page: str | None, share: float = 0.9, spread: float = 0.25) -> str:
     chosen = [x for x, i in zip(kept, path, strict=True) if not x.boiler and mean[i] >= threshold]
     weights: dict[int, int] = {}
     for x in chosen:
-        for h in x.holders:
-            weights[h] = weights.get(h, 0) + len(x.text)
+        for h, tag in zip(x.holders, x.path.split("/"), strict=True):
+            if tag in CONTAINERS:
+                weights[h] = weights.get(h, 0) + len(x.text)
     total = sum(len(x.text) for x in chosen)
-    # The smallest element with that share; from there up to the article, else as far as below the body.
+    # The smallest container with that share; from there up to the article, else as far as below the body.
     deepest = max((h for h, w in weights.items() if w >= share * total))
     holder = next(x for x in chosen if deepest in x.holders)
     above = holder.path.split("/")[: holder.holders.index(deepest) + 1]
@@ -189,9 +193,11 @@ def extract(page: str | None, share: float = 0.9, spread: float = 0.25) -> str:
     inner = [i for i, tag in enumerate(above) if i and tag not in ("html", "body")]
     root = holder.holders[marked[0] if marked else inner[0] if inner else len(above) - 1]
     content = None if marked else {x.path for x in chosen}
+    whole = above[-1] not in ("", "html", "body")  # of a page's body only what no other container holds
+    prose = {x.block for x in kept if deepest in x.holders and not LINK.search(x.path) and (whole or deepest == max(h for h, tag in zip(x.holders, x.path.split("/"), strict=True) if tag in CONTAINERS))}
     blocks: dict[int, list[str]] = {}
     for x in found:
-        if not x.boiler and root in x.holders and (content is None or x.path in content or HEADING.search(x.path)):
+        if not x.boiler and root in x.holders and (content is None or x.path in content or x.block in prose or HEADING.search(x.path)):
             blocks.setdefault(x.block, []).append(x.text)
     texts = (" ".join(unescape("".join(parts)).split()) for parts in blocks.values())
     return "\n\n".join(x for x in texts if x)

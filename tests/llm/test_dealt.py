@@ -266,6 +266,8 @@ PAGES = [
     (None, ""), ("", ""), ("<html></html>", ""), ("plain &lt; text", "plain < text"), ("<p>cut off <b", "cut off"), ("<p>a<p>b</p>c", "a\n\nb\n\nc"),
     ("<body><nav>menu</nav><article><header><h1>T &amp; U</h1></header><p>One,\n two.</p><div class='comments'><p>Nice!</p></div><section class=ad>buy</section><ul><li>x<li>y</ul></article><footer>f</footer>", "T & U\n\nOne, two.\n\nx\n\ny"),
     ("<div id=sidebar>s</div><div class=content><h2>H</h2><p>" + "Long text, with marks. " * 20 + "</p><p>Short.</p></div><form>f</form><script>var a='<p>no</p>'</script>", "H\n\n" + ("Long text, with marks. " * 20).strip() + "\n\nShort."),
+    ("<div id=page><div class=top-links><ul><li><a href=/>Home</a><li><a href=/b>B</a></ul></div><div class=text><h1>H</h1><p>" + "Long text, with marks. " * 20 + "</p><ul><li>one<li>two <a href=x>three</a></ul></div></div>", "H\n\n" + ("Long text, with marks. " * 20).strip() + "\n\none\n\ntwo three"),
+    ("<body><p>" + "Long text, with marks. " * 20 + "<p>Short.<pre>x  y</pre><div>odd</div><div role=navigation>menu</div>", ("Long text, with marks. " * 20).strip() + "\n\nShort.\n\nx y"),
     ("<article><p><b>B<br><p>&eacute;&#233;&#xe9; <i>it</i>alic</article>", "B\n\nééé italic"),
 ]
 
@@ -278,6 +280,20 @@ def test_main_text(spark):
     assert html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+def test_main_text_of_given_pages(spark, data):
+    """The pages given mark their article; a plain cut at its tags must give the same blocks."""
+    import html
+
+    def want(page):
+        article = re.search(r"<article>(.*?)</article>", page, re.S)[1].replace("<br>", "\n")
+        blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split("</?(?:p|h1)>", article))
+        return "\n\n".join(x for x in blocks if x)
+
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert got == {r.page_id: want(r.html) for r in pages.collect()}
+
+
 # op10
 
 
