@@ -120,10 +120,13 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
 
 def keep_one(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, one for each group, with the columns of `docs`. Rows are named by identifier and digest."""
-    kept = decisions.where("kept").select(F.col(id_col).alias("__kept"), F.col("text_sha256").alias("__kept_sha"))
-    hashed = docs.withColumn("__sha", sha256_hex(ascii_lower(F.coalesce(F.col(text_col), F.lit("")))))
-    found = hashed.join(kept, (F.col("__sha") == F.col("__kept_sha")) & F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
-    return found.dropDuplicates([id_col, "__sha"]).drop("__sha")
+    sha = "__sha"
+    while sha in docs.columns:
+        sha += "_"
+    kept = decisions.where("kept").select(F.col(id_col).alias(f"{sha}_id"), F.col("text_sha256").alias(f"{sha}_kept"))
+    hashed = docs.withColumn(sha, sha256_hex(ascii_lower(F.coalesce(F.col(text_col), F.lit("")))))
+    found = hashed.join(kept, (F.col(sha) == F.col(f"{sha}_kept")) & F.col(id_col).eqNullSafe(F.col(f"{sha}_id")), "left_semi")
+    return found.dropDuplicates([id_col, sha]).drop(sha)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
