@@ -4,8 +4,8 @@ Fixed masks pick some of the tokens at every position and ignore the others; has
 items and of training texts are joined. A hit fixes an alignment of text and item without gaps, and every alignment is
 verified once: it counts as an overlap if some window of `WINDOW` tokens (the whole item if that is shorter) has at
 least `SHARE` equal tokens, so single substituted words don't hide a passage. All of it is DataFrame and SQL
-expressions. Items are broadcast only while they have at most `BROADCAST_SEEDS` seeds; beyond, both sides are shuffled
-by hash.
+expressions. Seeds and items are broadcast only while there are at most `BROADCAST_SEEDS` seeds, which bounds the
+items' tokens as well; beyond, both sides are shuffled by hash.
 
 Defined results: tokens are runs of letters and digits in lower case; texts that are null or have fewer tokens than an
 item's window overlap with nothing; so do items with fewer than `MIN_ITEM` tokens; items with equal texts are each
@@ -35,14 +35,19 @@ def seed(words: Column, at: Column, mask: tuple[int, ...]) -> Column:
     return F.xxhash64(F.lit(",".join(map(str, mask))), *(F.get(words, at + k) for k in mask))
 
 
-def item_seeds(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """(item_id, item_tokens, item_at, pair, seed) of every position and mask of every item."""
+def item_words(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """(item_id, item_hash, item_tokens) of the items that can overlap, without repeats."""
     rows = items.select(F.col(item_col).alias("item_id"), tokens(F.col(text_col)).alias("item_tokens")).where(F.size("item_tokens") >= MIN_ITEM)
-    rows = rows.withColumn("item_at", F.explode(F.sequence(F.lit(0), F.size("item_tokens") - 6)))
+    return rows.withColumn("item_hash", F.xxhash64("item_tokens")).distinct()
+
+
+def item_seeds(words: DataFrame) -> DataFrame:
+    """(item_id, item_hash, m, item_at, pair, seed) of every position and mask of every item of m tokens."""
+    rows = words.withColumn("item_at", F.explode(F.sequence(F.lit(0), F.size("item_tokens") - 6)))
     w, at = F.col("item_tokens"), F.col("item_at")
     whole = [F.when(at + mask[-1] < F.size(w), seed(w, at, mask)) for mask in MASKS]
-    rows = rows.withColumns({"pair": F.xxhash64(F.get(w, at), F.get(w, at + 1)), "seeds": F.array(*whole)})
-    return rows.select("item_id", "item_tokens", "item_at", "pair", F.explode("seeds").alias("seed")).where("seed is not null")
+    rows = rows.withColumns({"m": F.size(w), "pair": F.xxhash64(F.get(w, at), F.get(w, at + 1)), "seeds": F.array(*whole)})
+    return rows.select("item_id", "item_hash", "m", "item_at", "pair", F.explode("seeds").alias("seed")).where("seed is not null")
 
 
 def best_window(equal: Column, size: Column) -> Column:
@@ -53,7 +58,8 @@ def best_window(equal: Column, size: Column) -> Column:
 
 def overlaps(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, start, window_size, matched): one row per text and item that overlap; the best alignment, then the first."""
-    seeds = item_seeds(items, item_col, item_text_col)
+    known = item_words(items, item_col, item_text_col)
+    seeds = item_seeds(known)
     small = seeds.count() <= BROADCAST_SEEDS
     near = F.broadcast if small else (lambda x: x)
     pairs = seeds.select("pair").distinct()
@@ -63,15 +69,17 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_co
     places = places.join(near(pairs), "pair", "left_semi")
     hashes = F.array(*(F.when(F.col("at") + mask[-1] < F.size("w"), seed(F.col("w"), F.col("at"), mask)) for mask in MASKS))
     places = places.select("doc_id", "w", "at", F.explode(hashes).alias("seed")).where("seed is not null")
-    hits = places.join(near(seeds.select("item_id", "item_tokens", "item_at", "seed")), "seed")
-    n, m = F.size("w"), F.size("item_tokens")
+    hits = places.join(near(seeds.drop("pair")), "seed")
+    n, m = F.size("w"), F.col("m")
     offset = F.col("at") - F.col("item_at")
     low, high = F.greatest(offset, F.lit(0)), F.least(n, offset + m)
-    aligned = hits.select("doc_id", "item_id", offset.alias("offset"), low.alias("start"), m.alias("m"), F.slice("w", low + 1, high - low).alias("there"), F.slice("item_tokens", low - offset + 1, high - low).alias("here"))
-    once = aligned.dropDuplicates(["doc_id", "item_id", "offset"])
-    size = F.least(F.col("m"), F.lit(WINDOW))
-    checked = once.where(F.size("there") >= size).withColumns({"window_size": size, "matched": best_window(F.zip_with("there", "here", lambda a, b: a == b), size)})
-    good = checked.where(F.col("matched") >= F.ceil(size * SHARE))
+    size = F.least(m, F.lit(WINDOW))
+    aligned = hits.select("doc_id", "item_id", "item_hash", low.alias("start"), (low - offset).alias("item_start"), size.alias("window_size"), F.slice("w", low + 1, high - low).alias("there"))
+    once = aligned.where(F.size("there") >= F.col("window_size")).distinct().alias("a")
+    both = once.join(near(known).alias("b"), F.col("a.item_id").eqNullSafe(F.col("b.item_id")) & (F.col("a.item_hash") == F.col("b.item_hash"))).select("a.*", "b.item_tokens")
+    here = F.slice("item_tokens", F.col("item_start") + 1, F.size("there"))
+    checked = both.withColumn("matched", best_window(F.zip_with("there", here, lambda a, b: a == b), F.col("window_size")))
+    good = checked.where(F.col("matched") >= F.ceil(F.col("window_size") * SHARE))
     best = F.max(F.struct("matched", (-F.col("start")).alias("s"), "window_size"))
     return good.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", (-F.col("b.s")).alias("start"), F.col("b.window_size").alias("window_size"), F.col("b.matched").alias("matched"))
 

@@ -76,7 +76,9 @@ def test_warc_round_trip(spark, tmp_path):
 # op3
 
 
-def test_overlaps(spark):
+@pytest.mark.parametrize("most", [0, decontaminate.BROADCAST_SEEDS])
+def test_overlaps(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", most)
     r = random.Random(1)
     words = [f"w{k}" for k in range(3000)]
     items = [[r.choice(words) for _ in range(n)] for n in (40, 15, 8, 5)]
