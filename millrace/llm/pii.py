@@ -25,7 +25,7 @@ ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])"
 DAY_DATE = r"(?<![\w./-])\d{2}([./-])\d{2}\1\d{4}(?![\w/-])"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-CARD = r"(?<![\w+])\d(?:[ -]?\d){12,18}(?![\w])"
+CARD = r"(?<![\w+])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{4,5})(?!\w)"
 PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
 ANY = "|".join((EMAIL, ISO_DATE, DAY_DATE.replace(r"([./-])", r"(?<sep>[./-])").replace(r"\1", r"\k<sep>"), IPV4, SSN, IBAN, CARD, PHONE))
 KINDS = ("email", "date", "ipv4", "ssn", "iban", "card", "phone")
