@@ -24,7 +24,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """One document of each group of equal texts (A-Z in lower case): the one with the largest doc_id."""
     path = shared_path(spark, "pipeline-documents")
     docs.write.parquet(path)
-    return exact_dedup.keep_one(docs, exact_dedup.exact_dedup(spark, path))
+    return exact_dedup.keep_one(spark, path).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ full bytes equal the keeper's; rows that differ in bytes fall back to groups of
 
 Defined results: a null text counts as empty; empty texts are equal to each other; a null identifier is the
 smallest; rows that repeat an identifier and text all point at the same keeper and `kept` marks each of them
-(`keep_one` leaves one); an empty table gives an empty result; further columns are ignored, also when they carry
+(`stays` and `keep_one` leave one); an empty table gives an empty result; further columns are ignored, also when they carry
 the names of result columns.
 """
 
@@ -72,61 +72,71 @@ def read_state(spark: SparkSession, table_path: str) -> DataFrame:
     return newest.select("__digest", F.col("keeper.id").alias("__keep"), F.col("keeper.file").alias("file"), F.col("keeper.row").alias("row"), "group_size")
 
 
-def resolve(docs: DataFrame, state: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex) -> DataFrame:
+def resolve(docs: DataFrame, state: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex, folder: str | None = None) -> DataFrame:
     """Decide every row against the state and check the full bytes of hits.
 
-    Returns (doc_id, keep_id, group_size, kept, text_sha256), one row per row of `docs`.
+    Returns (doc_id, keep_id, group_size, kept, text_sha256), one row per row of `docs`; with located rows also
+    (file, row, stays), where one row per group stays. Tables in between go to `folder`.
     """
     rows = normalised(docs, id_col, text_col, digest)
+    has_place = "__at_file" in docs.columns
+    place = F.struct(F.col("__at_file").alias("file"), F.col("__at_row").alias("row")) if has_place else F.lit(None).cast("struct<file:string,row:bigint>")
+    known = state.select("__digest", "__keep", "group_size", F.struct("file", "row").alias("__stay"))
     # Both sides that groups are joined to are written first: a join behind an aggregation can't split a hot group.
-    joined = rows.join(written(state.select("__digest", "__keep", "group_size"), "dedup-groups"), "__digest")
+    joined = rows.withColumn("__place", place).join(written(known, "dedup-groups", folder), "__digest")
     shared = F.col("group_size") > 1
-    found = joined.select("__id", "__digest", "__keep", "group_size", sha256_hex(F.col("__text")).alias("sha"), F.when(shared, F.col("__text")).alias("__text"), F.octet_length("__text").alias("n_bytes"))
-    found = written(found, "dedup-rows")
+    found = joined.select("__id", "__digest", "__keep", "group_size", "__place", "__stay", sha256_hex(F.col("__text")).alias("sha"), F.when(shared, F.col("__text")).alias("__text"))
+    found = written(found, "dedup-rows", folder)
     keeper = F.col("__id").eqNullSafe(F.col("__keep"))
     hits = found.where((F.col("group_size") > 1) & ~keeper)
-    keepers = written(found.where((F.col("group_size") > 1) & keeper).groupBy(F.col("__digest").alias("k_digest")).agg(F.min("__text").alias("k_text")), "dedup-keepers")
+    keepers = written(found.where((F.col("group_size") > 1) & keeper).groupBy(F.col("__digest").alias("k_digest")).agg(F.min("__text").alias("k_text")), "dedup-keepers", folder)
     checked = hits.join(keepers, F.col("__digest") == F.col("k_digest"), "left").withColumn("same", F.col("__text").eqNullSafe(F.col("k_text"))).select(*found.columns, "same")
     differ = checked.where(~F.col("same"))
-    plain = found.where((F.col("group_size") == 1) | keeper).withColumn("same", F.lit(True)).unionByName(checked.where("same"))
-    # A digest that stands for several texts: those rows are grouped again by their own bytes.
+
+    def result(rows: DataFrame) -> DataFrame:
+        out = rows.select(F.col("__id").alias(id_col), F.col("__keep").alias("keep_id"), "group_size", F.col("__id").eqNullSafe(F.col("__keep")).alias("kept"), F.col("sha").alias("text_sha256"), "__place.file", "__place.row", (F.col("__place") == F.col("__stay")).alias("stays"))
+        return out if has_place else out.drop("file", "row", "stays")
+
+    plain = found.where((F.col("group_size") == 1) | keeper).unionByName(checked.where("same").drop("same"))
     if differ.isEmpty():
-        out = plain.select(F.col("__id").alias(id_col), F.col("__keep").alias("keep_id"), "group_size", F.col("__id").eqNullSafe(F.col("__keep")).alias("kept"), F.col("sha").alias("text_sha256"))
-        return out
+        return result(plain)
+    # A digest that stands for several texts: those rows are grouped again by their own bytes.
     clashing = differ.select("__digest").distinct()
-    redo = found.join(clashing, "__digest", "left_semi")
-    own = redo.groupBy("__digest", "__text").agg(F.max("__id").alias("__own"), F.count(F.lit(1)).alias("__n"))
-    again = redo.join(own, ["__digest", "__text"]).select(F.col("__id").alias(id_col), F.col("__own").alias("keep_id"), F.col("__n").alias("group_size"), F.col("__id").eqNullSafe(F.col("__own")).alias("kept"), F.col("sha").alias("text_sha256"))
-    rest = plain.join(clashing, "__digest", "left_anti").select(F.col("__id").alias(id_col), F.col("__keep").alias("keep_id"), "group_size", F.col("__id").eqNullSafe(F.col("__keep")).alias("kept"), F.col("sha").alias("text_sha256"))
-    return rest.unionByName(again)
+    redo = found.join(clashing, "__digest", "left_semi").drop("__keep", "group_size", "__stay")
+    own = redo.groupBy("__digest", "__text").agg(F.max(F.struct("__id", "__place")).alias("__own"), F.count(F.lit(1)).alias("group_size"))
+    again = redo.join(own, ["__digest", "__text"]).withColumns({"__keep": F.col("__own.__id"), "__stay": F.col("__own.__place")})
+    return result(plain.join(clashing, "__digest", "left_anti")).unionByName(result(again))
 
 
-def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex, files_per_batch: int | None = None) -> DataFrame:
-    """Stream all parquet files below `path` through the keyed state, then resolve every row."""
+def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex, files_per_batch: int | None = None, places: bool = False, work: str | None = None) -> DataFrame:
+    """Stream all parquet files below `path` through the keyed state, then resolve every row; `places` as in `resolve`."""
     docs = spark.read.parquet(path)
     reader = spark.readStream.schema(docs.select(id_col, text_col).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    at = shared_path(spark, "dedup-state")
+    work = work or shared_path(spark, "dedup")
     folder, _, name = path.rpartition("/")
     source = reader.parquet(f"{folder}/[{name[0]}]{name[1:]}")  # as a pattern, the path may be a folder or a single file
-    run_stream(spark, source, f"{at}/table", f"{at}/checkpoint", id_col, text_col, digest)
+    run_stream(spark, source, f"{work}/table", f"{work}/checkpoint", id_col, text_col, digest)
     if not docs.take(1):
-        return docs.select(F.col(id_col), F.col(id_col).alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lit("").alias("text_sha256")).limit(0)
-    out = resolve(docs, read_state(spark, f"{at}/table"), id_col, text_col, digest)
-    remove(spark, f"{at}/checkpoint")
+        out = docs.select(F.col(id_col), F.col(id_col).alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lit("").alias("text_sha256")).limit(0)
+        return out.withColumns({"file": F.lit(""), "row": F.lit(0).cast("long"), "stays": F.lit(True)}) if places else out
+    slim = docs.select(id_col, text_col, *([F.col("_metadata.file_path").alias("__at_file"), F.col("_metadata.row_index").alias("__at_row")] if places else []))
+    out = resolve(slim, read_state(spark, f"{work}/table"), id_col, text_col, digest, work)
+    remove(spark, f"{work}/checkpoint")
     return out
 
 
-def keep_one(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, one for each group, with the columns of `docs`. Rows are named by identifier and digest."""
-    sha = "__sha"
-    while sha in docs.columns:
-        sha += "_"
-    kept = decisions.where("kept").select(F.col(id_col).alias(f"{sha}_id"), F.col("text_sha256").alias(f"{sha}_kept"))
-    hashed = docs.withColumn(sha, sha256_hex(ascii_lower(F.coalesce(F.col(text_col), F.lit("")))))
-    found = hashed.join(kept, (F.col(sha) == F.col(f"{sha}_kept")) & F.col(id_col).eqNullSafe(F.col(f"{sha}_id")), "left_semi")
-    return found.dropDuplicates([id_col, sha]).drop(sha)
+def keep_one(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex) -> DataFrame:
+    """The rows of the parquet files below `path` that stay, one for each group, found again by file and place."""
+    work = shared_path(spark, "dedup")
+    decisions = exact_dedup(spark, path, id_col, text_col, digest, places=True, work=work)
+    stays = written(decisions.where("stays").select("file", "row"), "dedup-stays")
+    remove(spark, work)
+    docs = spark.read.parquet(path)
+    own = F.struct(*(F.col(c) for c in docs.columns)).alias("own")
+    rows = docs.select(own, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows.join(stays, ["file", "row"], "left_semi").select("own.*")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

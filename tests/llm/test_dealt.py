@@ -190,8 +190,10 @@ def test_exact_dedup(spark, tmp_path, weak):
     got = exact_dedup.exact_dedup(spark, f"{tmp_path}/d.parquet", digest=digest, files_per_batch=1)
     assert plain(got) == brute_dedup(rows)
 
-    kept = exact_dedup.keep_one(docs_of(spark, rows), got)
-    assert kept.count() == len({x[4] for x in brute_dedup(rows)})
+    kept = exact_dedup.keep_one(spark, f"{tmp_path}/d.parquet", digest=digest)
+    assert kept.columns == docs_of(spark, rows).columns
+    fold = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    assert sorted(((r.doc_id, hashlib.sha256(fold(r.text).encode()).hexdigest()) for r in kept.collect()), key=str) == sorted({(x[1], x[4]) for x in brute_dedup(rows)}, key=str)
 
 
 def test_exact_dedup_keeps_state_between_runs(spark, tmp_path):
@@ -207,6 +209,7 @@ def test_exact_dedup_keeps_state_between_runs(spark, tmp_path):
 def test_exact_dedup_of_nothing(spark, tmp_path):
     docs_of(spark, ODD).limit(0).write.parquet(f"{tmp_path}/e.parquet")
     assert exact_dedup.exact_dedup(spark, f"{tmp_path}/e.parquet").collect() == []
+    assert exact_dedup.keep_one(spark, f"{tmp_path}/e.parquet").collect() == []
 
 
 # op7
