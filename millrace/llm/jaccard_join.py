@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import remove, shared_path, table, written
 from .components import components
 
 BASE, INVERSE = 0x2545F4914F6CDD1D, pow(0x2545F4914F6CDD1D, -1, 1 << 64)
@@ -220,8 +220,11 @@ def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: in
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of `docs`."""
     share = min(1.0, 2.5 * (100 - percent) / 100)
-    all_rows = written(shingle_rows(docs, id_col, text_col, n, share), "shingles")
+    spark, shingles = docs.sparkSession, shared_path(docs.sparkSession, "shingles")
+    all_rows = written(shingle_rows(docs, id_col, text_col, n, share), "all", shingles)
+    members = written(all_rows.drop("elements"), "members")
     classes = written(all_rows.where("n_shingles > 0 and id is not null").groupBy("set_hash", "n_shingles").agg(F.min("id").alias("rep"), F.first("elements").alias("elements")), "classes")
+    remove(spark, shingles)
     # Sets with too many unshared elements in the counted share of the hash space can't link.
     rows = classes.select("rep", F.explode("elements").alias("element"))
     counted = rows.groupBy("element").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("element")
@@ -236,8 +239,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     links = written(heavy_links(sets, written(heavy_lists(sets, limit, percent), "prefixes"), certain, percent), "links-all")
     found = components(links)
     named = classes.select("set_hash", "n_shingles", "rep").join(found, F.col("rep") == F.col("id"), "left").select("set_hash", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    full = all_rows.where("n_shingles > 0 and id is not null").select("id", "set_hash", "n_shingles").join(named, ["set_hash", "n_shingles"])
-    empty = all_rows.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+    full = members.where("n_shingles > 0 and id is not null").select("id", "set_hash", "n_shingles").join(named, ["set_hash", "n_shingles"])
+    empty = members.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
     return full.select("id", "n_shingles", "component_id").unionByName(empty).withColumnRenamed("id", id_col)
 
 
