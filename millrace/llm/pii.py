@@ -28,6 +28,7 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?
 CARD = r"(?<![\w+])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{4,5})(?!\w)"
 PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
 ANY = "|".join((EMAIL, ISO_DATE, DAY_DATE.replace(r"([./-])", r"(?<sep>[./-])").replace(r"\1", r"\k<sep>"), IPV4, SSN, IBAN, CARD, PHONE))
+MARK = "\ue000"  # stands around candidates while a text is cut
 KINDS = ("email", "date", "ipv4", "ssn", "iban", "card", "phone")
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", 73_049  # through 2099-12-31
@@ -177,31 +178,35 @@ def kind_of(m: Column) -> Column:
     )
 
 
-def pseudonyms(text: Column, key: str) -> Column:
-    """array<struct<value, kind, pseudonym>> of the candidates in a text; the pseudonym of an invalid one is null."""
+def cut(text: Column) -> Column:
+    """The text in parts, every second one a candidate. One pass marks the candidates; a text that has the mark itself takes two."""
+    marked = F.split(F.regexp_replace(text, ANY, MARK + "$0" + MARK), MARK, -1)
+    between, found = F.split(text, ANY, -1), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    twice = F.filter(F.flatten(F.zip_with(between, found, lambda a, m: F.array(a, m))), lambda x: x.isNotNull())
+    return F.when(F.contains(text, F.lit(MARK)), twice).otherwise(marked)
 
-    def one(m: Column) -> Column:
-        kind, result = kind_of(m), F.lit(None).cast("string")
-        for name, make in MAKERS.items():
-            good, new = make(m, key)
-            result = F.when((kind == name), F.when(good, new)).otherwise(result)
-        return F.struct(m.alias("value"), kind.alias("kind"), result.alias("pseudonym"))
 
-    return F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), one)
+def pseudonym(m: Column, key: str) -> Column:
+    """struct<value, kind, pseudonym> of a candidate; the pseudonym of an invalid one is null."""
+    kind, result = kind_of(m), F.lit(None).cast("string")
+    for name, make in MAKERS.items():
+        good, new = make(m, key)
+        result = F.when((kind == name), F.when(good, new)).otherwise(result)
+    return F.struct(m.alias("value"), kind.alias("kind"), result.alias("pseudonym"))
 
 
 def pseudonymise(docs: DataFrame, key: str = "change-me", text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The `keep` columns with (text, found): the text with pseudonyms, and a struct of counts per kind."""
+    """The `keep` columns with (text, n_<kind>): the text with pseudonyms, and how many of each kind."""
     slim = docs.select(*keep, F.col(text_col).alias("__text"))
-    rows = slim.withColumn("__found", F.when(F.col("__text").rlike("[0-9@]"), pseudonyms(F.col("__text"), key)).otherwise(F.array().cast("array<struct<value:string,kind:string,pseudonym:string>>")))
-    between = F.split("__text", ANY, -1)
-    new = F.array_join(F.zip_with(between, F.col("__found"), lambda a, m: F.concat(a, F.coalesce(m["pseudonym"], m["value"], F.lit("")))), "")
-    text = F.when(F.size("__found") > 0, new).otherwise(F.col("__text"))
+    null = F.lit(None).cast("string")
+    parts = F.transform(cut(F.col("__text")), lambda p, i: F.when(i % 2 == 1, pseudonym(p, key)).otherwise(F.struct(p.alias("value"), null.alias("kind"), null.alias("pseudonym"))))
+    rows = slim.withColumn("__parts", F.when(F.col("__text").rlike("[0-9@]"), parts))
+    text = F.when(F.col("__parts").isNotNull(), F.array_join(F.transform("__parts", lambda p: F.coalesce(p["pseudonym"], p["value"])), "")).otherwise(F.col("__text"))
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("__found", lambda m: (m["kind"] == kind) & m["pseudonym"].isNotNull()))
+        return F.when(F.col("__parts").isNull(), 0).otherwise(F.size(F.filter("__parts", lambda p: (p["kind"] == kind) & p["pseudonym"].isNotNull())))
 
-    return rows.select(*keep, text.alias("text"), *(F.when(F.col("__text").isNull(), 0).otherwise(count(k)).alias(f"n_{k}") for k in KINDS))
+    return rows.select(*keep, text.alias("text"), *(count(k).alias(f"n_{k}") for k in KINDS))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,6 +152,8 @@ def test_pseudonyms(spark):
     assert new["29/02/2024"] == iso.strftime("%d/%m/%Y") and new["29.02.2024"] == iso.strftime("%d.%m.%Y")
     beside = docs_of(spark, [(1, "no 12 4111111111111111 34, 4111 1111 1111 1111 4111111111111111", "en")])
     assert pii.pseudonymise(beside, "k1").first().text == "no 12 {0} 34, {1} {0}".format(new["4111111111111111"], new["4111 1111 1111 1111"])
+    marked = pii.pseudonymise(docs_of(spark, [(1, "\ue0008.8.8.8 \ue000 x@y.com", "en"), (2, "8.8.8.8", "en")]), "k1").orderBy("doc_id").collect()
+    assert re.fullmatch("\ue000[0-9.]+ \ue000 .@.[.]com", marked[0].text) and marked[0].text.split()[0] == "\ue000" + marked[1].text and (marked[0].n_ipv4, marked[0].n_email) == (1, 1)
     for i, v in enumerate(bad):
         assert got[100 + i].text == f"see {v} here", v
     assert (got[200].text, got[201].text, got[202].text) == (None, "", "plain text")
