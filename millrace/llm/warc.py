@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path, table
+from .common import shared_path, table, written
 
 INDEX_SCHEMA = "file string, offset bigint, length bigint, url string, digest string, payload_bytes bigint, record_type string, page_id bigint, refers_to bigint"
 READ_SCHEMA = "page_id bigint, url string, record_type string, refers_to bigint, header_digest string, payload_digest string, payload_bytes bigint, payload binary"
@@ -63,6 +63,7 @@ def typed_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload")).withColumns({"digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("bigint")})
     keepers = rows.where(F.col("payload_bytes") >= min_revisit).groupBy(F.col("digest").alias("k_digest")).agg(F.max("page_id").alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    keepers = written(keepers, "warc-keepers")  # a join behind an aggregation can't split a hot payload
     joined = rows.join(keepers, (F.col("digest") == F.col("k_digest")) & (F.col("payload_bytes") >= min_revisit), "left")
     revisit = F.col("n").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep"))
     return joined.select("page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest", "payload_bytes", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("keep")).alias("refers_to"))
