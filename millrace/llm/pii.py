@@ -14,6 +14,8 @@ empty result; further columns stay only if asked for.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,19 +37,25 @@ FIRST_DAY, DAYS = "1900-01-01", 73_049  # through 2099-12-31
 RADIX = 271  # RADIX * RADIX >= DAYS
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of the value, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def digits_of(x: Column) -> Column:
     return F.regexp_replace(x, r"\D", "")
 
 
 def shifted(symbols: Column, stream: Column) -> Column:
     """Each letter or digit moved on within its own alphabet by two hexadecimal digits of the stream."""
-    def one(i: Column) -> Column:
+
+    def one(i: Column, known: Column) -> Column:
         c = F.substring(symbols, i, F.lit(1))
-        k = F.conv(F.substring(stream, (i * 2 - 1).cast("int"), F.lit(2)), 16, 10).cast("int")
+        k = F.conv(F.substring(known, (i * 2 - 1).cast("int"), F.lit(2)), 16, 10).cast("int")
         number = c.cast("string").rlike("^[0-9]$")
         return F.when(number, F.pmod(F.ascii(c) - 48 + k, F.lit(10)).cast("string")).otherwise(F.char(F.pmod(F.ascii(c) - 97 + k, F.lit(26)) + 97))
 
-    return F.when(F.length(symbols) == 0, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(symbols), F.lit(1))), one), ""))
+    return F.when(F.length(symbols) == 0, F.lit("")).otherwise(let(stream, lambda known: F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(symbols), F.lit(1))), lambda i: one(i, known)), "")))
 
 
 def permuted(symbols: Column, kind: str, key: str) -> Column:
@@ -84,7 +92,7 @@ def walked(start: Column, turn, good, most: int = 64) -> Column:
 def filled(template: Column, symbols: Column, spot: str = "[0-9]") -> Column:
     """The template with its spots replaced by the symbols in order."""
     between = F.split(template, spot, -1)
-    chars = F.transform(F.sequence(F.lit(1), F.size(between)), lambda i: F.substring(symbols, i, F.lit(1)))
+    chars = let(symbols, lambda s: F.transform(F.sequence(F.lit(1), F.size(between)), lambda i: F.substring(s, i, F.lit(1))))
     return F.array_join(F.zip_with(between, chars, lambda a, b: F.concat(a, b)), "")
 
 
@@ -112,9 +120,9 @@ def mod97(text: Column) -> Column:
 
 def card(m: Column, key: str) -> tuple[Column, Column]:
     d = digits_of(m)
-    body = permuted(F.substring(d, F.lit(1), F.length(d) - 1), "card", key)
-    check = F.pmod(-luhn_sum(body, False), F.lit(10)).cast("string")
-    return F.pmod(luhn_sum(d, True), F.lit(10)) == 0, filled(m, F.concat(body, check))
+    check = lambda body: F.pmod(-luhn_sum(body, False), F.lit(10)).cast("string")
+    new = let(permuted(F.substring(d, F.lit(1), F.length(d) - 1), "card", key), lambda body: F.concat(body, check(body)))
+    return let(d, lambda x: F.pmod(luhn_sum(x, True), F.lit(10)) == 0), filled(m, new)
 
 
 def phone(m: Column, key: str) -> tuple[Column, Column]:
@@ -139,10 +147,9 @@ def ipv4(m: Column, key: str) -> tuple[Column, Column]:
 def iban(m: Column, key: str) -> tuple[Column, Column]:
     plain = F.replace(m, F.lit(" "), F.lit(""))
     body = F.substring(plain, F.lit(5), F.length(plain))
-    new = permuted(F.lower(body), "iban", key)
-    new = F.upper(new)
-    check = F.lpad((98 - mod97(F.concat(new, F.substring(plain, 1, 2), F.lit("00")))).cast("string"), 2, "0")
-    return mod97(F.concat(body, F.substring(plain, 1, 4))) == 1, filled(m, F.concat(F.substring(plain, 1, 2), check, new), "[A-Z0-9]")
+    check = lambda new: F.lpad((98 - mod97(F.concat(new, F.substring(plain, 1, 2), F.lit("00")))).cast("string"), 2, "0")
+    whole = let(F.upper(permuted(F.lower(body), "iban", key)), lambda new: F.concat(F.substring(plain, 1, 2), check(new), new))
+    return mod97(F.concat(body, F.substring(plain, 1, 4))) == 1, filled(m, whole, "[A-Z0-9]")
 
 
 def date(m: Column, key: str) -> tuple[Column, Column]:
@@ -155,8 +162,12 @@ def date(m: Column, key: str) -> tuple[Column, Column]:
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), walked(index.cast("long"), turn, lambda v: v < DAYS, 32).cast("int"))
     sep = F.substring(m, 3, 1)
     swapped = read(day).isNull()
-    dd, mm = F.date_format(new, "dd"), F.date_format(new, "MM")
-    return index.between(0, DAYS - 1), F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(F.concat(F.when(swapped, mm).otherwise(dd), sep, F.when(swapped, dd).otherwise(mm), sep, F.date_format(new, "yyyy")))
+
+    def written_as(x: Column) -> Column:
+        dd, mm = F.date_format(x, "dd"), F.date_format(x, "MM")
+        return F.when(iso, F.date_format(x, "yyyy-MM-dd")).otherwise(F.concat(F.when(swapped, mm).otherwise(dd), sep, F.when(swapped, dd).otherwise(mm), sep, F.date_format(x, "yyyy")))
+
+    return index.between(0, DAYS - 1), let(new, written_as)
 
 
 def email(m: Column, key: str) -> tuple[Column, Column]:
