@@ -219,7 +219,7 @@ def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: in
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of `docs`."""
-    share = min(1.0, 2.5 * (100 - percent) / 100)
+    share = min(1.0, 2 * (100 - percent) / 100)
     spark, shingles = docs.sparkSession, shared_path(docs.sparkSession, "shingles")
     all_rows = written(shingle_rows(docs, id_col, text_col, n, share), "all", shingles)
     members = written(all_rows.drop("elements"), "members")
