@@ -366,6 +366,15 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_long_chains(spark):
+    ids = list(range(1, 1001))
+    random.Random(5).shuffle(ids)
+    steps = [*range(1002, 1150), 1001]  # the smallest at the end: its label has to walk back
+    links = [*zip(ids, ids[1:]), *zip(steps, steps[1:]), (2000, 2000), (2002, 2001), (2001, 2002)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(ids, 1), **dict.fromkeys(steps, 1001), 2001: 2001, 2002: 2001}
+
+
 def test_registry(spark, data):
     from millrace.llm import registry
 
