@@ -9,7 +9,8 @@ content paths' text is the article; its blocks, without those in boilerplate ele
 
 Defined results: a null or empty page, and one without text, gives an empty text with n_chars 0; unclosed and
 misnested tags are closed as browsers close them as far as blocks go; a tag cut off at the end of the page is
-no text; repeated rows are extracted one by one; an empty table gives an empty result; further columns are ignored.
+no text; a quote in a tag counts only behind "=" and if it is closed; a button, svg or the like without its end tag ends
+at the next block or where an element around it ends; repeated rows are extracted one by one; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot html body legend summa
 #: Words in class, id or role attributes of boilerplate.
 NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alerts?|popup|modal|overlay|comments?|disqus|replies|respond|sidebar|side-bar|widgets?|menus?|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|header|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|tags?|complementary|contentinfo|search|dialog)(?=$|[\s_-]|\d)", re.I)
 OWN = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|story|entry|body)(?=$|[\s_-])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)|[^>])*+)(>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
 HEADING = re.compile(r"/h[1-6](?:/|$)")
@@ -45,6 +46,9 @@ PUNCTUATION = re.compile(r"[.,;:!?…、。¿¡，？！]")
 ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",))}
 #: The tags that end a raw element.
 RAW_END = {tag: re.compile(rf"</{tag}\s*>|\Z", re.I) for tag in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
+#: Other elements whose content is skipped.
+PAIRED = SKIP - frozenset(RAW_END) - {"head"}
+ANY_PAIRED = re.compile(rf"<(?:{'|'.join(sorted(PAIRED))})(?=[\s/>])", re.I)
 
 
 class Leaf:
@@ -65,6 +69,31 @@ def is_boiler(tag: str, attributes: str, inside_article: bool) -> bool:
     return bool(values) and tag not in ("article", "main", "body", "html") and bool(NOISE.search(values)) and not OWN.search(values)
 
 
+def paired_ends(page: str) -> dict[int, int]:
+    """Where the outermost skipped elements end, by the place behind their opening tag; those without an end tag of their own are left out."""
+    ends: dict[int, int] = {}
+    first = ANY_PAIRED.search(page)
+    at, stack = 0, []
+    while first and (start := page.find("<", at)) >= 0:
+        m = TOKEN.match(page, start)
+        at = m.end() if m else start + 1
+        tag = m[2].lower() if m and m[2] else None
+        if tag is None or tag in VOID:
+            continue
+        if m[1]:
+            to = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            if to is not None:
+                if tag in PAIRED:
+                    ends[stack[to][1]] = at
+                del stack[to:]
+        elif tag in RAW_END:
+            at = RAW_END[tag].search(page, at).end()
+        elif tag in PAIRED or tag in BLOCKS:
+            if not (m[3].endswith("/") and tag in ("svg", "math")):
+                stack.append((tag, at))
+    return ends
+
+
 def leaves(page: str) -> list[Leaf]:
     """The page's text leaves in order, holders and tags of the path side by side."""
     found: list[Leaf] = []
@@ -82,7 +111,7 @@ def leaves(page: str) -> list[Leaf]:
             top = stack[-1]
             found.append(Leaf(piece, top[3], tuple(x[1] for x in stack), block, top[2]))
 
-    size = len(page)
+    size, ends = len(page), paired_ends(page)
     while at < size:
         start = page.find("<", at)
         if start < 0:
@@ -110,6 +139,10 @@ def leaves(page: str) -> list[Leaf]:
         if tag == "br":
             text("\n")
             continue
+        if tag in BLOCKS:
+            to = next((i for i in range(1, len(stack)) if stack[i][0] in PAIRED), 0)
+            if to:
+                pop(to)
         if tag in CLOSES_P:
             to = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "p"), 0)
             if to:
@@ -124,25 +157,26 @@ def leaves(page: str) -> list[Leaf]:
                     break
         if tag in BLOCKS:
             block += 1
-        if tag in VOID or m[3].endswith("/") and tag in ("svg", "path"):
+        if tag in VOID or m[3].endswith("/") and tag in ("svg", "math", "path"):
             continue
         if tag in RAW_END:
             at = RAW_END[tag].search(page, at).end()
             continue
-        if tag in SKIP:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            body = re.compile(r"<body[\s>]", re.I).search(page, at) if tag == "head" else None
+        if tag == "head":
+            end = re.compile(r"</head\s*>", re.I).search(page, at)
+            body = re.compile(r"<body[\s>]", re.I).search(page, at)
             if body and (not end or body.start() < end.start()):
                 at = body.start()
             elif end:
                 at = end.end()
-            elif tag != "head":
-                break
+            continue
+        if at in ends:
+            at = ends[at]
             continue
         number += 1
         top = stack[-1]
         inside = "/article" in top[3] or "/main" in top[3]
-        stack.append((tag, number, top[2] or is_boiler(tag, m[3], inside), f"{top[3]}/{tag}"))
+        stack.append((tag, number, top[2] or tag in PAIRED or is_boiler(tag, m[3], inside), f"{top[3]}/{tag}"))
     return found
 
 

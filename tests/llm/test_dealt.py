@@ -289,6 +289,24 @@ def test_main_text(spark):
     assert html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["button", "select", "svg", "object", "math", "canvas", "audio", "video"])
+def test_main_text_behind_unclosed_elements(tag):
+    e = html_extract.extract
+    assert e(f"<article><p>one <{tag} a=b>x</p><p>two</p></article>") == "one\n\ntwo"
+    assert e(f"<article><{tag}>x<p>one</p><p>two</p></article><footer>f</footer>") == "one\n\ntwo"
+    assert e(f"<article><p>one <{tag}>x<p>two <{tag}>y</{tag}> more</p><script>'</{tag}>'</script><p>three</p></article>") == "one\n\ntwo more\n\nthree"
+    assert e(f"<article><p>one <{tag}>x<{tag}>y</{tag}>z</{tag}> two</p></article>") == "one two"
+    assert e(f"<article><p>one <{tag}><div>x</div></{tag}> two</p></article>") == "one two"
+
+
+def test_main_text_behind_stray_quotes():
+    e = html_extract.extract
+    for attributes in ('title="a""', "class=it's", "title='a'b'", 'title="a', "data-x=5\" data-y", '"', "a = 'x > y'", 'href=x?a="b'):
+        assert e(f"<article><p {attributes}>one</p><p>two</p></article>") == "one\n\ntwo", attributes
+    assert e('<article><p title="a"">one</p><p id="b">two</p></article>') == "one\n\ntwo"
+    assert e("<article><p>one</p><p class=it's>two's</p></article>") == "one\n\ntwo's"
+
+
 def test_main_text_of_given_pages(spark, data):
     """The pages given mark their article; a plain cut at its tags must give the same blocks."""
     import html
