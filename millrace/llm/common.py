@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset and Spark runs in one process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = current.get() if current.isDefined() else None
+    if not base and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(base)
@@ -42,6 +45,20 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def located(df: DataFrame) -> DataFrame:
+    """The rows with (__at_file, __at_row), the file and place each is read from; what isn't just columns of one table in files is written first."""
+    if not df.isStreaming:
+        steps = [x.lstrip(" +-:").split(" ")[0] for x in df._jdf.queryExecution().analyzed().toString().splitlines()]
+        if steps[-1:] != ["Relation"] or set(steps) - {"Relation", "Project"}:
+            df = written(df, "located")
+    return df.withColumns({"__at_file": F.col("_metadata.file_path"), "__at_row": F.col("_metadata.row_index")})
+
+
+def near(df: DataFrame, most: int) -> DataFrame:
+    """A table for the small side of a join: broadcast if it has at most `most` rows, else left to a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path below the shared folder."""
     jvm = spark.sparkContext._jvm

@@ -3,14 +3,18 @@
 Fixed masks pick some of the tokens at every position and ignore the others; hashes of the picked tokens of test
 items and of training texts are joined. A hit fixes an alignment of text and item without gaps, and every alignment is
 verified once: it counts as an overlap if some window of `WINDOW` tokens (the whole item if that is shorter) has at
-least `SHARE` equal tokens, so single substituted words don't hide a passage. All of it is DataFrame and SQL
-expressions. Seeds and items are broadcast only while there are at most `BROADCAST_SEEDS` seeds, which bounds the
-items' tokens as well; beyond, both sides are shuffled by hash.
+least `SHARE` equal tokens, so single substituted words don't hide a passage. The four masks together have a hit for
+every placement of the substitutions that `SHARE` allows, in windows of 7 to 20 tokens, so no overlap is missed. Items of
+fewer than `MIN_ITEM` tokens overlap where all of their tokens occur side by side; their one mask is the item itself.
+
+All of it is DataFrame and SQL expressions. Seeds are rows of a hash and a place; texts' tokens never travel with them
+but are read again for the alignments found. Seeds and alignments are broadcast while there are at most
+`BROADCAST_SEEDS` of them, else joined by hash, with the same result.
 
 Defined results: tokens are runs of letters and digits in lower case; texts that are null or have fewer tokens than an
-item's window overlap with nothing; so do items with fewer than `MIN_ITEM` tokens; items with equal texts are each
-reported; repeated rows with equal identifiers are reported once; empty tables give an empty result; extra columns are
-ignored.
+item's window overlap with nothing; so do items without tokens; items with equal texts are each reported; repeated rows
+with equal identifiers are reported once (`keep_clean` judges every row by its own text, whatever its identifier); empty
+tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,11 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import located, near, table, written
 
-#: Offsets of the tokens that each mask picks; each tolerates another spacing of substitutions.
-MASKS = ((0, 1, 2, 4, 5), (0, 1, 2, 3, 5), (0, 1, 3, 4, 6))
-SPAN = 7
+#: Offsets of the tokens that each mask picks; together they hit whatever substitutions SHARE allows.
+MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 2, 3, 6), (0, 1, 3, 5, 6))
 MIN_ITEM, WINDOW, SHARE = 7, 20, 0.8
 BROADCAST_SEEDS = 500_000
 
@@ -32,22 +35,23 @@ def tokens(text: Column) -> Column:
 
 
 def seed(words: Column, at: Column, mask: tuple[int, ...]) -> Column:
-    return F.xxhash64(F.lit(",".join(map(str, mask))), *(F.get(words, at + k) for k in mask))
+    """The hash of what the mask picks, null where it doesn't fit."""
+    return F.when(at + mask[-1] < F.size(words), F.xxhash64(F.lit(",".join(map(str, mask))), *(F.get(words, at + k) for k in mask)))
 
 
 def item_words(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """(item_id, item_hash, item_tokens) of the items that can overlap, without repeats."""
-    rows = items.select(F.col(item_col).alias("item_id"), tokens(F.col(text_col)).alias("item_tokens")).where(F.size("item_tokens") >= MIN_ITEM)
-    return rows.withColumn("item_hash", F.xxhash64("item_tokens")).distinct()
+    """(item_id, item_hash, item_tokens, m) of the items that can overlap, without repeats."""
+    rows = items.select(F.col(item_col).alias("item_id"), tokens(F.col(text_col)).alias("item_tokens")).where(F.size("item_tokens") > 0)
+    return rows.withColumns({"item_hash": F.xxhash64("item_tokens"), "m": F.size("item_tokens")}).distinct()
 
 
-def item_seeds(words: DataFrame) -> DataFrame:
-    """(item_id, item_hash, m, item_at, pair, seed) of every position and mask of every item of m tokens."""
-    rows = words.withColumn("item_at", F.explode(F.sequence(F.lit(0), F.size("item_tokens") - 6)))
-    w, at = F.col("item_tokens"), F.col("item_at")
-    whole = [F.when(at + mask[-1] < F.size(w), seed(w, at, mask)) for mask in MASKS]
-    rows = rows.withColumns({"m": F.size(w), "pair": F.xxhash64(F.get(w, at), F.get(w, at + 1)), "seeds": F.array(*whole)})
-    return rows.select("item_id", "item_hash", "m", "item_at", "pair", F.explode("seeds").alias("seed")).where("seed is not null")
+def item_seeds(words: DataFrame, short: list[int]) -> DataFrame:
+    """(item_id, item_hash, m, item_at, first, second, seed): every position and mask of every item, one seed for items under MIN_ITEM tokens."""
+    w, at, m = F.col("item_tokens"), F.col("item_at"), F.col("m")
+    rows = words.withColumn("item_at", F.explode(F.when(m < MIN_ITEM, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), m - 1))))
+    seeds = [F.when(m >= MIN_ITEM, seed(w, at, mask)) for mask in MASKS] + [F.when(m == k, seed(w, at, tuple(range(k)))) for k in short]
+    rows = rows.withColumns({"first": F.get(w, at), "second": F.get(w, at + 1), "seeds": F.array(*seeds)})
+    return rows.select("item_id", "item_hash", "m", "item_at", "first", "second", F.explode("seeds").alias("seed")).where("seed is not null")
 
 
 def best_window(equal: Column, size: Column) -> Column:
@@ -56,50 +60,68 @@ def best_window(equal: Column, size: Column) -> Column:
     return F.array_max(F.transform(starts, lambda k: F.size(F.filter(F.slice(equal, k, size), lambda x: x))))
 
 
+def aligned_overlaps(placed: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(kept columns, __at_file, __at_row, item_id, start, window_size, matched): every alignment of a located text and an item that is an overlap."""
+    known = written(item_words(items, item_col, item_text_col), "items")
+    short = sorted(r.m for r in known.where(F.col("m") < MIN_ITEM).select("m").distinct().collect())
+    seeds = written(item_seeds(known, short), "item-seeds")
+    # Every mask picks the first two tokens (one-token items have no second), so most places go before any seed is made.
+    pick = ["first"] if 1 in short else ["first", "second"]
+    begins = near(seeds.select(F.xxhash64(*pick).alias("begin")).distinct(), BROADCAST_SEEDS)
+    words = placed.select(F.xxhash64("__at_file", "__at_row").alias("place"), tokens(F.col(text_col)).alias("w")).where(F.size("w") > 0)
+    places = words.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("w") - 1))).withColumn("begin", F.xxhash64(*(F.get("w", F.col("at") + k) for k in range(len(pick)))))
+    hashes = F.array(*(seed(F.col("w"), F.col("at"), mask) for mask in [*MASKS, *(tuple(range(k)) for k in short)]))
+    found = places.join(begins, "begin", "left_semi").select("place", "at", F.explode(hashes).alias("seed")).where("seed is not null")
+    hits = found.join(near(seeds.select("item_id", "item_hash", "m", "item_at", "seed"), BROADCAST_SEEDS), "seed")
+    hits = written(hits.select("place", "item_id", "item_hash", "m", (F.col("at") - F.col("item_at")).alias("offset")).distinct(), "alignments")
+    # Tokens of the texts and items that have hits.
+    texts = placed.withColumn("place", F.xxhash64("__at_file", "__at_row")).join(near(hits.select("place").distinct(), BROADCAST_SEEDS), "place", "left_semi")
+    texts = texts.select(*keep, "__at_file", "__at_row", "place", tokens(F.col(text_col)).alias("w"))
+    texts = written(texts, "texts-with-hits")
+    m, offset = F.col("m"), F.col("offset")
+    low, size = F.greatest(offset, F.lit(0)), F.least(m, F.lit(WINDOW))
+    both = texts.join(near(hits, BROADCAST_SEEDS), "place")
+    high = F.least(F.size("w"), offset + m)
+    there = both.where(high - low >= size).select(*keep, "__at_file", "__at_row", "item_id", "item_hash", low.alias("start"), (low - offset).alias("item_start"), size.alias("window_size"), F.slice("w", low + 1, high - low).alias("there"))
+    same_item = F.col("t.item_id").eqNullSafe(F.col("k.item_id")) & (F.col("t.item_hash") == F.col("k.item_hash"))
+    full = there.alias("t").join(near(known, BROADCAST_SEEDS // WINDOW).alias("k"), same_item).select("t.*", "k.m", F.slice("k.item_tokens", F.col("item_start") + 1, F.size("there")).alias("here"))
+    checked = full.withColumn("matched", best_window(F.zip_with("there", "here", lambda a, b: a == b), F.col("window_size")))
+    least = F.when(F.col("m") < MIN_ITEM, F.col("m")).otherwise(F.ceil(F.col("window_size") * SHARE))
+    return checked.where(F.col("matched") >= least).select(*keep, "__at_file", "__at_row", "item_id", "start", "window_size", "matched")
+
+
 def overlaps(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, start, window_size, matched): one row per text and item that overlap; the best alignment, then the first."""
-    known = item_words(items, item_col, item_text_col)
-    seeds = item_seeds(known)
-    small = seeds.count() <= BROADCAST_SEEDS
-    near = F.broadcast if small else (lambda x: x)
-    pairs = seeds.select("pair").distinct()
-    words = docs.select(F.col(doc_col).alias("doc_id"), tokens(F.col(text_col)).alias("w")).where(F.size("w") >= MIN_ITEM)
-    places = words.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("w") - 6))).withColumn("pair", F.xxhash64(F.get("w", "at"), F.get("w", F.col("at") + 1)))
-    # Every mask picks the first two tokens, so most places go before any seed is made.
-    places = places.join(near(pairs), "pair", "left_semi")
-    hashes = F.array(*(F.when(F.col("at") + mask[-1] < F.size("w"), seed(F.col("w"), F.col("at"), mask)) for mask in MASKS))
-    places = places.select("doc_id", "w", "at", F.explode(hashes).alias("seed")).where("seed is not null")
-    hits = places.join(near(seeds.drop("pair")), "seed")
-    n, m = F.size("w"), F.col("m")
-    offset = F.col("at") - F.col("item_at")
-    low, high = F.greatest(offset, F.lit(0)), F.least(n, offset + m)
-    size = F.least(m, F.lit(WINDOW))
-    aligned = hits.select("doc_id", "item_id", "item_hash", low.alias("start"), (low - offset).alias("item_start"), size.alias("window_size"), F.slice("w", low + 1, high - low).alias("there"))
-    once = aligned.where(F.size("there") >= F.col("window_size")).distinct().alias("a")
-    both = once.join(near(known).alias("b"), F.col("a.item_id").eqNullSafe(F.col("b.item_id")) & (F.col("a.item_hash") == F.col("b.item_hash"))).select("a.*", "b.item_tokens")
-    here = F.slice("item_tokens", F.col("item_start") + 1, F.size("there"))
-    checked = both.withColumn("matched", best_window(F.zip_with("there", here, lambda a, b: a == b), F.col("window_size")))
-    good = checked.where(F.col("matched") >= F.ceil(F.col("window_size") * SHARE))
+    placed = located(docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("__text")))
+    good = aligned_overlaps(placed, items, "__text", item_col, item_text_col, ("doc_id",))
     best = F.max(F.struct("matched", (-F.col("start")).alias("s"), "window_size"))
     return good.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", (-F.col("b.s")).alias("start"), F.col("b.window_size").alias("window_size"), F.col("b.matched").alias("matched"))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that overlap with no item."""
+    placed = located(docs)
+    leaks = written(aligned_overlaps(placed.select(F.col(text_col).alias("__text"), "__at_file", "__at_row"), items, "__text", item_col, item_text_col).select("__at_file", "__at_row").distinct(), "leaks")
+    return placed.join(near(leaks, BROADCAST_SEEDS // 2), ["__at_file", "__at_row"], "left_anti").select(*docs.columns)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Without seeds: with as many substitutions as are allowed, some three tokens side by side are equal, so all alignments
+#: that share a run of three (short items: that are equal) are compared.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS v FROM benchmark),
-masks AS (SELECT unnest([[0, 1, 2, 4, 5], [0, 1, 2, 3, 5], [0, 1, 3, 4, 6]]) AS k),
-dp AS (SELECT doc_id, w, unnest(range(0, len(w) - 5)) AS p FROM d WHERE len(w) >= 7),
-bp AS (SELECT item_id, v, unnest(range(0, len(v) - 5)) AS p FROM b WHERE len(v) >= 7),
-ds AS (SELECT doc_id, w, p, k, array_to_string([w[p + 1 + k[1]], w[p + 1 + k[2]], w[p + 1 + k[3]], w[p + 1 + k[4]], w[p + 1 + k[5]]], ' ') AS s FROM dp, masks WHERE p + k[5] < len(w)),
-bs AS (SELECT item_id, v, p, k, array_to_string([v[p + 1 + k[1]], v[p + 1 + k[2]], v[p + 1 + k[3]], v[p + 1 + k[4]], v[p + 1 + k[5]]], ' ') AS s FROM bp, masks WHERE p + k[5] < len(v)),
-h AS (SELECT DISTINCT doc_id, w, item_id, v, ds.p - bs.p AS o FROM ds JOIN bs USING (k, s)),
-a AS (SELECT doc_id, item_id, greatest(o, 0) AS start, least(len(v), 20) AS win,
-             [CASE WHEN w[o + 1 + i] = v[1 + i] THEN 1 ELSE 0 END FOR i IN range(greatest(-o, 0), least(len(v), len(w) - o))] AS eq FROM h),
-c AS (SELECT doc_id, item_id, start, win, list_max([list_sum(eq[j:j + win - 1]) FOR j IN range(1, len(eq) - win + 2)]) AS matched FROM a WHERE len(eq) >= win),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) AS n FROM c WHERE matched >= ceil(win * 0.8))
+dp AS (SELECT doc_id, w, p, array_to_string(w[p + 1:p + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(0, len(w) - 2)) AS p FROM d)),
+bp AS (SELECT item_id, v, p, array_to_string(v[p + 1:p + 3], ' ') AS g FROM (SELECT item_id, v, unnest(range(0, len(v) - 2)) AS p FROM b WHERE len(v) >= 7)),
+sd AS (SELECT doc_id, w, k, p, array_to_string(w[p + 1:p + k], ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(0, len(w) - k + 1)) AS p FROM d, (SELECT DISTINCT len(v) AS k FROM b WHERE len(v) BETWEEN 1 AND 6))),
+h AS (SELECT doc_id, w, item_id, v, dp.p - bp.p AS o FROM dp JOIN bp USING (g)
+      UNION ALL SELECT doc_id, w, item_id, v, p FROM sd JOIN b ON k = len(v) AND g = array_to_string(v, ' ')),
+a AS (SELECT doc_id, item_id, greatest(o, 0) AS start, len(v) AS m, least(len(v), 20) AS win,
+             [CASE WHEN w[o + 1 + i] = v[1 + i] THEN 1 ELSE 0 END FOR i IN range(greatest(-o, 0), least(len(v), len(w) - o))] AS eq FROM (SELECT DISTINCT * FROM h)),
+c AS (SELECT doc_id, item_id, start, win, m, list_max([list_sum(eq[j:j + win - 1]) FOR j IN range(1, len(eq) - win + 2)]) AS matched FROM a WHERE len(eq) >= win),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) AS n FROM c WHERE matched >= CASE WHEN m < 7 THEN m ELSE ceil(win * 0.8) END)
 SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(win AS INTEGER) AS "window_size", CAST(matched AS INTEGER) AS matched FROM r WHERE n = 1
 """

@@ -1,14 +1,19 @@
 """Exact deduplication as a stateful stream.
 
-A file stream is grouped by content digest in a keyed state store that lives on disk (RocksDB), without
-watermark, so no key ever expires. Per digest the state retains the largest stable identifier, the locator of
-its content (file and row) and the number of rows. Every micro-batch writes the groups it changed to a table;
-the newest row per digest is the state. A hit (a row whose digest has another keeper) is accepted only after its
-full bytes equal the keeper's; rows that differ in bytes fall back to groups of their own text.
+Documents become records of content digest, identifier and locator (file and row). A stream over the files of records
+is grouped by digest in a keyed state store that lives on disk (RocksDB), without watermark, so no key ever expires.
+Per digest the state retains the largest stable identifier, the locator of its content and the number of rows. Every
+micro-batch writes the groups it changed to a table; the newest row per digest is the state. Hits are accepted only
+after a comparison of full bytes: of the texts of every digest with several rows, the least and the greatest have to be
+equal, which aggregates before anything is shuffled, so that a group of any size is checked without meeting in one
+task. Rows of a digest that stands for several texts fall back to groups of their own bytes.
+
+Texts are only shuffled for that comparison, never those of rows without copies while the digests that have copies are at most
+`BROADCAST` (beyond, they are joined by digest).
 
 Defined results: a null text counts as empty; empty texts are equal to each other; a null identifier is the
 smallest; rows that repeat an identifier and text all point at the same keeper and `kept` marks each of them
-(`stays` and `keep_one` leave one); an empty table gives an empty result; further columns are ignored, also when they carry
+(`keep_one` leaves one); an empty table gives an empty result; further columns are ignored, also when they carry
 the names of result columns.
 """
 
@@ -19,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, remove, shared_path, written
+from .common import ascii_lower, located, near, remove, shared_path, table, written
 
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -28,30 +33,32 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
+BROADCAST = 250_000  # digests with copies that may be broadcast
+
+
+def sha256(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def sha256_hex(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+def folded(text_col: str) -> Column:
+    """A-Z lower-cased text, null as empty."""
+    return ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def normalised(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
-    """(__id, __text, __digest): A-Z lower-cased text, null as empty."""
-    text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.select(F.col(id_col).alias("__id"), text.alias("__text"), *(c for c in docs.columns if c.startswith("__at_"))).withColumn("__digest", digest(F.col("__text")))
+def records(placed: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """(digest, id, file, row) of located documents, batch or stream."""
+    return placed.select(digest(folded(text_col)).alias("digest"), F.col(id_col).alias("id"), F.col("__at_file").alias("file"), F.col("__at_row").alias("row"))
 
 
-def run_stream(spark: SparkSession, source: DataFrame, table_path: str, checkpoint: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex) -> None:
-    """Bring the digest table at `table_path` up to date with all files of the stream that are new to `checkpoint`.
+def run_stream(spark: SparkSession, source: DataFrame, table_path: str, checkpoint: str) -> None:
+    """Bring the digest table at `table_path` up to date with all records of the stream that are new to `checkpoint`.
 
     Rerunning with the same checkpoint takes up the state where the last run left it.
     """
-    located = source.withColumn("__at_file", F.col("_metadata.file_path")).withColumn("__at_row", F.col("_metadata.row_index"))
-    rows = normalised(located, id_col, text_col, digest)
-    best = F.max(F.struct(F.col("__id").alias("id"), F.col("__at_file").alias("file"), F.col("__at_row").alias("row")))
-    state = rows.groupBy("__digest").agg(best.alias("keeper"), F.count(F.lit(1)).alias("group_size"))
+    state = source.groupBy("digest").agg(F.max(F.struct("id", "file", "row")).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.select("__digest", "keeper", "group_size", F.lit(number).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{table_path}/run={number}")
+        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{table_path}/run={number}")
 
     before = {k: spark.conf.get(k, None) for k in STORE}
     try:
@@ -64,83 +71,68 @@ def run_stream(spark: SparkSession, source: DataFrame, table_path: str, checkpoi
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def read_state(spark: SparkSession, table_path: str) -> DataFrame:
-    """(__digest, keep_id, file, row, group_size): the newest row per digest of all that the stream has written."""
-    schema = "__digest string, keeper struct<id: bigint, file: string, row: bigint>, group_size bigint, batch bigint, run long"
+def read_state(spark: SparkSession, table_path: str, digest_type: str = "binary") -> DataFrame:
+    """(digest, keeper, group_size): the newest row per digest of all that the stream has written."""
+    schema = f"digest {digest_type}, keeper struct<id: bigint, file: string, row: bigint>, group_size bigint, batch bigint, run long"
     rows = spark.read.schema(schema).option("basePath", table_path).parquet(table_path)
-    newest = rows.groupBy("__digest").agg(F.max_by(F.struct("keeper", "group_size"), "batch").alias("s")).select("__digest", "s.*")
-    return newest.select("__digest", F.col("keeper.id").alias("__keep"), F.col("keeper.file").alias("file"), F.col("keeper.row").alias("row"), "group_size")
+    return rows.groupBy("digest").agg(F.max_by(F.struct("keeper", "group_size"), "batch").alias("s")).select("digest", "s.*")
 
 
-def resolve(docs: DataFrame, state: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex, folder: str | None = None) -> DataFrame:
-    """Decide every row against the state and check the full bytes of hits.
+def decisions(placed: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(digest, id, file, row) of all rows, and (digest, keeper, group_size) of the digests with several rows after all of them went through the stream.
 
-    Returns (doc_id, keep_id, group_size, kept, text_sha256), one row per row of `docs`; with located rows also
-    (file, row, stays), where one row per group stays. Tables in between go to `folder`.
+    Where a digest stands for several texts, `digest` has the text itself behind it in both tables.
     """
-    rows = normalised(docs, id_col, text_col, digest)
-    has_place = "__at_file" in docs.columns
-    place = F.struct(F.col("__at_file").alias("file"), F.col("__at_row").alias("row")) if has_place else F.lit(None).cast("struct<file:string,row:bigint>")
-    known = state.select("__digest", "__keep", "group_size", F.struct("file", "row").alias("__stay"))
-    # Both sides that groups are joined to are written first: a join behind an aggregation can't split a hot group.
-    joined = rows.withColumn("__place", place).join(written(known, "dedup-groups", folder), "__digest")
-    shared = F.col("group_size") > 1
-    found = joined.select("__id", "__digest", "__keep", "group_size", "__place", "__stay", sha256_hex(F.col("__text")).alias("sha"), F.when(shared, F.col("__text")).alias("__text"))
-    found = written(found, "dedup-rows", folder)
-    keeper = F.col("__id").eqNullSafe(F.col("__keep"))
-    hits = found.where((F.col("group_size") > 1) & ~keeper)
-    keepers = written(found.where((F.col("group_size") > 1) & keeper).groupBy(F.col("__digest").alias("k_digest")).agg(F.min("__text").alias("k_text")), "dedup-keepers", folder)
-    checked = hits.join(keepers, F.col("__digest") == F.col("k_digest"), "left").withColumn("same", F.col("__text").eqNullSafe(F.col("k_text"))).select(*found.columns, "same")
-    differ = checked.where(~F.col("same"))
-
-    def result(rows: DataFrame) -> DataFrame:
-        out = rows.select(F.col("__id").alias(id_col), F.col("__keep").alias("keep_id"), "group_size", F.col("__id").eqNullSafe(F.col("__keep")).alias("kept"), F.col("sha").alias("text_sha256"), "__place.file", "__place.row", (F.col("__place") == F.col("__stay")).alias("stays"))
-        return out if has_place else out.drop("file", "row", "stays")
-
-    plain = found.where((F.col("group_size") == 1) | keeper).unionByName(checked.where("same").drop("same"))
-    if differ.isEmpty():
-        return result(plain)
-    # A digest that stands for several texts: those rows are grouped again by their own bytes.
-    clashing = differ.select("__digest").distinct()
-    redo = found.join(clashing, "__digest", "left_semi").drop("__keep", "group_size", "__stay")
-    own = redo.groupBy("__digest", "__text").agg(F.max(F.struct("__id", "__place")).alias("__own"), F.count(F.lit(1)).alias("group_size"))
-    again = redo.join(own, ["__digest", "__text"]).withColumns({"__keep": F.col("__own.__id"), "__stay": F.col("__own.__place")})
-    return result(plain.join(clashing, "__digest", "left_anti")).unionByName(result(again))
-
-
-def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex, files_per_batch: int | None = None, places: bool = False, work: str | None = None) -> DataFrame:
-    """Stream all parquet files below `path` through the keyed state, then resolve every row; `places` as in `resolve`."""
-    docs = spark.read.parquet(path)
-    reader = spark.readStream.schema(docs.select(id_col, text_col).schema)
+    spark, work = placed.sparkSession, shared_path(placed.sparkSession, "dedup")
+    rows = written(records(placed, id_col, text_col, digest), "records", work)
+    reader = spark.readStream.schema(rows.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    work = work or shared_path(spark, "dedup")
-    folder, _, name = path.rpartition("/")
-    source = reader.parquet(f"{folder}/[{name[0]}]{name[1:]}")  # as a pattern, the path may be a folder or a single file
-    run_stream(spark, source, f"{work}/table", f"{work}/checkpoint", id_col, text_col, digest)
-    if not docs.take(1):
-        out = docs.select(F.col(id_col), F.col(id_col).alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lit("").alias("text_sha256")).limit(0)
-        return out.withColumns({"file": F.lit(""), "row": F.lit(0).cast("long"), "stays": F.lit(True)}) if places else out
-    slim = docs.select(id_col, text_col, *([F.col("_metadata.file_path").alias("__at_file"), F.col("_metadata.row_index").alias("__at_row")] if places else []))
-    out = resolve(slim, read_state(spark, f"{work}/table"), id_col, text_col, digest, work)
+    run_stream(spark, reader.parquet(f"{work}/records"), f"{work}/table", f"{work}/checkpoint")
+    kind = rows.schema["digest"].dataType.simpleString()
+    copies = read_state(spark, f"{work}/table", kind) if rows.head(1) else rows.select("digest", F.struct("id", "file", "row").alias("keeper"), F.lit(1).cast("long").alias("group_size"))
+    copies = written(copies.where("group_size > 1"), "dedup-copies")
     remove(spark, f"{work}/checkpoint")
-    return out
-
-
-def keep_one(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_hex) -> DataFrame:
-    """The rows of the parquet files below `path` that stay, one for each group, found again by file and place."""
-    work = shared_path(spark, "dedup")
-    decisions = exact_dedup(spark, path, id_col, text_col, digest, places=True, work=work)
-    stays = written(decisions.where("stays").select("file", "row"), "dedup-stays")
-    remove(spark, work)
-    docs = spark.read.parquet(path)
-    own = F.struct(*(F.col(c) for c in docs.columns)).alias("own")
-    rows = docs.select(own, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return rows.join(stays, ["file", "row"], "left_semi").select("own.*")
+    remove(spark, f"{work}/table")
+    # Full bytes: a digest whose texts aren't all equal is no group.
+    text = folded(text_col)
+    texts = placed.select(digest(text).alias("digest"), text.alias("t")).join(near(copies.select("digest"), BROADCAST), "digest", "left_semi")
+    clashes = written(texts.groupBy("digest").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low <> high").select("digest"), "dedup-clashes")
+    if clashes.isEmpty():
+        return rows, copies
+    wide = lambda d: d.cast("binary")
+    own = placed.select(digest(text).alias("digest"), text.alias("t"), F.col(id_col).alias("id"), F.col("__at_file").alias("file"), F.col("__at_row").alias("row")).join(clashes, "digest", "left_semi")
+    own = written(own.withColumn("digest", F.concat(wide(F.col("digest")), F.lit(b"\0"), wide(F.col("t")))).drop("t"), "dedup-own")
+    groups = own.groupBy("digest").agg(F.max(F.struct("id", "file", "row")).alias("keeper"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    apart = lambda df: df.join(clashes, "digest", "left_anti").withColumn("digest", F.concat(wide(F.col("digest")), F.lit(b"\1")))
+    return apart(rows).unionByName(own), written(apart(copies).unionByName(groups), "dedup-copies")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256), one row per row of `docs`."""
+    placed = located(docs.select(id_col, text_col))
+    rows, copies = decisions(placed, id_col, text_col, digest, files_per_batch)
+    if digest is not sha256:
+        texts = placed.select(sha256(folded(text_col)).alias("sha"), F.col("__at_file").alias("file"), F.col("__at_row").alias("row"))
+        rows = rows.join(texts, ["file", "row"])
+    else:
+        rows = rows.withColumn("sha", F.substring("digest", 1, 32))
+    found = rows.join(near(copies, BROADCAST), "digest", "left")
+    keep = F.when(F.col("keeper").isNull(), F.col("id")).otherwise(F.col("keeper.id"))
+    return found.select(F.col("id").alias(id_col), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """The rows of `docs` that stay, one for each group, by file and place."""
+    placed = located(docs)
+    rows, copies = decisions(placed, id_col, text_col, digest)
+    gone = rows.join(near(copies, BROADCAST), "digest").where((F.col("file") != F.col("keeper.file")) | (F.col("row") != F.col("keeper.row")))
+    gone = near(written(gone.select(F.col("file").alias("__at_file"), F.col("row").alias("__at_row")), "dedup-gone"), BROADCAST)
+    return placed.join(gone, ["__at_file", "__at_row"], "left_anti").select(*docs.columns)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 ORACLE = """

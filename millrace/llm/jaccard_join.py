@@ -1,29 +1,34 @@
 """Similarity join of texts by the Jaccard index of their word n-grams, size-aware (heavy and light sets).
 
-1. Every text becomes the set of hashes of its n-grams; texts with equal sets are one class from here on.
-2. A set may link to another only if all but `slack` of its elements occur elsewhere. Elements in a fixed share of the
-   hash space are counted over all sets; a set with more than `slack` unshared elements among those goes.
+1. Every text becomes the set of hashes of its n-grams; texts with equal sets are one class.
+2. A set may link to another only if all but `slack` of its elements occur elsewhere. Elements below a share of the
+   hash space that falls with the set's size are counted over all sets, in one exchange of hashes that aggregates
+   before it; a set with more than `slack` elements that nobody else has goes.
 3. Light sets (up to a boundary chosen by cost): every subset that a link needs at least is enumerated; sets that meet
    in a subset S after leaving out a and b elements are linked for certain if S is large enough for a + b, and
    linking each to the one that left out least keeps every component, so a subset common to thousands of sets costs
    thousands of rows and no verification.
-4. Heavy sets: the inverted lists of their rarest elements (as many as a link can't miss, counted over all
-   remaining sets) are scanned. First each set is verified against its list's hub, the set with the fewest unshared
-   elements; then pairs of one list that are still in different components and whose sizes, unshared
-   elements and positions allow a link are verified by their whole sets. A pair in one component needs no check.
-The boundary is the size up to which the subsets of a set are fewer than the elements that its scan would cost.
+4. Heavy sets: the inverted lists of their first elements, as many as a link can't miss, are scanned. The order is
+   rarest first by counts of a fixed number of hash buckets, so elements that many sets have come last. First each set
+   is checked against its list's hub; then pairs of one list that are still in different components and whose sizes,
+   positions and parity sketches allow a link. A pair in one component needs no check.
+The boundary is the size up to which the subsets of a set are fewer than the elements that its scan would cost. Pairs
+are dropped only by bounds that no link can break: sizes, positions in the common order, and the bits in which two
+parity sketches differ, which are at most the elements in which the sets differ. Those left are verified by whole sets.
 
 No candidates are capped or dropped; links between classes are exact up to 64-bit hash collisions.
 
 Defined results: words are runs of bytes other than space and tab to carriage return, A-Z in lower case; a text with
 fewer words than n is one n-gram of all of them; null texts and texts without words have an empty set, which links
-with nothing; a null identifier is a text of its own kind and never the smallest; rows that repeat are linked as equal
-texts; an empty table gives an empty result; extra columns are ignored.
+with nothing and has its own identifier as component; every row is a document of its own, also if several share an
+identifier; a null identifier is never the smallest, and the component only where all of it are null; rows that repeat
+are linked as equal texts; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections.abc import Iterator
 from math import ceil, comb
 
@@ -33,12 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remove, shared_path, table, written
+from .common import located, near, remove, shared_path, table, written
 from .components import components
 
 BASE, INVERSE = 0x2545F4914F6CDD1D, pow(0x2545F4914F6CDD1D, -1, 1 << 64)
 PIECE = 1 << 18  # bytes hashed at a time
-SMALL_ROWS = 1_000_000  # identifiers that may be broadcast
+SMALL_ROWS = 250_000  # rows of identifiers or places that may be broadcast
+BUCKETS_LEAST, BUCKETS_MOST, IN_BUCKET = 1 << 12, 1 << 20, 64  # of the table that orders elements: its size follows theirs up to 4 MB
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -109,26 +115,53 @@ def slack(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / 100.0 - 1e-9)
 
 
-def shingle_rows(docs: DataFrame, id_col: str, text_col: str, n: int, share: float | None) -> DataFrame:
-    """(id, n_shingles, set_hash, elements): all elements, or those in the given share of the hash space."""
-    limit = np.uint64(min((1 << 64) - 1, int((1 if share is None else share) * (1 << 64))))
-    slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """512 bits, each the parity of the number of elements that fall on it."""
+    bits = np.bincount((elements & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def share_of(n: int, percent: int) -> float:
+    """The share of the hash space counted for a set of n elements: what a link can miss, and twice the deviation of a random share."""
+    miss = (100 - percent) / 100
+    return min(1.0, miss + 2 * (miss * (1 - miss) / max(n, 1)) ** 0.5)
+
+
+def lists_of(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in arrays]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)]).view(np.int64)))
+
+
+def shingle_rows(docs: DataFrame, keep: tuple[str, ...], text_col: str, n: int, percent: int, whole: bool) -> DataFrame:
+    """The kept columns, n_shingles, set_hash, elements and, of whole sets, their sketch.
+
+    Not whole: only the elements that are counted. Those that decide about this set come first, `own` says how many;
+    the others are there for larger sets, whose share is smaller than that of their smallest partners.
+    """
+    limit = lambda m: np.uint64(min((1 << 64) - 1, int(share_of(m, percent) * (1 << 64))))
+    slim = docs.select(*keep, F.col(text_col).alias("__text"))
+    more = "sketch array<long>" if whole else "own int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
-                sizes, marks, kept = [], [], []
-                for t in part.column(1):
+                sizes, marks, kept, last = [], [], [], []
+                for t in part.column(len(keep)):
                     s = shingle_set((t.as_py() or "").encode("utf-8", "surrogatepass"), n)
                     sizes.append(len(s))
                     marks.append(int(np.sum(mix(s ^ np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64) + np.uint64(len(s))))
-                    kept.append(s if share is None else s[: np.searchsorted(s, limit)])
-                offsets = np.concatenate(([0], np.cumsum([len(k) for k in kept]))).astype(np.int32)
-                elements = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(kept).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), elements], names=["id", "n_shingles", "set_hash", "elements"])
+                    if whole:
+                        kept.append(s)
+                        last.append(sketch(s))
+                    else:
+                        kept.append(s[: np.searchsorted(s, limit(len(s)), side="right")])
+                        last.append(np.searchsorted(kept[-1], limit(ceil(len(s) * 100 / percent)), side="right"))
+                columns = [*part.columns[:-1], pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), lists_of(kept), lists_of(last) if whole else pa.array(np.array(last, np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_shingles", "set_hash", "elements", more.split()[0]])
 
-    return slim.mapInArrow(run, "id long, n_shingles long, set_hash long, elements array<long>")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*keep).schema)
+    return slim.mapInArrow(run, f"{kinds}, n_shingles long, set_hash long, elements array<long>, {more}")
 
 
 def light_limit(percent: int) -> int:
@@ -148,7 +181,7 @@ def subsets(n: int, percent: int) -> int:
     return sum(comb(n, a) for a in range(most_left_out(n, percent) + 1))
 
 
-def light_links(sets: DataFrame, limit: int, percent: int) -> DataFrame:
+def light_links(sets: DataFrame, limit: int, percent: int, folder: str) -> DataFrame:
     """(a, b): certain links among sets of at most `limit` elements that keep all their components."""
 
     def enumerate_subsets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,85 +196,143 @@ def light_links(sets: DataFrame, limit: int, percent: int) -> DataFrame:
                 key = np.array([r[0] for r in rows], np.uint64).view(np.int64)
                 yield pd.DataFrame({"key": key, "size": [r[1] for r in rows], "left_out": [r[2] for r in rows], "id": [r[3] for r in rows]})
 
-    rows = written(sets.where(F.col("n_shingles") <= limit).select("id", "elements").mapInPandas(enumerate_subsets, "key long, size int, left_out int, id long"), "subsets")
-    hubs = rows.groupBy("key", "size").agg(F.min(F.struct("left_out", "id")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = written(sets.where(F.col("n_shingles") <= limit).select("id", "elements").mapInPandas(enumerate_subsets, "key long, size int, left_out int, id long"), "subsets", folder)
+    hubs = written(rows.groupBy("key", "size").agg(F.min(F.struct("left_out", "id")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"), "subset-hubs", folder)
     certain = F.col("size") * 100 >= percent * (F.col("size") + F.col("left_out") + F.col("hub.left_out"))
     return rows.join(hubs, ["key", "size"]).where(certain & (F.col("id") != F.col("hub.id"))).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets have the similarity."""
-    left = sets.select(F.col("id").alias("a"), F.col("elements").alias("ea"))
-    right = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("ea", "eb"))
-    return both.where(common * 100 >= percent * (F.size("ea") + F.size("eb") - common)).select("a", "b")
+def sketches_allow(percent: int, na: Column, nb: Column, sa: Column, sb: Column) -> Column:
+    """Whether the bits in which two sketches differ are no more than the elements in which linked sets can differ."""
+    differ = sum((F.bit_count(F.get(sa, k).bitwiseXOR(F.get(sb, k))) for k in range(8)), F.lit(0))
+    return differ * (100 + percent) <= (100 - percent) * (na + nb)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """The pairs (a, b) whose whole sets have the similarity; sketches are compared before sets."""
+    side = lambda x, *columns: sets.select(F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns))
+    light = pairs.join(side("a", "n_shingles", "sketch"), "a").join(side("b", "n_shingles", "sketch"), "b")
+    light = written(light.where(sketches_allow(percent, *map(F.col, ("n_shingles_a", "n_shingles_b", "sketch_a", "sketch_b")))).select("a", "b"), f"candidates-{uuid.uuid4().hex}", folder)
+    both = light.join(side("a", "elements"), "a").join(side("b", "elements"), "b")
+    common = F.size(F.array_intersect("elements_a", "elements_b"))
+    return both.where(common * 100 >= percent * (F.size("elements_a") + F.size("elements_b") - common)).select("a", "b")
+
+
+def bucket_counts(sets: DataFrame) -> np.ndarray:
+    """How many elements of all sets fall on each hash bucket; at most `BUCKETS_MOST` numbers."""
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = BUCKETS_LEAST
+    while buckets < BUCKETS_MOST and buckets * IN_BUCKET < total:
+        buckets *= 2
+    bucket = F.col("element").bitwiseAND(buckets - 1)
+    counts = np.zeros(buckets, np.int32)
+    rows = sets.select(F.explode("elements").alias("element")).groupBy(bucket.cast("int").alias("bucket")).count().toPandas()
+    counts[rows["bucket"].to_numpy()] = np.minimum(rows["count"].to_numpy(), (1 << 31) - 1)
+    return counts
 
 
 def heavy_lists(sets: DataFrame, limit: int, percent: int) -> DataFrame:
-    """(element, id, n, u, at): the inverted lists of heavy sets; u unshared elements, `at` the place among the shared ones."""
+    """(element, id, n, at): the inverted lists of heavy sets, `at` the element's place in its set."""
     least = ceil((limit + 1) * percent / 100)  # light sets that can link with heavy ones take part
-    heavy = sets.where(F.col("n_shingles") >= least)
-    rows = heavy.select("id", F.col("n_shingles").alias("n"), F.explode("elements").alias("element"))
-    counted = rows.groupBy("element").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = rows.join(counted, "element").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "element"))).alias("shared"))
-    u = F.col("n") - F.size("shared")
-    prefix = shared.withColumn("u", u).withColumn("p", slack(F.col("n"), percent) + 1 - F.col("u")).where("p > 0")
-    return prefix.select("id", "n", "u", F.posexplode(F.slice("shared", F.lit(1), F.col("p").cast("int"))).alias("at", "e")).select("e.element", "id", "n", "u", "at")
+    heavy = sets.where(F.col("n_shingles") >= least).select("id", "elements")
+    counts = sets.sparkSession.sparkContext.broadcast(bucket_counts(heavy.withColumn("n_shingles", F.size("elements"))))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = counts.value
+        for batch in batches:
+            column = batch.column(1)
+            values, offsets = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
+            found, rows, sizes, places = [np.zeros(0, np.uint64)], [], [], []
+            for k in range(batch.num_rows):
+                s = values[offsets[k] : offsets[k + 1]]
+                p = most_left_out(len(s), percent) + 1
+                order = np.lexsort((s, count[(s & np.uint64(len(count) - 1)).astype(np.int64)]))[:p]
+                found.append(s[order])
+                rows += [k] * p
+                sizes += [len(s)] * p
+                places += range(p)
+            at = np.array(rows, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(pa.array(at)), pa.array(sizes, pa.int32()), pa.array(places, pa.int32())], names=["element", "id", "n", "at"])
+
+    return heavy.mapInArrow(first, "element long, id long, n int, at int")
 
 
 def may_link(percent: int, a: str, b: str) -> Column:
-    """What sizes and unshared elements alone allow."""
-    na, nb, ua, ub = (F.col(f"{x}.{c}") for c in ("n", "u") for x in (a, b))
-    most = F.least(na - ua, nb - ub)
+    """What sizes and the places of a common element allow."""
+    (na, pa_), (nb, pb) = ((F.col(f"{x}.n"), F.col(f"{x}.at")) for x in (a, b))
+    most = F.least(pa_, pb) + F.least(na - pa_, nb - pb)
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (most * (100 + percent) >= percent * (na + nb))
 
 
-def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: int, folder: str) -> DataFrame:
     """All links, those given and those of heavy sets, as far as components need them."""
-    hubs = lists.groupBy("element").agg(F.min(F.struct("u", "n", "id")).alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    member, hub = lists.alias("m"), hubs.select("element", F.col("hub.id").alias("id"), F.col("hub.n").alias("n"), F.col("hub.u").alias("u")).alias("h")
-    first = member.join(hub, F.col("m.element") == F.col("h.element")).where((F.col("m.id") != F.col("h.id")) & may_link(percent, "m", "h"))
+    counted = lists.groupBy("element").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    shared = written(lists.join(written(counted, "list-lengths", folder), "element").drop("k"), "shared", folder)
+    # The set that has most of its elements in common with others is its lists' hub.
+    known = shared.groupBy("id").agg(F.count(F.lit(1)).alias("known"))
+    ranked = written(shared.join(written(known, "known", folder), "id").withColumn("u", F.col("n") - F.col("known")), "ranked", folder)
+    hubs = written(ranked.groupBy("element").agg(F.min(F.struct("u", "n", "id", "at")).alias("hub")), "hubs", folder)
+    h = hubs.select("element", "hub.*").alias("h")
+    first = ranked.alias("m").join(h, F.col("m.element") == F.col("h.element")).where((F.col("m.id") != F.col("h.id")) & may_link(percent, "m", "h"))
     pairs = first.select(F.least("m.id", "h.id").alias("a"), F.greatest("m.id", "h.id").alias("b")).distinct()
-    links = written(links.unionByName(verified(pairs, sets, percent)), "links-hubs")
+    links = written(links.unionByName(verified(written(pairs, "pairs-hubs", folder), sets, percent, folder)), "links-hubs", folder)
     found = components(links)
-    labelled = written(lists.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "lists")
     # Lists whose sets are all in one component are done.
-    open_ = labelled.groupBy("element").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("element")
-    rest = labelled.join(open_, "element", "left_semi")
+    named = written(ranked.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "lists", folder)
+    open_ = named.groupBy("element").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("element")
+    rest = named.join(written(open_, "open-lists", folder), "element").join(sets.select("id", "sketch"), "id")
+    rest = written(rest.select("element", "id", "n", "at", "component", "sketch"), "lists-open", folder)
     x, y = rest.alias("x"), rest.alias("y")
-    before, after = F.least("x.at", "y.at"), F.least(F.col("x.n") - F.col("x.u") - F.col("x.at"), F.col("y.n") - F.col("y.u") - F.col("y.at"))
-    placed = (before + after) * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))
-    other = x.join(y, (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & may_link(percent, "x", "y") & placed)
-    more = other.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    return links.unionByName(verified(more, sets, percent))
+    apart = (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+    other = x.join(y, apart & may_link(percent, "x", "y") & sketches_allow(percent, *map(F.col, ("x.n", "y.n", "x.sketch", "y.sketch"))))
+    more = written(other.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs-rest", folder)
+    return links.unionByName(verified(more, sets, percent, folder))
+
+
+def labelled(placed: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_shingles, file, row, component, component_id) of every located row; `component` is null for empty sets."""
+    spark, folder = placed.sparkSession, shared_path(placed.sparkSession, "jaccard")
+    place = (F.col("__at_file").alias("file"), F.col("__at_row").alias("row"))
+    rows = shingle_rows(placed.select(F.col(id_col).cast("bigint").alias("id"), *place, F.col(text_col).alias("__text")), ("id", "file", "row"), "__text", n, percent, whole=False)
+    counted = written(rows.withColumn("key", F.monotonically_increasing_id()), "counted", folder)
+    members = written(counted.drop("elements", "own"), "members")
+    # Elements that one set alone has; `key` is null for elements that don't decide about their set.
+    elements = counted.select("key", "own", F.posexplode("elements").alias("at", "element")).select("element", F.when(F.col("at") < F.col("own"), F.col("key")).alias("key"))
+    alone = elements.groupBy("element").agg(F.count(F.lit(1)).alias("k"), F.min("key").alias("key")).where("k = 1 and key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("alone"))
+    full = members.where("n_shingles > 0")
+    left = full.join(written(alone, "alone", folder), "key", "left").where(F.coalesce("alone", F.lit(0)) <= slack(F.col("n_shingles"), percent))
+    left = written(left.groupBy("set_hash", "n_shingles").agg(F.min("key").alias("class"), F.min(F.struct("key", "file", "row")).alias("at")).select("set_hash", "n_shingles", "class", "at.file", "at.row"), "open-classes")
+    remove(spark, folder)
+    texts = placed.join(near(left.select(F.col("file").alias("__at_file"), F.col("row").alias("__at_row"), F.col("class").alias("id")), SMALL_ROWS), ["__at_file", "__at_row"]).select("id", F.col(text_col).alias("__text"))
+    sets = written(shingle_rows(texts, ("id",), "__text", n, percent, whole=True).drop("set_hash"), "sets", folder)
+    limit = light_limit(percent)
+    certain = light_links(sets, limit, percent, folder)
+    links = written(heavy_links(sets, written(heavy_lists(sets, limit, percent), "prefixes", folder), certain, percent, folder), "links-all")
+    remove(spark, folder)
+    found = components(links)
+    classes = full.groupBy("set_hash", "n_shingles").agg(F.min("key").alias("key"), F.min("id").alias("low"))
+    open_ = left.join(found, F.col("class") == F.col("id")).select("set_hash", "n_shingles", "component")
+    classes = written(classes.join(open_, ["set_hash", "n_shingles"], "left").withColumn("component", F.coalesce("component", "key")), "classes")
+    lowest = classes.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = written(classes.join(lowest, "component").select("set_hash", "n_shingles", "component", "component_id"), "named")
+    out = full.join(named, ["set_hash", "n_shingles"]).select("id", "n_shingles", "file", "row", "component", "component_id")
+    empty = members.where("n_shingles = 0").select("id", "n_shingles", "file", "row", F.lit(None).cast("long").alias("component"), F.col("id").alias("component_id"))
+    return out.unionByName(empty)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of `docs`."""
-    share = min(1.0, 2 * (100 - percent) / 100)
-    spark, shingles = docs.sparkSession, shared_path(docs.sparkSession, "shingles")
-    all_rows = written(shingle_rows(docs, id_col, text_col, n, share), "all", shingles)
-    members = written(all_rows.drop("elements"), "members")
-    classes = written(all_rows.where("n_shingles > 0 and id is not null").groupBy("set_hash", "n_shingles").agg(F.min("id").alias("rep"), F.first("elements").alias("elements")), "classes")
-    remove(spark, shingles)
-    # Sets with too many unshared elements in the counted share of the hash space can't link.
-    rows = classes.select("rep", F.explode("elements").alias("element"))
-    counted = rows.groupBy("element").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("element")
-    shared = rows.join(counted, "element").groupBy("rep").agg(F.count(F.lit(1)).alias("shared"))
-    left = classes.select("rep", "n_shingles", F.size("elements").alias("seen")).join(shared, "rep", "left").where(F.col("seen") - F.coalesce("shared", F.lit(0)) <= slack(F.col("n_shingles"), percent))
-    left = written(left.select(F.col("rep").alias("__rep")), "open-sets")
-    few = left.count() <= SMALL_ROWS
-    texts = docs.join(F.broadcast(left) if few else left, F.col(id_col) == F.col("__rep"), "left_semi").dropDuplicates([id_col])
-    sets = written(shingle_rows(texts, id_col, text_col, n, None), "sets")
-    limit = light_limit(percent)
-    certain = light_links(sets, limit, percent)
-    links = written(heavy_links(sets, written(heavy_lists(sets, limit, percent), "prefixes"), certain, percent), "links-all")
-    found = components(links)
-    named = classes.select("set_hash", "n_shingles", "rep").join(found, F.col("rep") == F.col("id"), "left").select("set_hash", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    full = members.where("n_shingles > 0 and id is not null").select("id", "set_hash", "n_shingles").join(named, ["set_hash", "n_shingles"])
-    empty = members.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return full.select("id", "n_shingles", "component_id").unionByName(empty).withColumnRenamed("id", id_col)
+    return labelled(located(docs.select(id_col, text_col)), n, percent, id_col, text_col).select(F.col("id").alias(id_col), "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that stay, by file and place: of each component the one with the smallest identifier (null last, then the first in file order); rows without words stay."""
+    placed = located(docs)
+    rows = written(labelled(placed, n, percent, id_col, text_col).where("component is not null"), "near-copies")
+    stay = rows.groupBy("component").agg(F.min(F.struct(F.isnull("id").alias("none"), "id", "file", "row")).alias("stay"), F.count(F.lit(1)).alias("k")).where("k > 1").select("component", "stay")
+    gone = rows.join(written(stay, "near-copies-stay"), "component").where((F.col("file") != F.col("stay.file")) | (F.col("row") != F.col("stay.row")))
+    gone = near(written(gone.select(F.col("file").alias("__at_file"), F.col("row").alias("__at_row")), "near-copies-gone"), SMALL_ROWS)
+    return placed.join(gone, ["__at_file", "__at_row"], "left_anti").select(*docs.columns)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

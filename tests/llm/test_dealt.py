@@ -6,11 +6,14 @@ import random
 import re
 
 from datetime import date
+from itertools import combinations
+from math import ceil
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, pii, quality_cnn, spm_codec, url_filter, warc
+from millrace.llm.common import located
 from millrace.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, host string, id long, w string"
@@ -88,11 +91,38 @@ def test_overlaps(spark, monkeypatch, most):
     rows = [(i, " ".join(t).upper() + "!", "en") for i, t in texts.items()] + [(11, None, "en"), (12, "", None), (None, "x y", None), (1, " ".join(texts[1]).upper() + "!", "en")]
     bench = spark.createDataFrame([(k, " ".join(t), "c") for k, t in enumerate(items)] + [(9, None, ""), (10, "", "")], "item_id long, text string, seed string")
     got = {(x.doc_id, x.item_id) for x in decontaminate.overlaps(docs_of(spark, rows), bench).collect()}
-    assert got == {(1, 0), (2, 0), (3, 0), (5, 1), (6, 2), (10, 0)}
+    assert got == {(1, 0), (2, 0), (3, 0), (5, 1), (6, 2), (7, 3), (10, 0)}
+    one_token = bench.limit(0).unionAll(spark.createDataFrame([(20, "W7x9", "c"), (21, "zz", "c"), (None, "zz", "c")], bench.schema))
+    assert {(x.doc_id, x.item_id) for x in decontaminate.overlaps(docs_of(spark, rows), one_token).collect()} == {(i, k) for i in (2, 3, 8) for k in (21, None)}
+    two_under_one_id = docs_of(spark, [(1, rows[0][1], "en"), (1, "clean", "en"), (None, rows[0][1], "en"), (None, "clean too", "en")])
+    assert sorted(r.text for r in decontaminate.keep_clean(two_under_one_id, bench).collect()) == ["clean", "clean too"]
     assert decontaminate.overlaps(docs_of(spark, rows), bench.limit(0)).count() == 0
     assert decontaminate.overlaps(docs_of(spark, rows).limit(0), bench).count() == 0
 
 
+def test_masks_hit_all_substitutions():
+    """Every window of 7 to 20 tokens with as many substitutions as count has a place for some mask."""
+    for m in range(decontaminate.MIN_ITEM, decontaminate.WINDOW + 1):
+        for out in combinations(range(m), m - ceil(m * decontaminate.SHARE)):
+            assert any(all(at + k not in out for k in mask) for mask in decontaminate.MASKS for at in range(m - mask[-1])), (m, out)
+
+
+@pytest.mark.parametrize("most", [0, decontaminate.BROADCAST_SEEDS])
+def test_overlaps_of_short_items(spark, monkeypatch, most):
+    """All placements of the substitutions that count, and of one more, in items of 7, 8 and 10 tokens."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", most)
+    rows, items, want = [], [], set()
+    for m in (7, 8, 10):
+        item = [f"i{m}t{k}" for k in range(m)]
+        items.append((m, " ".join(item), ""))
+        for n in (m - ceil(m * 0.8), m - ceil(m * 0.8) + 1):
+            for out in combinations(range(m), n):
+                rows.append((len(rows), "a b " + " ".join("zz" if k in out else w for k, w in enumerate(item)) + " c", "en"))
+                want |= {(len(rows) - 1, m)} if n == m - ceil(m * 0.8) else set()
+    got = decontaminate.overlaps(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string, seed string")).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want
+
+
 # op4
 
 
@@ -185,14 +215,17 @@ def brute_dedup(rows):
 
 
 @pytest.mark.parametrize("weak", [False, True])
-def test_exact_dedup(spark, tmp_path, weak):
+def test_exact_dedup(spark, tmp_path, monkeypatch, weak):
     rows = [*ODD, (20, "ÀB", "fr"), (21, "àb", "fr"), (22, "Àb", "fr"), (23, "yello World", "en"), (24, "YELLO world", "en")]
     docs_of(spark, rows).repartition(3).write.parquet(f"{tmp_path}/d.parquet")
-    digest = (lambda c: F.length(c).cast("string")) if weak else exact_dedup.sha256_hex
-    got = exact_dedup.exact_dedup(spark, f"{tmp_path}/d.parquet", digest=digest, files_per_batch=1)
-    assert plain(got) == brute_dedup(rows)
-
-    kept = exact_dedup.keep_one(spark, f"{tmp_path}/d.parquet", digest=digest)
+    docs = spark.read.parquet(f"{tmp_path}/d.parquet")
+    digest = (lambda c: F.length(c).cast("string")) if weak else exact_dedup.sha256
+    assert plain(exact_dedup.exact_dedup(docs, digest=digest, files_per_batch=1)) == brute_dedup(rows)
+    assert plain(exact_dedup.exact_dedup(docs_of(spark, rows), digest=digest)) == brute_dedup(rows)
+    monkeypatch.setattr(exact_dedup, "BROADCAST", 0)
+    assert plain(exact_dedup.exact_dedup(docs, digest=digest)) == brute_dedup(rows)
+
+    kept = exact_dedup.keep_one(docs, digest=digest)
     assert kept.columns == docs_of(spark, rows).columns
     fold = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     assert sorted(((r.doc_id, hashlib.sha256(fold(r.text).encode()).hexdigest()) for r in kept.collect()), key=str) == sorted({(x[1], x[4]) for x in brute_dedup(rows)}, key=str)
@@ -202,16 +235,16 @@ def test_exact_dedup_keeps_state_between_runs(spark, tmp_path):
     at, source = f"file://{tmp_path}/state", f"{tmp_path}/in"
     for k, rows in enumerate(([(1, "a", ""), (2, "b", "")], [(5, "A", ""), (0, "B", ""), (7, "c", "")])):
         docs_of(spark, rows).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema("doc_id long, text string").parquet(source)
-        exact_dedup.run_stream(spark, stream, f"{at}/table", f"{at}/check")
-        state = {(r["__keep"], r.group_size) for r in exact_dedup.read_state(spark, f"{at}/table").collect()}
+        stream = located(spark.readStream.schema("doc_id long, text string").parquet(source))
+        exact_dedup.run_stream(spark, exact_dedup.records(stream), f"{at}/table", f"{at}/check")
+        state = {(r.keeper.id, r.group_size) for r in exact_dedup.read_state(spark, f"{at}/table").collect()}
         assert state == ({(1, 1), (2, 1)} if k == 0 else {(5, 2), (2, 2), (7, 1)})
 
 
 def test_exact_dedup_of_nothing(spark, tmp_path):
     docs_of(spark, ODD).limit(0).write.parquet(f"{tmp_path}/e.parquet")
-    assert exact_dedup.exact_dedup(spark, f"{tmp_path}/e.parquet").collect() == []
-    assert exact_dedup.keep_one(spark, f"{tmp_path}/e.parquet").collect() == []
+    assert exact_dedup.exact_dedup(spark.read.parquet(f"{tmp_path}/e.parquet")).collect() == []
+    assert exact_dedup.keep_one(spark.read.parquet(f"{tmp_path}/e.parquet")).collect() == []
 
 
 # op7
@@ -330,19 +363,22 @@ def brute_components(rows, n, percent):
     for i, t, _ in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", fold(t))
         sets.append((i, frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])))
-    parent = {i: i for i, _ in sets}
+    parent = list(range(len(sets)))
 
     def root(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a, s in sets:
-        for b, t in sets:
-            if a is not None and b is not None and a < b and s and t and 100 * len(s & t) >= percent * len(s | t):
-                x, y = root(a), root(b)
-                parent[max(x, y)] = min(x, y)
-    return sorted(((i, len(s), i if i is None else root(i)) for i, s in sets), key=str)
+    for a, (_, s) in enumerate(sets):
+        for b, (_, t) in enumerate(sets[:a]):
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
+                parent[root(a)] = root(b)
+    lowest = {}
+    for k, (i, _) in enumerate(sets):
+        lowest.setdefault(root(k), []).append(i)
+    least = lambda ids: min((i for i in ids if i is not None), default=None)
+    return sorted(((i, len(s), least(lowest[root(k)])) for k, (i, s) in enumerate(sets)), key=str)
 
 
 @pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
@@ -365,6 +401,29 @@ def test_jaccard_join(spark, n, percent):
     assert plain(got) == brute_components(rows, n, percent)
 
 
+@pytest.mark.parametrize("most", [0, jaccard_join.SMALL_ROWS])
+def test_jaccard_join_tells_rows_apart(spark, monkeypatch, most):
+    """Two texts under one identifier, null identifiers, and an element that most sets have."""
+    monkeypatch.setattr(jaccard_join, "SMALL_ROWS", most)
+    r = random.Random(3)
+    text = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    a, b, hot = text(80), text(80), text(12)
+    near = lambda t: " ".join([*t[:-1], "other"])
+    rows = [(1, " ".join(a), ""), (1, " ".join(b), ""), (2, near(a), ""), (3, near(b), ""), (None, near(a) + " more", ""), (None, " ".join(hot), ""), (None, near(hot * 9), ""), (None, " ".join(hot * 9), "")]
+    rows += [(10 + k, " ".join(text(r.choice((20, 30, 70))) + hot * r.choice((1, 5))), "") for k in range(150)]
+    for k in range(30):
+        i, t, _ = rows[8 + k]
+        rows.append((500 + k, t + " end", ""))
+    docs = docs_of(spark, rows)
+    want = brute_components(rows, 3, 90)
+    assert plain(jaccard_join.jaccard_components(docs, 3, 90)) == want
+    kept = sorted((r.doc_id, r.text) for r in jaccard_join.keep_one(docs.where("doc_id is not null"), 3, 90).collect())
+    named = [x for x in rows if x[0] is not None]
+    links = brute_components(named, 3, 90)
+    assert len(kept) == len({c for _, _, c in links}) + 1 and {i for i, _ in kept} == {c for _, _, c in links}  # 1 has two texts
+    assert jaccard_join.keep_one(docs_of(spark, [(None, "a b c d", ""), (None, "a b c d", ""), (None, "", "")]), 3, 90).count() == 2
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(docs_of(spark, ODD).limit(0)).count() == 0
     assert plain(jaccard_join.jaccard_components(docs_of(spark, [(1, None, ""), (2, "", "")]))) == [(1, 0, 1), (2, 0, 2)]
