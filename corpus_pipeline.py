@@ -1,16 +1,16 @@
 """The corpus pipeline: quality, exact copies, near copies, benchmark leaks, tokens.
 
 Every stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and returns a DataFrame. All but
-the last return the columns of `documents`.
+the last return the columns of `documents`. Rows are told apart by file and place, not by doc_id, so a row goes for
+what its own text is: a row that shares its identifier with a copy or a leak stays, and one without identifier can go.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, exact_dedup, jaccard_join, quality_cnn, spm_codec
-from millrace.llm.common import shared_path, table, written
+from millrace.llm.common import table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,21 +22,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts (A-Z in lower case): the one with the largest doc_id."""
-    path = shared_path(spark, "pipeline-documents")
-    docs.write.parquet(path)
-    return exact_dedup.keep_one(spark, path).select(*docs.columns)
+    return exact_dedup.keep_one(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard index 0.8): the one with the smallest doc_id."""
-    found = written(jaccard_join.jaccard_components(docs, n=5, percent=80), "near-copies")
-    return docs.join(found.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    return jaccard_join.keep_one(docs, n=5, percent=80)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an overlap with the benchmark."""
-    leaks = written(decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
