@@ -72,6 +72,11 @@ def test_warc_round_trip(spark, tmp_path):
         assert same or bytes(r.payload) == data
     some = index.where("page_id in (2, 7)")
     assert {r.page_id for r in warc.read_records(some, folder).collect()} == {2, 7}
+    big = 1 << 60  # identifiers beyond what a double holds, beside a null
+    more = spark.createDataFrame([(big + 1, None, long, "d"), (big + 3, "u", long, "d"), (None, "u", None, "d"), (big + 5, "u", "short", "d")], df.schema)
+    at = f"file://{tmp_path}/big"
+    again = warc.resolve_revisits(warc.read_records(warc.write_archives(warc.typed_records(more), at), at)).collect()
+    assert {(r.page_id, r.refers_to, r.payload_bytes) for r in again} == {(big + 1, big + 3, len(long.encode())), (big + 3, None, len(long.encode())), (None, None, 0), (big + 5, None, 5)}
     empty = warc.write_archives(warc.typed_records(df.limit(0)), f"{folder}-empty")
     assert warc.resolve_revisits(warc.read_records(empty, f"{folder}-empty")).count() == 0
 
