@@ -1,11 +1,17 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read once into text leaves, each with its path of tags from the root and the block it belongs to. For
-every path the text length and the punctuation are summed and divided by the number of its leaves; the two ratios
-are smoothed over the page's sequence of leaves with a Gaussian, fused by their product, and paths whose mean
-exceeds the threshold are content paths. The smallest container that holds at least `share` of the
-content paths' text is the article; its blocks, without those in boilerplate elements, are the result. Where no
-`article` or `main` marks it, blocks of other paths stay if they are headings, or lie in it and are more than links.
+A page is read once into text leaves, each with its path of tags from the root, the element that holds it and the block
+it belongs to. For every path the text length outside links and the punctuation are summed and divided by the number
+of its leaves; the two ratios are smoothed over the page's sequence of leaves with a Gaussian, fused by their product
+and the path's share of text outside links, and paths whose mean reaches `spread` times the mean of all leaves are
+content paths. The smallest container that holds at least `share` of the content paths' text is the article, or the
+`article` or `main` element around it; without such an element, blocks around it stay only on paths that reach the mean
+without their neighbours' help. In it stay the blocks on content paths; headings that a block stays under; blocks
+that aren't mostly links, if a content block shares their container or the article is marked; and a block of nothing but
+a link between two content blocks. Boilerplate by tag or attributes is vetoed and never counts.
+
+Tags are kept as numbered paths and elements with links to their parents, so time and memory are linear in the page,
+however deeply it is nested.
 
 Defined results: a null or empty page, and one without text, gives an empty text with n_chars 0; unclosed and
 misnested tags are closed as browsers close them as far as blocks go; a tag cut off at the end of the page is
@@ -16,11 +22,11 @@ at the next block or where an element around it ends; repeated rows are extracte
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,14 +39,17 @@ BOILER = frozenset("nav header footer aside form dialog menu".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset(["", *"article aside body center details div fieldset figure form html main section td".split()])
 CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot html body legend summary".split())
-#: Words in class, id or role attributes of boilerplate.
-NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alerts?|popup|modal|overlay|comments?|disqus|replies|respond|sidebar|side-bar|widgets?|menus?|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|header|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|tags?|complementary|contentinfo|search|dialog)(?=$|[\s_-]|\d)", re.I)
-OWN = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|story|entry|body)(?=$|[\s_-])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)|[^>])*+)(>|\Z)", re.S)
+#: Words in class, id or role attributes of boilerplate, whatever stands beside them, and words that are so unless the element names itself content.
+NOISE = re.compile(r"(?:^|[_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|popup|modal|overlay|comments?|disqus|replies|respond|sidebar|side-bar|widgets?|menus?|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|complementary|contentinfo|dialog)(?=$|[_-]|\d)", re.I)
+WEAK = re.compile(r"(?:^|[_-])(?:header|tags?|alerts?)(?=$|[_-]|\d)", re.I)
+OWN = re.compile(r"(?:^|[_-])(?:article|content|main|post|story|entry|body)(?=$|[_-])", re.I)
+#: Words that say how a container is laid out, not what it is.
+LAYOUT = re.compile(r"(?:^|[_-])(?:has|no|with|without)[_-]", re.I)
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)|[^>])*+)(>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
-HEADING = re.compile(r"/h[1-6](?:/|$)")
-LINK = re.compile(r"/a(?:/|$)")
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+HEAD_END = re.compile(r"</head\s*>|<body[\s>]", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…、。¿¡，？！]")
 #: What an opening tag ends (the nearest such element), and where the search for it stops.
 ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",))}
@@ -52,10 +61,31 @@ ANY_PAIRED = re.compile(rf"<(?:{'|'.join(sorted(PAIRED))})(?=[\s/>])", re.I)
 
 
 class Leaf:
-    __slots__ = ("block", "boiler", "holders", "path", "text")
+    """A piece of text: the element it lies in, its path, its block."""
+
+    __slots__ = ("block", "node", "path", "text")
+
+    def __init__(self, text: str, node: int, path: int, block: int):
+        self.text, self.node, self.path, self.block = text, node, path, block
+
+
+class Page:
+    """Elements by number, each with its parent; element 0 is the page itself."""
+
+    def __init__(self) -> None:
+        self.tag, self.parent, self.boiler, self.path, self.link, self.heading, self.inside = [""], [0], [False], [0], [False], [0], [False]
+        self.paths: dict[tuple[int, str], int] = {(0, ""): 0}
+        self.leaves: list[Leaf] = []
 
-    def __init__(self, text: str, path: str, holders: tuple[int, ...], block: int, boiler: bool):
-        self.text, self.path, self.holders, self.block, self.boiler = text, path, holders, block, boiler
+    def add(self, tag: str, parent: int, boiler: bool) -> int:
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.boiler.append(boiler or self.boiler[parent])
+        self.path.append(self.paths.setdefault((self.path[parent], tag), len(self.paths)))
+        self.link.append(tag == "a" or self.link[parent])
+        self.heading.append(int(tag[1]) if tag in HEADINGS else self.heading[parent])
+        self.inside.append(tag in ("article", "main") or self.inside[parent])
+        return len(self.tag) - 1
 
 
 def is_boiler(tag: str, attributes: str, inside_article: bool) -> bool:
@@ -65,64 +95,93 @@ def is_boiler(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     if HIDDEN.search(attributes):
         return True
-    values = " ".join(x.strip("\"'") for x in ATTRIBUTE.findall(attributes))
-    return bool(values) and tag not in ("article", "main", "body", "html") and bool(NOISE.search(values)) and not OWN.search(values)
+    if tag in ("article", "main", "body", "html"):
+        return False
+    names = [x for value in ATTRIBUTE.findall(attributes) for x in value.strip("\"'").split() if not LAYOUT.search(x)]
+    return any(NOISE.search(x) for x in names) or (any(WEAK.search(x) for x in names) and not any(OWN.search(x) for x in names))
+
+
+class Open:
+    """The open elements, with the places of each tag, so that looking one up doesn't walk the stack."""
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, tag: str, value: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.items))
+        self.items.append((tag, value))
+
+    def last(self, *tags: str) -> int:
+        """Where the innermost open element with one of these tags is, or -1."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
+
+    def first(self, tags: Iterable[str]) -> int:
+        return min((p[0] for t in tags if (p := self.places.get(t))), default=-1)
+
+    def cut(self, to: int) -> list[str]:
+        """Close all from `to` on."""
+        tags = [x[0] for x in self.items[to:]]
+        for t in tags:
+            self.places[t].pop()
+        del self.items[to:]
+        return tags
 
 
 def paired_ends(page: str) -> dict[int, int]:
     """Where the outermost skipped elements end, by the place behind their opening tag; those without an end tag of their own are left out."""
     ends: dict[int, int] = {}
-    first = ANY_PAIRED.search(page)
-    at, stack = 0, []
-    while first and (start := page.find("<", at)) >= 0:
+    at, stack = 0, Open()
+    if not ANY_PAIRED.search(page):
+        return ends
+    while (start := page.find("<", at)) >= 0:
         m = TOKEN.match(page, start)
         at = m.end() if m else start + 1
         tag = m[2].lower() if m and m[2] else None
         if tag is None or tag in VOID:
             continue
         if m[1]:
-            to = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if to is not None:
+            to = stack.last(tag)
+            if to >= 0:
                 if tag in PAIRED:
-                    ends[stack[to][1]] = at
-                del stack[to:]
+                    ends[stack.items[to][1]] = at
+                stack.cut(to)
         elif tag in RAW_END:
             at = RAW_END[tag].search(page, at).end()
         elif tag in PAIRED or tag in BLOCKS:
             if not (m[3].endswith("/") and tag in ("svg", "math")):
-                stack.append((tag, at))
+                stack.push(tag, at)
     return ends
 
 
-def leaves(page: str) -> list[Leaf]:
-    """The page's text leaves in order, holders and tags of the path side by side."""
-    found: list[Leaf] = []
-    stack: list[tuple[str, int, bool, str]] = [("", 0, False, "")]  # tag, number, boilerplate, path
-    at, block, number, skipped = 0, 0, 0, 0
+def parsed(text: str) -> Page:
+    """The page's elements and its text leaves in order."""
+    page, stack, at, block, head = Page(), Open(), 0, 0, False
 
-    def pop(to: int) -> None:
+    def top() -> int:
+        return stack.items[-1][1] if stack.items else 0
+
+    def close(to: int) -> None:
         nonlocal block
-        if any(x[0] in BLOCKS for x in stack[to:]):
+        if any(t in BLOCKS for t in stack.cut(to)):
             block += 1
-        del stack[to:]
 
-    def text(piece: str) -> None:
-        if piece and not skipped:
-            top = stack[-1]
-            found.append(Leaf(piece, top[3], tuple(x[1] for x in stack), block, top[2]))
+    def leaf(piece: str) -> None:
+        if piece:
+            page.leaves.append(Leaf(piece, top(), page.path[top()], block))
 
-    size, ends = len(page), paired_ends(page)
-    while at < size:
-        start = page.find("<", at)
+    ends = paired_ends(text)
+    while at < len(text):
+        start = text.find("<", at)
         if start < 0:
-            text(page[at:])
+            leaf(text[at:])
             break
-        m = TOKEN.match(page, start)
+        m = TOKEN.match(text, start)
         if m is None:  # a bare "<"
-            text(page[at : start + 1])
+            leaf(text[at : start + 1])
             at = start + 1
             continue
-        text(page[at:start])
+        leaf(text[at:start])
         at = m.end()
         tag = m[2].lower() if m[2] else None
         if tag is None:
@@ -130,111 +189,127 @@ def leaves(page: str) -> list[Leaf]:
         if m[4] != ">":  # cut off
             break
         if m[1]:
-            to = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if tag == "p" and not to:
+            to = stack.last(tag)
+            if to >= 0:
+                close(to)
+            elif tag == "p":
                 block += 1
-            if to:
-                pop(to)
             continue
         if tag == "br":
-            text("\n")
+            leaf("\n")
             continue
-        if tag in BLOCKS:
-            to = next((i for i in range(1, len(stack)) if stack[i][0] in PAIRED), 0)
-            if to:
-                pop(to)
-        if tag in CLOSES_P:
-            to = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "p"), 0)
-            if to:
-                pop(to)
+        if tag in BLOCKS and (to := stack.first(PAIRED)) >= 0:
+            close(to)
+        if tag in CLOSES_P and (to := stack.last("p")) >= 0:
+            close(to)
         if tag in ENDS:
             closed, bounds = ENDS[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in bounds:
-                    break
-                if stack[i][0] in closed:
-                    pop(i)
-                    break
+            if (to := stack.last(*closed)) > stack.last(*bounds):
+                close(to)
         if tag in BLOCKS:
             block += 1
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "math", "path"):
             continue
         if tag in RAW_END:
-            at = RAW_END[tag].search(page, at).end()
+            at = RAW_END[tag].search(text, at).end()
             continue
         if tag == "head":
-            end = re.compile(r"</head\s*>", re.I).search(page, at)
-            body = re.compile(r"<body[\s>]", re.I).search(page, at)
-            if body and (not end or body.start() < end.start()):
-                at = body.start()
-            elif end:
-                at = end.end()
+            if not head and (m := HEAD_END.search(text, at)):
+                at = m.start() if m[0].lower().startswith("<body") else m.end()
+            head = True
             continue
         if at in ends:
             at = ends[at]
             continue
-        number += 1
-        top = stack[-1]
-        inside = "/article" in top[3] or "/main" in top[3]
-        stack.append((tag, number, top[2] or tag in PAIRED or is_boiler(tag, m[3], inside), f"{top[3]}/{tag}"))
-    return found
+        stack.push(tag, page.add(tag, top(), tag in PAIRED or is_boiler(tag, m[3], page.inside[top()])))
+    return page
 
 
 def smoothed(values: np.ndarray) -> np.ndarray:
-    """Gaussian smoothing over the sequence, window one standard deviation to each side."""
+    """Gaussian smoothing over the sequence, window two standard deviations to each side."""
     if len(values) < 3:
         return values
     kernel = np.exp(-0.5 * np.arange(-2, 3) ** 2)
     return np.convolve(np.concatenate((values[[0, 0]], values, values[[-1, -1]])), kernel / kernel.sum(), mode="valid")
 
 
-def fused_ratios(found: list[Leaf]) -> tuple[np.ndarray, np.ndarray]:
-    """The number of each leaf's path, and the fused, smoothed ratio of each leaf."""
-    names: dict[str, int] = {}
-    path = np.array([names.setdefault(x.path, len(names)) for x in found])
+def fused_ratios(leaves: list[Leaf], in_link: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each leaf's path, and each path's fused ratio, smoothed and not: length and punctuation a leaf, times the share outside links."""
+    names: dict[int, int] = {}
+    path = np.array([names.setdefault(x.path, len(names)) for x in leaves])
     count = np.bincount(path)
-    length = np.bincount(path, weights=[len(x.text.strip()) for x in found]) / count
-    marks = np.bincount(path, weights=[len(PUNCTUATION.findall(x.text)) for x in found]) / count
-    return path, smoothed(length[path]) * (1 + smoothed(marks[path]))
+    sizes = np.array([len(x.text.strip()) for x in leaves], float)
+    plain = np.bincount(path, weights=sizes * ~in_link)
+    marks = np.bincount(path, weights=[len(PUNCTUATION.findall(x.text)) for x in leaves]) / count
+    fused = smoothed((plain / count)[path]) * (1 + smoothed(marks[path]))
+    outside = plain / np.maximum(np.bincount(path, weights=sizes), 1)
+    return path, np.bincount(path, weights=fused) / count * outside, plain / count * (1 + marks) * outside
+
 
+def content_paths(leaves: list[Leaf], in_link: np.ndarray, usable: np.ndarray, spread: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each leaf lies on a content path, and whether it would without its neighbours; a path with the highest ratio always is one."""
+    path, ratio, own = fused_ratios(leaves, in_link)
+    threshold = min(ratio[path].mean() * spread, ratio[path[usable]].max())
+    content = usable & (ratio[path] >= threshold)
+    return content, content & (own[path] >= threshold)
 
-def extract(page: str | None, share: float = 0.9, spread: float = 0.25) -> str:
+
+def extract(html: str | None, share: float = 0.9, spread: float = 0.1) -> str:
     """The main text of one page: blocks joined by two line feeds."""
-    found = leaves(page or "")
-    kept = [x for x in found if x.text.strip()]
-    if not kept:
-        return ""
-    clean = [x for x in kept if not x.boiler]
-    if not clean:
+    page = parsed(html or "")
+    leaves = [x for x in page.leaves if x.text.strip()]
+    usable = np.array([not page.boiler[x.node] for x in leaves], bool)
+    if not usable.any():
         return ""
-    path, ratio = fused_ratios(kept)
-    mean = np.bincount(path, weights=ratio) / np.bincount(path)
-    usable = np.array([not x.boiler for x in kept])
-    levels = mean[np.unique(path[usable])]
-    threshold = min(mean[path].mean() * spread, levels.max())
-    chosen = [x for x, i in zip(kept, path, strict=True) if not x.boiler and mean[i] >= threshold]
-    weights: dict[int, int] = {}
-    for x in chosen:
-        for h, tag in zip(x.holders, x.path.split("/"), strict=True):
-            if tag in CONTAINERS:
-                weights[h] = weights.get(h, 0) + len(x.text)
-    total = sum(len(x.text) for x in chosen)
-    # The smallest container with that share; from there up to the article, else as far as below the body.
-    deepest = max((h for h, w in weights.items() if w >= share * total))
-    holder = next(x for x in chosen if deepest in x.holders)
-    above = holder.path.split("/")[: holder.holders.index(deepest) + 1]
-    marked = [i for i, tag in enumerate(above) if tag in ("article", "main")]
-    inner = [i for i, tag in enumerate(above) if i and tag not in ("html", "body")]
-    root = holder.holders[marked[0] if marked else inner[0] if inner else len(above) - 1]
-    content = None if marked else {x.path for x in chosen}
-    whole = above[-1] not in ("", "html", "body")  # of a page's body only what no other container holds
-    prose = {x.block for x in kept if deepest in x.holders and not LINK.search(x.path) and (whole or deepest == max(h for h, tag in zip(x.holders, x.path.split("/"), strict=True) if tag in CONTAINERS))}
-    blocks: dict[int, list[str]] = {}
-    for x in found:
-        if not x.boiler and root in x.holders and (content is None or x.path in content or x.block in prose or HEADING.search(x.path)):
-            blocks.setdefault(x.block, []).append(x.text)
-    texts = (" ".join(unescape("".join(parts)).split()) for parts in blocks.values())
-    return "\n\n".join(x for x in texts if x)
+    in_link = np.array([page.link[x.node] for x in leaves], bool)
+    content, alone = content_paths(leaves, in_link, usable, spread)
+    # Text on content paths below every element; parents have smaller numbers than what they hold.
+    weight, holder = [0] * len(page.tag), [0] * len(page.tag)
+    for x, c in zip(leaves, content, strict=True):
+        weight[x.node] += len(x.text) if c else 0
+    for n in range(len(page.tag) - 1, 0, -1):
+        weight[page.parent[n]] += weight[n]
+    for n in range(1, len(page.tag)):
+        holder[n] = n if page.tag[n] in CONTAINERS else holder[page.parent[n]]
+    deepest = max(n for n in range(len(page.tag)) if page.tag[n] in CONTAINERS and weight[n] >= share * weight[0])
+    # From there up to the article, else as far as below the body.
+    above = [deepest]
+    while above[-1]:
+        above.append(page.parent[above[-1]])
+    marked = [n for n in above if page.tag[n] in ("article", "main")]
+    inner = [n for n in above if n and page.tag[n] not in ("html", "body")]
+    root = marked[-1] if marked else inner[-1] if inner else deepest
+    below, within = ([n == top for n in range(len(page.tag))] for top in (root, root if marked else deepest))
+    for n in range(1, len(page.tag)):
+        below[n] = below[n] or below[page.parent[n]]
+        within[n] = within[n] or within[page.parent[n]]
+    blocks: dict[int, list[int]] = {}
+    for k, x in enumerate(leaves):
+        if usable[k] and below[x.node]:
+            blocks.setdefault(x.block, []).append(k)
+    order = list(blocks.values())
+    chosen = [bool((content if within[leaves[ks[0]].node] else alone)[ks].any()) for ks in order]
+    homes = {holder[leaves[k].node] for ks, c in zip(order, chosen, strict=True) if c for k in ks if content[k]}
+    level = [page.heading[leaves[ks[0]].node] for ks in order]
+    size = lambda ks: sum(len(leaves[k].text.strip()) for k in ks)
+    linked = [2 * size([k for k in ks if in_link[k]]) > size(ks) for ks in order]
+    stays = [c and not h or not c and not h and not n and (bool(marked) or holder[leaves[ks[0]].node] in homes) for ks, c, h, n in zip(order, chosen, level, linked, strict=True)]
+    for i in range(1, len(order) - 1):
+        stays[i] = stays[i] or linked[i] and not level[i] and chosen[i - 1] and chosen[i + 1]
+    if not any(stays):
+        stays = chosen
+    under = 0  # what the next heading has under it: nothing, the level of a heading that stays, or text
+    for i in range(len(order) - 1, -1, -1):
+        if level[i]:
+            stays[i] = stays[i] or under > level[i]
+        if stays[i]:
+            under = level[i] or 9
+    kept = {leaves[ks[0]].block for ks, s in zip(order, stays, strict=True) if s}
+    texts: dict[int, list[str]] = {b: [] for b in sorted(kept)}
+    for x in page.leaves:
+        if x.block in kept and below[x.node] and not page.boiler[x.node]:
+            texts[x.block].append(x.text)
+    return "\n\n".join(t for parts in texts.values() if (t := " ".join(unescape("".join(parts)).split())))
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", id_cols: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
@@ -242,12 +317,12 @@ def extract_pages(pages: DataFrame, html_col: str = "html", id_cols: tuple[str,
     slim = pages.select(*id_cols, F.col(html_col).alias("__html"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*id_cols).schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(None if x is None or x != x else x) for x in batch["__html"]]
-            yield batch[list(id_cols)].assign(text=texts, n_chars=[len(x) for x in texts])
+            texts = [extract(x.as_py()) for x in batch.column(len(id_cols))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=[*id_cols, "text", "n_chars"])
 
-    return slim.mapInPandas(run, f"{schema}, text string, n_chars bigint")
+    return slim.mapInArrow(run, f"{schema}, text string, n_chars bigint")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from datetime import date
 from itertools import combinations
 from math import ceil
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -345,6 +346,66 @@ def test_main_text_behind_stray_quotes():
     assert e("<article><p>one</p><p class=it's>two's</p></article>") == "one\n\ntwo's"
 
 
+LONG = "Long text, with marks. " * 20
+UNMARKED = [
+    ("<div><div><a href=/>Home</a><a href=/b>News</a></div><div><h1>T</h1><p>{0}</p><p>{0}</p><ul><li>one<li>two</ul></div><div><ul><li><a href=1>First other story</a><li><a href=2>Second other story</a></ul></div></div>", "T\n\n{0}\n\n{0}\n\none\n\ntwo"),
+    ("<main><h1>T</h1><p>{0}</p><h2>Part</h2><p>{0}</p><h2>More</h2><ul><li><a href=/>Home</a><li><a href=/o>Other</a><li><a href=/p>Third</a></ul></main>", "T\n\n{0}\n\nPart\n\n{0}"),
+    ("<table><tr><td><a href=1>one</a><br><a href=2>two</a><td><p>{0}<p><a href=x>All of this is a link</a><p>{0}</table>", "{0}\n\nAll of this is a link\n\n{0}"),
+    ("<div><span>Printed on Monday</span><div><p>{0}</p><p>{0}</p></div><span>Made by us</span></div>", "{0}\n\n{0}"),
+]
+
+
+def test_ratios_choose_the_content(monkeypatch):
+    """On pages without marks of their own the ratios decide: with flat ratios all of these come out otherwise."""
+    pages = [tuple(x.format(LONG.strip()) for x in pair) for pair in UNMARKED]
+    for page, want in pages:
+        assert html_extract.extract(page) == want
+    monkeypatch.setattr(html_extract, "fused_ratios", lambda leaves, in_link: ((path := np.unique([x.path for x in leaves], return_inverse=True)[1]), np.ones(path.max() + 1), np.ones(path.max() + 1)))
+    assert all(html_extract.extract(page) != want for page, want in pages)
+
+
+def test_tag_path_ratios_by_hand():
+    """Sums by path, smoothing and fusing against plain loops."""
+    page = html_extract.parsed("<body><p>One, two.</p><p>Three <a href=x>four</a>!</p><ul><li>five<li><a href=y>six</a></ul><p>Seven; eight.</p></body>")
+    leaves = [x for x in page.leaves if x.text.strip()]
+    names = []
+    for x in leaves:
+        n, tags = x.node, []
+        while n:
+            tags.append(page.tag[n])
+            n = page.parent[n]
+        names.append("/".join(reversed(tags)))
+    assert names == ["body/p", "body/p", "body/p/a", "body/p", "body/ul/li", "body/ul/li/a", "body/p"]
+    link = [n.endswith("/a") for n in names]
+    mean = lambda f: [sum(f(x) for x, n in zip(leaves, names) if n == m) / names.count(m) for m in names]
+    kernel = [2.718281828459045 ** (-k * k / 2) for k in (-2, -1, 0, 1, 2)]
+    smooth = lambda v: [sum(w * v[min(max(i + k - 2, 0), len(v) - 1)] for k, w in enumerate(kernel)) / sum(kernel) for i in range(len(v))]
+    size = smooth([0.0 if a else x for a, x in zip(link, mean(lambda x: len(x.text.strip())))])
+    marks = smooth(mean(lambda x: sum(c in ".,;:!?" for c in x.text)))
+    fused = [s * (1 + m) for s, m in zip(size, marks)]
+    want = [0.0 if a else sum(f for f, n in zip(fused, names) if n == m) / names.count(m) for a, m in zip(link, names)]
+    path, ratio, _ = html_extract.fused_ratios(leaves, np.array(link))
+    assert ratio[path].tolist() == pytest.approx(want)
+
+
+def test_main_text_of_odd_markup(spark):
+    e = html_extract.extract
+    assert e("<article><!--><p>one</p><!-- x --!><p>two</p><!-- --></article>") == "one\n\ntwo"
+    assert e("<article><p>one</p><svg><svg>a</svg>b</svg><p>two</p></article>") == "one\n\ntwo"
+    for name in ("post-comments", "content ads", "entry comments-list", "main-menu", "article-sidebar"):
+        assert e(f"<article><p>one</p><div class='{name}'><p>{LONG}</p></div></article>") == "one", name
+    for name in ("content has-sidebar", "post tag-news", "article-header"):
+        assert e(f"<div class='{name}'><p>{LONG}</p></div><p>x</p>") == LONG.strip(), name
+    deep = 100_000
+    assert e("<div>" * deep + f"<p>{LONG}</p>") == LONG.strip()
+    assert e("<ul><li>" + "<div>" * deep + "</span><li></p>" * deep + f"<p>{LONG}") == LONG.strip()
+    assert e("<article><h1>Only a title</h1></article>") == "Only a title"
+    assert e(f"<article><h1>A</h1><h2>B</h2><h2>C</h2><p>{LONG}</p><h2>D</h2></article>") == f"A\n\nC\n\n{LONG.strip()}"
+    big = (1 << 60) + 1
+    df = spark.createDataFrame([(big, "u", "<p>x"), (None, None, None)], "page_id long, url string, html string")
+    assert {(r.page_id, r.url, r.text, r.n_chars) for r in html_extract.extract_pages(df).collect()} == {(big, "u", "x", 1), (None, None, "", 0)}
+
+
 def test_main_text_of_given_pages(spark, data):
     """The pages given mark their article; a plain cut at its tags must give the same blocks."""
     import html
