@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +26,7 @@ from .common import table
 
 WIDTH, FILTERS, HIDDEN, HALF, REACH = 5, 12, 16, 128, 24
 BLOCK = 1 << 13
+ROWS = 500  # texts taken out of an Arrow batch at a time
 SLICE_BYTES = 1 << 17
 
 
@@ -215,10 +216,11 @@ def score(docs: DataFrame, parameters: dict[str, np.ndarray] | None, text_col: s
 
 
 def score_udf(parameters: dict[str, np.ndarray] | None):
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series(score_texts([t.encode() for t in texts], parameters), dtype="float64")
+            parts = (texts.slice(low, ROWS).cast(pa.binary()).to_pylist() for low in range(0, len(texts), ROWS))
+            yield pa.array(np.concatenate([np.zeros(0), *(score_texts(x, parameters) for x in parts)]), pa.float64())
 
     return run
 

@@ -32,8 +32,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, S
 from .common import table
 
 SPACE = "▁"
-BATCH_CHARS = 1 << 22
-MAX_CACHED_WORDS, MAX_CACHED_CHARS = 300_000, 1 << 23
+BATCH_CHARS, BATCH_ROWS = 1 << 20, 1000
+MAX_CACHED_WORDS, MAX_CACHED_CHARS = 100_000, 1 << 21
 UNKNOWN = -1
 MARKS = ".,;:!?"
 #: Characters that may stand between units while a text is cut; one that the texts don't hold is taken.
@@ -384,8 +384,8 @@ def encode_texts(docs: DataFrame, model_file: str | None = None, text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(model)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
+        for batch in (x.slice(low, BATCH_ROWS) for x in batches for low in range(0, x.num_rows, BATCH_ROWS)):
+            texts = batch.column(len(keep)).to_pylist()
             for a, b in slices(texts):
                 part = texts[a:b]
                 ids, counts = codec.encode([t or "" for t in part])
@@ -395,6 +395,7 @@ def encode_texts(docs: DataFrame, model_file: str | None = None, text_col: str =
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
                 out = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*out, lists, pa.array(counts.astype(np.int32), mask=nulls), pa.array(same, pa.bool_())], names=[*keep, "ids", "n_tokens", "round_trip"])
+        codec.clear()  # the worker lives on between tasks
 
     return slim.mapInArrow(run, schema)
 
