@@ -3,8 +3,9 @@
 For every language the n-grams up to `ORDER` characters of a bounded sample of labelled texts are counted in Spark and
 turned into an interpolated Kneser-Ney model, stored as arrays sorted by n-gram hash: the probability of
 every seen n-gram and the back-off weight of every seen context. A text is read whole; the language with the
-lowest cross-entropy per character wins. Training also notes, per language, the cross-entropy that `1 - REJECT` of its
-texts stay under; a text beyond it in its best language is rejected as none of the languages.
+lowest cross-entropy per character wins. Rejection is calibrated on labelled texts that the models were not counted
+from: per language, the cross-entropy that `1 - REJECT` of those stay under. A text beyond it in its best
+language is rejected as none of the languages; its prediction stays.
 
 Defined results: texts that are null or have no letter are `und` with score 0; ties go to the first language in
 alphabetical order; without any labelled text all are `und`; repeated rows are judged one by one; an empty table gives
@@ -29,6 +30,7 @@ ORDER = 4
 DISCOUNT = 0.75
 VOCABULARY = 512  # characters that share the last discount
 REJECT = 0.005
+BUILD = 0.6  # of a language's labelled texts that are counted at most
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SLICE_CHARS = 1 << 19
 SLOTS = 20  # log2 of the places in a worker's memory of scores
@@ -72,6 +74,19 @@ def grams(codes: np.ndarray) -> np.ndarray:
     return key
 
 
+def text_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n-grams, codes, start of each text): n-grams of each text's letters and the space behind it, as if only spaces stood before the text."""
+    codes, begin = folded(texts)
+    keys = grams(codes)
+    for j in range(ORDER - 1):
+        at = begin[:-1] + j
+        at = at[at < begin[1:]]
+        own = np.uint64((1 << (16 * (j + 1))) - 1)  # the codes that are the text's own
+        spaces = sum(32 << (16 * k) for k in range(j + 1, ORDER))
+        keys[at] = (keys[at] & own) | np.uint64(spaces)
+    return keys, codes, begin
+
+
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     unique, back = np.unique(keys, return_inverse=True)
     return unique, np.bincount(back, weights=values, minlength=len(unique))
@@ -171,8 +186,8 @@ class Identifier:
             held += len(t)
             if held >= SLICE_CHARS or k == len(pieces) - 1:
                 part = pieces[start : k + 1]
-                codes, begin = folded([x for _, x in part])
-                row = self.scores(grams(codes))
+                keys, codes, begin = text_grams([x for _, x in part])
+                row = self.scores(keys)
                 doc = np.array([i for i, _ in part])
                 sums = np.concatenate((np.zeros((1, row.shape[1])), np.cumsum(row, axis=0, dtype=np.float64)))
                 ends = np.concatenate(([0], np.cumsum(codes != 32)))
@@ -205,21 +220,27 @@ def count_grams(sample: DataFrame) -> DataFrame:
             langs = np.array(batch.column(0).to_pylist(), object)
             texts = np.array(batch.column(1).to_pylist(), object)
             for lang in sorted(set(langs)):
-                keys, n = np.unique(grams(folded(texts[langs == lang].tolist())[0]), return_counts=True)
+                keys, _, begin = text_grams(texts[langs == lang].tolist())
+                keys, n = np.unique(keys[begin[0] :], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
     return sample.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, learn: Callable[[Column], Column], max_docs: int = 800, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Identifier:
-    """Models of all languages of the rows that `learn` allows, from about `max_docs` of each, chosen by a hash of the identifier."""
+def train(docs: DataFrame, learn: Callable[[Column], Column], max_docs: int = 800, max_calibration: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Identifier:
+    """Models of all languages of the rows that `learn` allows.
+
+    By a hash of the text about `max_docs` of each, at most BUILD of them, are counted; up to `max_calibration` others calibrate.
+    """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(learn(F.col("__id")))
     totals = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not totals:
         return Identifier({})
-    draw = F.pmod(F.xxhash64(F.col("__id"), F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*(x for lang, n in totals.items() for x in (F.lit(lang), F.lit(min(1.0, max_docs / n)))))
-    sample = rows.where(draw < share[F.col("lang")]).select("lang", "text")
+    draw = F.pmod(F.xxhash64(F.col("text"), F.lit("lang")), F.lit(1 << 30)) / float(1 << 30)
+    per_language = lambda f: F.create_map(*(x for lang, n in totals.items() for x in (F.lit(lang), F.lit(f(n)))))[F.col("lang")]
+    built = lambda n: min(BUILD, max_docs / n) if n > 1 else 1.0
+    sample = rows.where(draw < per_language(built)).select("lang", "text")
+    others = rows.where((draw >= per_language(built)) & (draw < per_language(lambda n: built(n) + max_calibration / n))).select("lang", "text")
     counted = count_grams(sample).toPandas()
     models = {lang: Model(part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy()) for lang, part in counted.groupby("lang")}
     plain = Identifier(models)
@@ -229,10 +250,10 @@ def train(docs: DataFrame, learn: Callable[[Column], Column], max_docs: int = 80
         own = pickle.loads(state)
         for batch in batches:
             entropy, letters = own.entropy(batch["text"].tolist())
-            at = np.array([own.langs.index(x) for x in batch["lang"]], np.int64)
+            at = np.array([own.langs.index(x) if x in own.langs else 0 for x in batch["lang"]], np.int64)
             yield pd.DataFrame({"lang": batch["lang"], "entropy": entropy[np.arange(len(at)), at] if len(at) else [], "letters": letters})
 
-    measured = sample.mapInPandas(measure, "lang string, entropy double, letters long").where("letters >= 40")
+    measured = others.mapInPandas(measure, "lang string, entropy double, letters long").where("letters >= 40")
     limits = {r[0]: float(r[1]) for r in measured.groupBy("lang").agg(F.percentile("entropy", F.lit(1 - REJECT))).collect()}
     return Identifier(models, limits)
 

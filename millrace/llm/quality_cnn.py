@@ -5,8 +5,8 @@ windows of `WIDTH` bytes. Rectified responses are averaged within chunks of 256
 and cover the whole text, every chunk passes a dense layer, the chunks' outputs are max-pooled, and a logistic unit
 combines them into one probability that the label is 1.
 
-The network is fitted on the driver, on at most `max_rows` labelled rows (half of them of each label where there are
-that many), chosen by a hash of the identifier. Scoring reads every whole text, a few hundred kilobytes at a time.
+The network is fitted on the driver, on about `max_rows` labelled identifiers (half of them of each label where there are
+that many), chosen by a hash of the identifier, one text each, and on at most `max_bytes` of text. Scoring reads every whole text, a few hundred kilobytes at a time.
 
 Defined results: a null or empty text is one empty chunk and gets the score that the network gives to that; without
 any label all scores are 0.5; repeated rows are scored one by one; an empty table gives an empty result; extra
@@ -194,8 +194,8 @@ def score_texts(texts: list[bytes], parameters: dict[str, np.ndarray] | None) ->
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], max_rows: int = 1600, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict[str, np.ndarray] | None:
-    """Fit on at most `max_rows` rows of `docs` that `learn` allows and `labels` covers; `max_rows` bounds what the driver reads."""
+def train(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], max_rows: int = 1600, max_bytes: int = 1 << 26, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> dict[str, np.ndarray] | None:
+    """Fit on rows of `docs` that `learn` allows and `labels` covers; `max_rows` and `max_bytes` bound what the driver reads, a text at a time."""
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label")).where(learn(F.col("__id"))).distinct()
     totals = {r[0]: r[1] for r in known.groupBy("__label").count().collect()}
     if len(totals) < 2:
@@ -204,9 +204,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column],
     share = F.when(F.col("__label") == 1, F.lit(min(1.0, max_rows / 2 / totals[1]))).otherwise(F.lit(min(1.0, max_rows / 2 / totals[0])))
     picked = known.where(draw < share)
     rows = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text")).join(F.broadcast(picked), F.col("__doc") == F.col("__id"))
-    rows = rows.select("__id", "__label", "__text").collect()
-    rows.sort(key=lambda r: (r[0], r[2] or ""))
-    return fit([(r[2] or "").encode() for r in rows], np.array([r[1] for r in rows]))
+    rows = rows.groupBy("__id").agg(F.max("__label"), F.max(F.coalesce("__text", F.lit(""))).alias("__text")).orderBy(F.xxhash64("__id"), "__id")
+    texts, marks, held = [], [], 0
+    for r in rows.toLocalIterator():
+        held += len(r[2].encode())
+        if held > max_bytes:
+            break
+        texts.append(r[2].encode())
+        marks.append(r[1])
+    return fit(texts, np.array(marks))
 
 
 def score(docs: DataFrame, parameters: dict[str, np.ndarray] | None, text_col: str = "text", out: str = "score") -> DataFrame:
