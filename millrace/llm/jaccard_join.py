@@ -33,7 +33,6 @@ from collections.abc import Iterator
 from math import ceil, comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +43,7 @@ from .components import components
 BASE, INVERSE = 0x2545F4914F6CDD1D, pow(0x2545F4914F6CDD1D, -1, 1 << 64)
 PIECE = 1 << 18  # bytes hashed at a time
 SMALL_ROWS = 250_000  # rows of identifiers or places that may be broadcast
-BUCKETS_LEAST, BUCKETS_MOST, IN_BUCKET = 1 << 12, 1 << 20, 64  # of the table that orders elements: its size follows theirs up to 4 MB
+BUCKETS_LEAST, BUCKETS_MOST, IN_BUCKET, PACKED = 1 << 12, 1 << 17, 64, 256  # of the table that orders elements: its size follows theirs up to half a megabyte
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -184,19 +183,20 @@ def subsets(n: int, percent: int) -> int:
 def light_links(sets: DataFrame, limit: int, percent: int, folder: str) -> DataFrame:
     """(a, b): certain links among sets of at most `limit` elements that keep all their components."""
 
-    def enumerate_subsets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def enumerate_subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, len(batch), 2000):
+            for low in range(0, batch.num_rows, 2000):
+                part = batch.slice(low, 2000)
                 rows = []
-                for rep, elements in zip(batch["id"][low : low + 2000], batch["elements"][low : low + 2000], strict=True):
+                for rep, elements in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     m = [int(x) for x in mix(np.array(elements, np.int64).view(np.uint64))]
                     whole = sum(m)
                     for a in range(most_left_out(len(m), percent) + 1):
                         rows += [((whole - sum(out)) % (1 << 64), len(m) - a, a, rep) for out in itertools.combinations(m, a)]
                 key = np.array([r[0] for r in rows], np.uint64).view(np.int64)
-                yield pd.DataFrame({"key": key, "size": [r[1] for r in rows], "left_out": [r[2] for r in rows], "id": [r[3] for r in rows]})
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.int64())))], names=["key", "size", "left_out", "id"])
 
-    rows = written(sets.where(F.col("n_shingles") <= limit).select("id", "elements").mapInPandas(enumerate_subsets, "key long, size int, left_out int, id long"), "subsets", folder)
+    rows = written(sets.where(F.col("n_shingles") <= limit).select("id", "elements").mapInArrow(enumerate_subsets, "key long, size int, left_out int, id long"), "subsets", folder)
     hubs = written(rows.groupBy("key", "size").agg(F.min(F.struct("left_out", "id")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"), "subset-hubs", folder)
     certain = F.col("size") * 100 >= percent * (F.col("size") + F.col("left_out") + F.col("hub.left_out"))
     return rows.join(hubs, ["key", "size"]).where(certain & (F.col("id") != F.col("hub.id"))).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
@@ -224,10 +224,12 @@ def bucket_counts(sets: DataFrame) -> np.ndarray:
     buckets = BUCKETS_LEAST
     while buckets < BUCKETS_MOST and buckets * IN_BUCKET < total:
         buckets *= 2
-    bucket = F.col("element").bitwiseAND(buckets - 1)
+    bucket = F.col("element").bitwiseAND(buckets - 1).cast("int")
+    rows = sets.select(F.explode("elements").alias("element")).groupBy(bucket.alias("bucket")).count()
+    packed = rows.groupBy(F.floor(F.col("bucket") / PACKED).alias("pack")).agg(F.collect_list("bucket").alias("at"), F.collect_list("count").alias("n"))
     counts = np.zeros(buckets, np.int32)
-    rows = sets.select(F.explode("elements").alias("element")).groupBy(bucket.cast("int").alias("bucket")).count().toPandas()
-    counts[rows["bucket"].to_numpy()] = np.minimum(rows["count"].to_numpy(), (1 << 31) - 1)
+    for r in packed.toLocalIterator():
+        counts[np.array(r["at"], np.int64)] = np.minimum(np.array(r["n"], np.int64), (1 << 31) - 1)
     return counts
 
 
@@ -303,8 +305,12 @@ def labelled(placed: DataFrame, n: int, percent: int, id_col: str, text_col: str
     left = full.join(written(alone, "alone", folder), "key", "left").where(F.coalesce("alone", F.lit(0)) <= slack(F.col("n_shingles"), percent))
     left = written(left.groupBy("set_hash", "n_shingles").agg(F.min("key").alias("class"), F.min(F.struct("key", "file", "row")).alias("at")).select("set_hash", "n_shingles", "class", "at.file", "at.row"), "open-classes")
     remove(spark, folder)
-    texts = placed.join(near(left.select(F.col("file").alias("__at_file"), F.col("row").alias("__at_row"), F.col("class").alias("id")), SMALL_ROWS), ["__at_file", "__at_row"]).select("id", F.col(text_col).alias("__text"))
-    sets = written(shingle_rows(texts, ("id",), "__text", n, percent, whole=True).drop("set_hash"), "sets", folder)
+    # Texts are found by a hash of their place; another text that has the same is told apart by its set.
+    place_hash = lambda file, row: F.xxhash64(file, row).alias("place")
+    chosen = near(left.select(place_hash("file", "row"), F.col("class").alias("id"), F.col("set_hash").alias("wanted")), SMALL_ROWS)
+    texts = placed.select(place_hash("__at_file", "__at_row"), F.col(text_col).alias("__text")).join(chosen, "place").select("id", "wanted", "__text")
+    sets = shingle_rows(texts, ("id", "wanted"), "__text", n, percent, whole=True).where("set_hash = wanted").drop("set_hash", "wanted")
+    sets = written(sets, "sets", folder)
     limit = light_limit(percent)
     certain = light_links(sets, limit, percent, folder)
     links = written(heavy_links(sets, written(heavy_lists(sets, limit, percent), "prefixes", folder), certain, percent, folder), "links-all")
