@@ -76,9 +76,16 @@ def grammar_slips(text: Column) -> Column:
 
 
 def overlapping_count(text: Column, key: Column) -> Column:
-    """Occurrences of a literal, overlapping ones too."""
-    spots = F.sequence(F.lit(1), F.greatest(F.length(text) - F.length(key) + 1, F.lit(1)))
-    return F.when(text.isNull(), None).when(F.length(key) == 0, 0).otherwise(F.size(F.filter(spots, lambda i: F.substring(text, i, F.length(key)) == key))).cast("bigint")
+    """Occurrences of a literal, overlapping ones too, in one pass: the places that it begins at."""
+    quoted = F.concat(F.lit(r"(?=\Q"), F.replace(key, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)"))
+    return F.when(text.isNull(), None).when(F.length(key) == 0, 0).otherwise(F.regexp_count(text, quoted)).cast("bigint")
+
+
+def literal_count(text: Column, key: str) -> Column:
+    """As `overlapping_count`, of a literal that is known. One that can't overlap itself is counted by what goes when it is taken out."""
+    if any(key[:n] == key[-n:] for n in range(1, len(key))):
+        return overlapping_count(text, F.lit(key))
+    return F.floor((F.length(text) - F.length(F.replace(text, F.lit(key), F.lit("")))) / len(key)).cast("bigint")
 
 
 def amount_digits(text: Column) -> Column:
@@ -112,15 +119,27 @@ def pick(values: list[str], *parts: Column | str) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (F.floor(draw(*parts) * len(values)) + 1).cast("int"))
 
 
-def typo(word: Column, neighbours: dict[str, str], *key: Column | str) -> Column:
-    """One slip at an inner character of words over three characters: a neighbour on the keyboard, or a swap with the next."""
+def slip(word: Column, neighbours: dict[str, str], *key: Column | str) -> Column:
+    """One slip at an inner character: half of the time a neighbour on the keyboard if there is one, else a swap with the next."""
     spot = (F.lit(2) + F.floor(draw(*key, "spot") * F.greatest(F.length(word) - 2, F.lit(1)))).cast("int")
     table = F.create_map(*(F.lit(x) for kv in neighbours.items() for x in kv))
     here, following = F.substring(word, spot, F.lit(1)), F.substring(word, spot + 1, F.lit(1))
     near = F.try_element_at(table, F.lower(here))
     tail = F.length(word)
-    slipped = F.when((draw(*key, "kind") < 0.5) & near.isNotNull(), F.concat(F.substring(word, F.lit(1), spot - 1), near, F.substring(word, spot + 1, tail))).otherwise(F.concat(F.substring(word, F.lit(1), spot - 1), following, here, F.substring(word, spot + 2, tail)))
-    return F.when(F.length(word) > 3, slipped).otherwise(word)
+    return F.when((draw(*key, "kind") < 0.5) & near.isNotNull(), F.concat(F.substring(word, F.lit(1), spot - 1), near, F.substring(word, spot + 1, tail))).otherwise(F.concat(F.substring(word, F.lit(1), spot - 1), following, here, F.substring(word, spot + 2, tail)))
+
+
+def typo(word: Column, neighbours: dict[str, str], *key: Column | str) -> Column:
+    """One slip, in a fifth of the words two; words of three characters at most stay."""
+    again = lambda once: F.when(draw(*key, "edits") < 0.2, slip(once, neighbours, *key, "again")).otherwise(once)
+    return F.when(F.length(word) > 3, F.get(F.transform(F.array(slip(word, neighbours, *key)), again), 0)).otherwise(word)
+
+
+def grouped_digits(number: Column, indian: bool = False) -> Column:
+    """A number with commas between groups of three digits, or of two before the last three; up to three decimals."""
+    plain = F.regexp_replace(F.round(number, 3).cast("decimal(38,3)").cast("string"), r"\.?0+$", "")
+    whole, rest = F.substring_index(plain, ".", 1), F.regexp_extract(plain, r"(\..*)$", 1)
+    return F.concat(F.regexp_replace(whole, r"(\d)(?=(?:\d\d)+\d$)" if indian else r"(\d)(?=(?:\d{3})+$)", "$1,"), rest)
 
 
 def mulberry_draw(seed: Column, n: Column | int = 1) -> Column:

@@ -113,6 +113,18 @@ class OfflineProvider:
         return [{"id": r["id"], "suitability": "KEEP", "reason": ""} for r in records]
 
 
+#: Providers by name; callers may add their own.
+PROVIDERS: dict[str, Callable[[], Provider]] = {"offline": OfflineProvider}
+
+
+def judge_with(rows: DataFrame, name: str, size: int = 50) -> DataFrame:
+    """(id, suitability, reason, error): the named provider's verdicts; of an unknown name an error for every row."""
+    if name not in PROVIDERS:
+        none = F.lit(None).cast("string")
+        return rows.select(F.col("id").cast("string").alias("id"), none.alias("suitability"), none.alias("reason"), F.lit(f"unknown provider: {name}").alias("error"))
+    return judge(rows.withColumn("id", F.col("id").cast("string")), PROVIDERS[name](), size).withColumn("error", F.lit(None).cast("string"))
+
+
 def with_retries(call: Callable[[], list[dict]], tries: int = 3, wait: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> list[dict]:
     """The call's result, tried again after waits that double; the last error is raised."""
     for k in range(tries):

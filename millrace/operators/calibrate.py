@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import small
+
 FLOOR = 1e-8
 GRID = [round(0.5 + 0.1 * k, 1) for k in range(46)]
 THRESHOLD = 0.65
+MOST_CLASSES = 10_000
 MARGIN, QUANTILE, LEAST_RADIUS = 1.15, 0.95, 1e-6
 
 
@@ -16,25 +22,40 @@ def argmax(values: Column) -> Column:
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of the value, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, y: a + y)
+
+
 def softmax(logits: Column) -> Column:
-    shifted = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    return F.transform(shifted, lambda x: x / F.aggregate(shifted, F.lit(0.0), lambda a, y: a + y))
+    shifted = let(logits, lambda z: let(F.array_max(z), lambda m: F.transform(z, lambda x: F.exp(x - m))))
+    return let(shifted, lambda e: let(total(e), lambda s: F.transform(e, lambda x: x / s)))
+
+
+def clipped_log(p: Column) -> Column:
+    return F.transform(p, lambda x: F.log(F.greatest(F.least(x, F.lit(1.0)), F.lit(FLOOR))))
 
 
 def temperature_scaled(p: Column, t: Column | float) -> Column:
     """Probabilities at another temperature."""
     t = t if isinstance(t, Column) else F.lit(float(t))
-    return softmax(F.transform(p, lambda x: F.log(F.greatest(F.least(x, F.lit(1.0)), F.lit(FLOOR))) / t))
+    return softmax(F.transform(clipped_log(p), lambda x: x / t))
 
 
 def fit_temperature(rows: DataFrame, p: str = "p", truth: str = "truth", grid: list[float] = GRID) -> DataFrame:
     """(t, nll): the grid's temperature with the least mean negative log-likelihood, the smallest on ties.
 
-    Rows are unfolded over the grid and summed per temperature before anything is shuffled.
+    Logarithms are taken once a row; only what a temperature needs is unfolded over the grid, and summed per temperature
+    before anything is shuffled.
     """
-    unfolded = rows.select(p, truth, F.explode(F.array(*map(F.lit, grid))).alias("t"))
-    loss = -F.log(F.greatest(F.get(temperature_scaled(F.col(p), F.col("t")), F.col(truth)), F.lit(FLOOR)))
-    means = unfolded.groupBy("t").agg(F.avg(loss).alias("nll"))
+    once = rows.select(let(clipped_log(F.col(p)), lambda z: F.transform(F.array(F.array_max(z)), lambda m: F.struct(F.transform(z, lambda x: x - m).alias("z"), (F.get(z, F.col(truth)) - m).alias("own")))[0]).alias("r"))
+    unfolded = once.select("r", F.explode(F.array(*map(F.lit, grid))).alias("t"))
+    loss = F.log(total(F.transform("r.z", lambda x: F.exp(x / F.col("t"))))) - F.col("r.own") / F.col("t")
+    means = unfolded.groupBy("t").agg(F.avg(F.least(loss, F.lit(-math.log(FLOOR)))).alias("nll"))
     return means.agg(F.min(F.struct(F.round("nll", 9).alias("nll"), "t")).alias("b")).select("b.t", "b.nll")
 
 
@@ -51,7 +72,7 @@ def distance(a: Column, b: Column) -> Column:
 
 def radii(rows: DataFrame, centers: DataFrame, vector: str = "embedding", label: str = "label") -> DataFrame:
     """(label, radius, n): a high quantile of the distances to the own centroid, with a margin. Centroids are one row per class."""
-    d = rows.join(F.broadcast(centers.select(label, "centroid")), label).withColumn("d", distance(F.col(vector), F.col("centroid")))
+    d = rows.join(small(centers.select(label, "centroid"), MOST_CLASSES), label).withColumn("d", distance(F.col(vector), F.col("centroid")))
     return d.groupBy(label).agg(F.greatest(F.percentile("d", F.lit(QUANTILE)) * MARGIN, F.lit(LEAST_RADIUS)).alias("radius"), F.count(F.lit(1)).alias("n"))
 
 
@@ -59,8 +80,10 @@ def nearest(rows: DataFrame, classes: DataFrame, vector: str = "embedding", labe
     """Adds nearest, distance and accepted (within the class's radius, if `classes` has radii).
 
     The classes, one row each, travel as one array beside every row; ties go to the smallest label, and classes of another
-    dimension don't count.
+    dimension don't count. More than MOST_CLASSES classes are refused: they don't fit beside every row.
     """
+    if classes.count() > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes")
     has_radius = "radius" in classes.columns
     packed = classes.agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), "centroid", *(["radius"] if has_radius else [])))).alias("__classes"))
     joined = rows.join(F.broadcast(packed))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import draw, pick
+from ..sources.io import small
 
 
 def indexed_pool(pool: DataFrame, slot: str = "slot", value: str = "value") -> DataFrame:
@@ -25,8 +28,8 @@ def fill_slots(templates: DataFrame, pool: DataFrame, seed: str, template: str =
     name = F.lower(F.regexp_extract("part", r"^\{(\w+)\}$", 1))
     rows = rows.withColumn("slot", F.when(name != "", name))
     sizes = pool.select("slot", "n").distinct()
-    rows = rows.join(F.broadcast(sizes), "slot", "left").withColumn("i", F.floor(draw(F.lit(seed), *(F.col(k) for k in key), F.col("pos")) * F.col("n")).cast("int"))
-    rows = rows.join(F.broadcast(pool.select("slot", "i", "value")), ["slot", "i"], "left")
+    rows = rows.join(small(sizes), "slot", "left").withColumn("i", F.floor(draw(F.lit(seed), *(F.col(k) for k in key), F.col("pos")) * F.col("n")).cast("int"))
+    rows = rows.join(small(pool.select("slot", "i", "value")), ["slot", "i"], "left")
     is_slot = F.col("slot").isNotNull() & (F.lit(True) if compat else F.col("value").isNotNull())
     filled = rows.select(*key, "pos", F.coalesce("value", "part").alias("text"), F.when(is_slot, F.col("slot")).alias("slot"))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "text", "slot")))
@@ -37,10 +40,14 @@ def fill_slots(templates: DataFrame, pool: DataFrame, seed: str, template: str =
 
 
 def round_robin(templates: DataFrame, n: int, group: list[str], place: str = "pos", template: str = "template") -> DataFrame:
-    """(group, i, template): n rows per group, its templates in turn."""
-    packed = templates.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(place, template))).alias("all"))
-    rows = packed.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return rows.select(*group, "i", F.get("all", F.pmod(F.col("i"), F.size("all")))[template].alias(template))
+    """(group, i, template): n rows per group, its templates in turn; of a group of more than n templates the first n.
+
+    Templates are numbered within their group and joined by place, so none is carried along with all others.
+    """
+    first = templates.withColumn("__at", F.row_number().over(Window.partitionBy(*group).orderBy(place, template)) - 1).where(F.col("__at") < n)
+    sizes = templates.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    rows = sizes.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("__at", F.pmod(F.col("i"), F.col("__n")))
+    return rows.join(first.select(*group, "__at", template), [*group, "__at"]).select(*group, "i", template)
 
 
 def cartesian(templates: DataFrame, values: dict[str, list[str]], template: str = "template", *key: str) -> DataFrame:
@@ -122,5 +129,45 @@ def negatives(rows: DataFrame, base: list[str], i: str = "i") -> DataFrame:
 def distinct_target(candidates: DataFrame, target: int, group: list[str], attempt: str, text: str) -> DataFrame:
     """(group, attempt, text): the first `target` different texts of a group, apart from case, by attempt."""
     first = candidates.groupBy(*group, F.lower(text).alias("__k")).agg(F.min(F.struct(attempt, text)).alias("m"))
-    kept = F.slice(F.array_sort(F.collect_list("m")), 1, target)
-    return first.groupBy(*group).agg(kept.alias("all")).select(*group, F.explode("all").alias("m")).select(*group, f"m.{attempt}", f"m.{text}")
+    ranked = first.withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy("m"))).where(F.col("__r") <= target)
+    return ranked.select(*group, f"m.{attempt}", f"m.{text}")
+
+
+def synthesised(templates: DataFrame, pool: DataFrame, seed: str, target: int, attempts: int) -> DataFrame:
+    """(id, intent, text, slots, split) of templates (intent, pos, template): up to `target` different texts an intent.
+
+    Attempt number a takes the intent's template a in turn and draws its slots. A text belongs to the first intent, then the
+    first attempt, that draws it, whatever its place among the target; a draw per row splits 80 to 10 to 10.
+    """
+    turns = round_robin(templates, attempts, ["intent"]).withColumnRenamed("i", "attempt")
+    drawn = fill_slots(turns, pool, seed, "template", "intent", "attempt")
+    own = drawn.groupBy("text").agg(F.min(F.struct("intent", "attempt", "slots")).alias("m")).select("m.*", "text")
+    ranked = own.withColumn("n", F.row_number().over(Window.partitionBy("intent").orderBy("attempt")) - 1).where(F.col("n") < target)
+    roll = draw(F.lit(seed), F.lit("split"), F.col("intent"), F.col("n"))
+    split = F.when(roll < 0.8, "train").when(roll < 0.9, "val").otherwise("test")
+    return ranked.select(F.concat(F.substring("intent", 1, 3), F.lit("_"), F.col("n").cast("string")).alias("id"), "intent", "text", "slots", split.alias("split"))
+
+
+def first_replaced(mark: str, value: Column) -> Callable[[Column], Column]:
+    """A function that puts the value in place of a text's first mark."""
+
+    def put(text: Column) -> Column:
+        at = F.instr(text, mark)
+        return F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), value, F.substring(text, at + len(mark), F.length(text)))).otherwise(text)
+
+    return put
+
+
+def expanded(rows: DataFrame, templates: list[str], values: dict[str, list[str]], fillers: list[str], *key: Column | str, text: str = "text") -> DataFrame:
+    """Adds a text per row: a drawn template with the first mark of every slot replaced, a filler behind a fifth, a fifth in lower case."""
+    out = pick(templates, *key, "template")
+    for slot, listed in values.items():
+        out = F.get(F.transform(F.array(out), first_replaced("{" + slot + "}", pick(listed, *key, slot))), 0)
+    out = F.when(draw(*key, "filler") > 0.8, F.concat(out, F.lit(" "), pick(fillers, *key, "which"))).otherwise(out)
+    return rows.withColumn(text, F.when(draw(*key, "lower") > 0.8, F.lower(out)).otherwise(out))
+
+
+def currency_of(rows: DataFrame, symbols: dict[str, str], region: str, out: str = "symbol") -> DataFrame:
+    """Adds the region's currency symbol, empty for a region without one."""
+    table = F.create_map(*(F.lit(x) for kv in symbols.items() for x in kv))
+    return rows.withColumn(out, F.coalesce(F.try_element_at(table, F.col(region)), F.lit("")))

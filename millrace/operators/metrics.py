@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,6 +37,27 @@ def confusion(rows: DataFrame, values: list, truth: str = "truth", predicted: st
     return rows.groupBy(truth).agg(*counts)
 
 
+def robustness(clean: DataFrame, noisy: DataFrame, most: float = 0.05) -> DataFrame:
+    """(f1_clean, f1_noisy, delta, robust): mean F1 of two reports' labels; robust if noise costs less than `most`."""
+    mean = lambda rows, name: class_report(rows).where("label = 'macro avg'").select(F.col("f1").alias(name))
+    both = mean(clean, "f1_clean").join(mean(noisy, "f1_noisy"))  # one row each
+    delta = F.col("f1_clean") - F.col("f1_noisy")
+    return both.select("f1_clean", "f1_noisy", delta.alias("delta"), (delta < most).alias("robust"))
+
+
+def group_listing(taxonomy: DataFrame, group: str, name: str, parts: str) -> DataFrame:
+    """(group, name, place, n_names, n_parts): the names of each group in order, with how many there are and how many parts they have in all."""
+    place = F.row_number().over(Window.partitionBy(group).orderBy(name))
+    sums = taxonomy.groupBy(group).agg(F.count(F.lit(1)).alias("n_names"), F.sum(F.size(parts)).alias("n_parts"))
+    return taxonomy.select(group, name, place.cast("bigint").alias("place")).join(sums, group)
+
+
+def run_metadata(rows: DataFrame, version: str) -> DataFrame:
+    """(version, generated_at, total): one row; the time is that of the run, in ISO form, UTC."""
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return rows.agg(F.count(F.lit(1)).alias("total")).select(F.lit(version).alias("version"), now.alias("generated_at"), "total")
+
+
 def engine_comparison(rows: DataFrame) -> DataFrame:
     """One row of statistics over rows (error, a_latency, a_confidence, a_intent, b_latency, b_confidence, b_intent, amount, merchant).
 

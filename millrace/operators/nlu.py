@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import PUNCTUATION, overlapping_count
+from ..functions.text import PUNCTUATION, literal_count
 
 # Intents in order, with weight and keywords.
 INTENT_KEYWORDS = (
@@ -46,7 +46,7 @@ def intent_scores(text: Column, keywords=INTENT_KEYWORDS) -> Column:
     """array<struct<score, place, intent>> of intents with a score: weight times occurrences, overlapping ones too."""
     scored = []
     for place, (intent, weight, keys) in enumerate(keywords):
-        n = sum((overlapping_count(text, F.lit(k)) for k in keys[1:]), overlapping_count(text, F.lit(keys[0])))
+        n = sum((literal_count(text, k) for k in keys[1:]), literal_count(text, keys[0]))
         scored.append(F.struct((n * F.lit(weight)).alias("score"), F.lit(-place).alias("place"), F.lit(intent).alias("intent")))
     return F.filter(F.array(*scored), lambda s: s["score"] > 0)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import small
+
 MOST_LISTED = 5
 
 
@@ -44,7 +46,7 @@ def diversity(rows: DataFrame, minimum: DataFrame, combos: DataFrame | None = No
     if combos is not None:
         found = combos.join(found, ["intent", "action"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     least = F.coalesce("least", F.lit(0))
-    return found.join(F.broadcast(minimum), "intent", "left").where(F.col("n") < least).select("intent", "action", "n", least.alias("least"))
+    return found.join(small(minimum), "intent", "left").where(F.col("n") < least).select("intent", "action", "n", least.alias("least"))
 
 
 def report(rows: DataFrame, specs: DataFrame, combos: DataFrame, minimum: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from .audit import numbered
+
 # Weights of accuracy, latency, size and battery.
 PRESETS = {"budget": (40, 90, 100, 95), "flagship": (100, 60, 30, 40), "balanced": (80, 75, 75, 70), "wearable": (20, 95, 100, 100)}
 # Id, accuracy, latency ms, quantised MB, battery index.
@@ -14,6 +16,7 @@ ARCHITECTURES = (("logistic-regression", 62, 1.8, 0.3, 1), ("cnn", 78, 8.5, 1.1,
 PROCESSORS = {"budget-cpu": (0.08, 4.5), "mid-gpu": (0.65, 2.2), "flagship-npu": (8.2, 1.1)}
 # Least latency ms by architecture and processor.
 FLOORS = {"bilstm": {"flagship-npu": 3.2, "mid-gpu": 8.5, "budget-cpu": 16.0}, "cnn": {"flagship-npu": 1.8, "mid-gpu": 4.0, "budget-cpu": 7.2}, "transformer": {"flagship-npu": 9.5, "mid-gpu": 18.0, "budget-cpu": 68.0}}
+MOST_ROUTES = 100_000
 COMPLEXITY = {"cnn": 2.5, "bilstm": 8.0, "transformer": 14.0}
 
 
@@ -45,11 +48,13 @@ def appended_labels(old: DataFrame, new: DataFrame) -> DataFrame:
     """(label, idx): old labels (label, idx) keep their order, new ones (label) follow in lexical order."""
     added = new.join(old, "label", "left_anti").distinct().select("label", F.lit(1).alias("is_new"), F.lit(None).cast("bigint").alias("pos"))
     both = old.select("label", F.lit(0).alias("is_new"), F.col("idx").cast("bigint").alias("pos")).unionByName(added)
-    return both.select("label", (F.row_number().over(Window.orderBy("is_new", "pos", "label")) - 1).cast("bigint").alias("idx"))
+    return numbered(both, "is_new", "pos", "label").select("label", (F.col("rn") - 1).alias("idx"))
 
 
 def route_lines(routes: DataFrame, key: str, value: str, header: str) -> DataFrame:
-    """(text): one text of sorted lines `"key": "value",` under a header; the table of routes is small."""
+    """(text): one text of sorted lines `"key": "value",` under a header; more than MOST_ROUTES routes are refused."""
+    if routes.count() > MOST_ROUTES:
+        raise ValueError(f"more than {MOST_ROUTES} routes for one text")
     line = F.concat(F.lit('  "'), F.col(key), F.lit('": "'), F.col(value), F.lit('",'))
     return routes.agg(F.concat(F.lit(header + "\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n")).alias("text"))
 

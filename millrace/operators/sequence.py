@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.text import draw
+from .audit import numbered
 
 LENGTH = 24
 PAD, UNKNOWN = 0, 1
@@ -15,16 +16,17 @@ PAD, UNKNOWN = 0, 1
 def vocabulary(rows: DataFrame, tokens: str, *order: str) -> DataFrame:
     """(token, n, idx): tokens by falling count, ties by first occurrence in `order`; indices from 2.
 
-    Only distinct tokens are ranked, not occurrences; the ranking itself needs one total order over the vocabulary.
+    Only distinct tokens are ranked, not occurrences, and by ranges, so no task sees the whole vocabulary.
     """
     parts = rows.select(*order, F.posexplode(tokens).alias("pos", "token"))
     counted = parts.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order, "pos")).alias("first"))
-    return counted.select("token", "n", (F.row_number().over(Window.orderBy(F.desc("n"), "first")) + 1).cast("bigint").alias("idx"))
+    ranked = numbered(counted.withColumn("falling", -F.col("n")), "falling", "first")
+    return ranked.select("token", "n", (F.col("rn") + 1).alias("idx"))
 
 
 def label_index(labels: DataFrame, column: str, start: int = 0) -> DataFrame:
     """(label, idx): distinct labels in lexical order."""
-    return labels.select(F.col(column).alias("label")).distinct().select("label", (F.row_number().over(Window.orderBy("label")) - 1 + start).cast("bigint").alias("idx"))
+    return numbered(labels.select(F.col(column).alias("label")).distinct(), "label").select("label", (F.col("rn") - 1 + start).alias("idx"))
 
 
 def padded(ids: Column, length: int = LENGTH) -> Column:

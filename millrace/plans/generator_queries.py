@@ -144,3 +144,44 @@ def g_date(spark, d):
 def g_dedup_target(spark, d):
     rows = table(spark, d, "customer").select(F.col("c_mktsegment").alias("g"), F.col("c_custkey").alias("attempt"), F.concat(F.lit("V"), F.floor(draw("dd", F.col("c_custkey")) * 60).cast("string")).alias("t"))
     return generate.distinct_target(rows, 40, ["g"], "attempt", "t")
+
+
+# Templates by intent, and symbols by region.
+INTENTS = {"ADD_EXPENSE": ["spent on {kind}", "{brand} at {place}", "paid for {kind} today"], "BUDGET_QUERY": ["budget for {kind}", "{brand} at {place}"], "GOAL": ["save for {place}"]}
+SYMBOLS = {"ASIA": "₹", "EUROPE": "€", "AMERICA": "$"}
+TEXTS = ("show {kind} costs", "how much for {kind} at {place}", "{kind}, {kind} and more", "Total please")
+SLOT_VALUES = {"kind": ["Rent", "fuel", "Food"], "place": ["home", "Delhi"]}
+
+
+def intent_templates(spark):
+    return spark.createDataFrame([(i, p, t) for i, ts in INTENTS.items() for p, t in enumerate(ts)], "intent string, pos int, template string")
+
+
+SYNTH_SQL = f"""{POOL_SQL}, tpl AS (SELECT * FROM (VALUES {', '.join(f"({q(i)}, {p}, {len(ts)}, {q(t)})" for i, ts in INTENTS.items() for p, t in enumerate(ts))}) AS v(intent, pos, k, template)),
+prt AS (SELECT intent, pos AS tp, k, string_split_regex(replace(replace(template, '{{', chr(1) || '{{'), '}}', '}}' || chr(1)), chr(1)) AS p FROM tpl),
+ext AS (SELECT intent, tp, k, part, row_number() OVER (PARTITION BY intent, tp ORDER BY j) - 1 AS pos FROM (SELECT intent, tp, k, unnest(p) AS part, unnest(range(0, len(p))) AS j FROM prt) WHERE part <> ''),
+att AS (SELECT intent, CAST(a AS INTEGER) AS attempt, pos, part, lower(trim(part, '{{}}')) AS slot FROM ext, range(300) r(a) WHERE a % k = tp),
+fil AS (SELECT att.*, (SELECT max(n) FROM pool WHERE pool.slot = att.slot AND starts_with(part, '{{')) AS n FROM att),
+val AS (SELECT fil.*, pool.value FROM fil LEFT JOIN pool ON fil.n IS NOT NULL AND pool.slot = fil.slot AND pool.i = CAST(floor({draw_sql("'syn'", 'intent', 'attempt', 'pos')} * fil.n) AS INTEGER)),
+txt AS (SELECT intent, attempt, string_agg(coalesce(value, part), '' ORDER BY pos) AS text FROM val GROUP BY intent, attempt),
+own AS (SELECT text, min((intent, attempt)) AS m FROM txt GROUP BY text),
+rnk AS (SELECT struct_extract(m, 1) AS intent, text, row_number() OVER (PARTITION BY struct_extract(m, 1) ORDER BY struct_extract(m, 2)) - 1 AS n FROM own),
+rol AS (SELECT *, {draw_sql("'syn'", "'split'", 'intent', 'n')} AS u FROM rnk WHERE n < 120)"""
+
+
+@query("g_synthesise", f"WITH {SYNTH_SQL} SELECT substr(intent, 1, 3) || '_' || n AS id, intent, text, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'val' ELSE 'test' END AS split FROM rol")
+def g_synthesise(spark, d):
+    return generate.synthesised(intent_templates(spark), pools(spark, d), "syn", 120, 300).select("id", "intent", "text", "split")
+
+
+@query("g_expand", f"WITH b AS (SELECT i, {pick_sql(list(TEXTS), chr(39) + 'ex' + chr(39), 'i', chr(39) + 'template' + chr(39))} AS t FROM range(3000) r(i)), "
+    + ", ".join(f"{n} AS (SELECT i, CASE WHEN contains(t, '{{{k}}}') THEN substr(t, 1, instr(t, '{{{k}}}') - 1) || {pick_sql(v, chr(39) + 'ex' + chr(39), 'i', q(k))} || substr(t, instr(t, '{{{k}}}') + {len(k) + 2}) ELSE t END AS t FROM {p})" for n, p, (k, v) in zip(("c", "e"), ("b", "c"), SLOT_VALUES.items()))
+    + f", f AS (SELECT i, CASE WHEN {draw_sql(chr(39) + 'ex' + chr(39), 'i', chr(39) + 'filler' + chr(39))} > 0.8 THEN t || ' ' || {pick_sql(FILLERS, chr(39) + 'ex' + chr(39), 'i', chr(39) + 'which' + chr(39))} ELSE t END AS t FROM e) SELECT i, CASE WHEN {draw_sql(chr(39) + 'ex' + chr(39), 'i', chr(39) + 'lower' + chr(39))} > 0.8 THEN lower(t) ELSE t END AS text FROM f")
+def g_expand(spark, d):
+    return generate.expanded(spark.range(3000).withColumnRenamed("id", "i"), list(TEXTS), SLOT_VALUES, FILLERS, "ex", F.col("i"))
+
+
+@query("j_currency", "SELECT n_name, CASE r_name WHEN 'ASIA' THEN '₹' WHEN 'EUROPE' THEN '€' WHEN 'AMERICA' THEN '$' ELSE '' END AS symbol FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
+def j_currency(spark, d):
+    rows = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return generate.currency_of(rows, SYMBOLS, "r_name").select("n_name", "symbol")

@@ -129,6 +129,25 @@ def m_confusion(spark, d):
     return metrics.confusion(guesses(spark, d), list(range(12)))
 
 
+MACRO = "(SELECT avg(coalesce(2 * p * r / nullif(p + r, 0), 0)) FROM (SELECT coalesce((SELECT count(*) FROM {t} WHERE truth = label AND guess = label) / nullif((SELECT count(*) FROM {t} WHERE guess = label), 0), 0) AS p, coalesce((SELECT count(*) FROM {t} WHERE truth = label AND guess = label) / nullif((SELECT count(*) FROM {t} WHERE truth = label), 0), 0) AS r FROM (SELECT truth AS label FROM {t} UNION SELECT guess FROM {t})))"
+
+
+@query("a_robustness", f"WITH {GUESS_SQL}, c AS (SELECT truth, predicted AS guess FROM g), n AS (SELECT truth, CASE WHEN vec_id % 5 = 0 THEN (truth + 2) % 10 ELSE predicted END AS guess FROM g), m AS (SELECT {MACRO.format(t='c')} AS a, {MACRO.format(t='n')} AS b) SELECT round(a, 6) AS f1_clean, round(b, 6) AS f1_noisy, round(a - b, 6) AS delta, a - b < 0.05 AS robust FROM m")
+def a_robustness(spark, d):
+    clean = guesses(spark, d)
+    noisy = clean.withColumn("predicted", F.when(F.col("vec_id") % 5 == 0, (F.col("truth") + 2) % 10).otherwise(F.col("predicted")))
+    return rounded(metrics.robustness(clean, noisy))
+
+
+@query("a_group_listing", """WITH t AS (SELECT r_name, n_name, CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS k FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY r_name, n_name)
+SELECT r_name, n_name, row_number() OVER (PARTITION BY r_name ORDER BY n_name) AS place, count(*) OVER (PARTITION BY r_name) AS n_names, CAST(sum(k) OVER (PARTITION BY r_name) AS BIGINT) AS n_parts FROM t""")
+def a_group_listing(spark, d):
+    nations = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    parts = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.collect_set("c_mktsegment").alias("segments"))
+    taxonomy = nations.join(parts, "n_nationkey", "left").select("r_name", "n_name", F.coalesce("segments", F.array().cast("array<string>")).alias("segments"))
+    return metrics.group_listing(taxonomy, "r_name", "n_name", "segments")
+
+
 @query("m_slot_report", f"WITH {TAG_SQL}, q AS (SELECT tag AS t, CASE WHEN pos % 9 = 0 THEN 'B-A' WHEN pos % 9 = 1 THEN 'O' ELSE tag END AS p FROM tg WHERE pos < 24), labels AS (SELECT unnest(['B-A', 'B-B', 'I-A', 'I-B']) AS label), per AS (SELECT label, (SELECT count(*) FROM q WHERE p = label) AS ap, (SELECT count(*) FROM q WHERE t = label) AS at_, (SELECT count(*) FROM q WHERE t = label AND p = label) AS hit FROM labels) SELECT label, round(coalesce(hit / nullif(ap, 0), 0), 6) AS precision, round(coalesce(hit / nullif(at_, 0), 0), 6) AS recall, CAST(at_ AS BIGINT) AS support FROM per")
 def m_slot_report(spark, d):
     rows = tagged(spark, d).where("pos < 24").select(F.col("tag").alias("truth"), F.when(F.col("pos") % 9 == 0, "B-A").when(F.col("pos") % 9 == 1, "O").otherwise(F.col("tag")).alias("predicted"))
@@ -208,22 +227,22 @@ def m_temp_fit(spark, d):
     return calibrate.fit_temperature(probabilities(spark, d), truth="label").select("t", F.round("nll", 6).alias("nll"))
 
 
-# Fixed values of these queries: phrases that utterances are made of.
+# Fixed values of these queries: phrases that are put behind the turns' own texts, so that rules fire.
 PHRASES = ("i spent 450 on groceries today", "can i afford a 50 lakh car", "salary credited 1,250.50 this month", "show my budget limit", "pay the loan payment for 5 kids", "how to save more", "buy 2.5 crore apartment", "net worth overview please", "consulting job paid 10k", "gold and shares at amazon", "", "hello there")
 
 
 def spoken(spark, d):
     k = F.col("conv_id") * 7 + F.col("turn")
     phrase = lambda n: F.element_at(F.array(*map(F.lit, PHRASES)), (F.pmod(n, F.lit(len(PHRASES))) + 1).cast("int"))
-    return turns(spark, d).select("conv_id", "turn", F.trim(F.concat(phrase(k), F.lit(" "), F.when(k % 3 == 0, phrase(k + 5)).otherwise(""))).alias("text"))
+    return turns(spark, d).select("conv_id", "turn", F.trim(F.concat_ws(" ", "text", phrase(k), F.when(k % 3 == 0, phrase(k + 5)))).alias("text"))
 
 
-SPOKEN_SQL = f"ph AS (SELECT {list(PHRASES)} AS l), sp AS (SELECT conv_id, turn, trim(l[(conv_id * 7 + turn) % {len(PHRASES)} + 1] || ' ' || CASE WHEN (conv_id * 7 + turn) % 3 = 0 THEN l[(conv_id * 7 + turn + 5) % {len(PHRASES)} + 1] ELSE '' END) AS text FROM conversations, ph)"
+SPOKEN_SQL = f"ph AS (SELECT {list(PHRASES)} AS l), sp AS (SELECT conv_id, turn, trim(concat_ws(' ', text, l[(conv_id * 7 + turn) % {len(PHRASES)} + 1], CASE WHEN (conv_id * 7 + turn) % 3 = 0 THEN l[(conv_id * 7 + turn + 5) % {len(PHRASES)} + 1] END)) AS text FROM conversations, ph)"
 KEY_SQL = "kw AS (SELECT * FROM (VALUES " + ", ".join(f"('{i}', {p}, {w}, '{k}')" for p, (i, w, ks) in enumerate(nlu.INTENT_KEYWORDS) for k in ks) + ") AS v(intent, place, weight, k))"
 
 
 @query("n_intent_score", f"""WITH {SPOKEN_SQL}, {KEY_SQL}, du AS (SELECT DISTINCT text, lower(trim(text)) AS low FROM sp),
-oc AS (SELECT text, intent, place, weight, (SELECT count(*) FROM range(1, length(low) + 1) r(i) WHERE substr(low, i, length(k)) = k) AS n FROM du, kw),
+oc AS (SELECT text, intent, place, weight, len(list_filter(range(1, length(low) + 1), lambda i: substr(low, i, length(k)) = k)) AS n FROM du JOIN kw ON contains(low, k)),
 sc AS (SELECT text, intent, any_value(place) AS place, sum(n) * any_value(weight) AS s FROM oc GROUP BY text, intent HAVING sum(n) > 0),
 rk AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY s DESC, place) AS r FROM sc),
 a AS (SELECT du.text, low, f.intent AS i1, f.s AS s1, g.intent AS i2, g.s AS s2 FROM du LEFT JOIN rk f ON f.text = du.text AND f.r = 1 LEFT JOIN rk g ON g.text = du.text AND g.r = 2),
@@ -237,9 +256,7 @@ g1 AS (SELECT *, contains(low, 'afford') OR contains(low, 'buy') OR contains(low
 fin AS (SELECT text, i2, c2, CASE WHEN low = '' THEN 'UNKNOWN' WHEN h3 THEN 'AFFORDABILITY_CHECK' ELSE i END AS intent, CASE WHEN low = '' THEN 1.0 WHEN h3 AND c < 0.7 THEN 0.97 ELSE c END AS confidence FROM g1)
 SELECT conv_id, turn, intent, round(CAST(confidence AS DOUBLE), 6) AS confidence, i2 AS second, round(CAST(c2 AS DOUBLE), 6) AS second_confidence FROM sp JOIN fin USING (text)""")
 def n_intent_score(spark, d):
-    rows = spoken(spark, d)
-    scored = nlu.intent_of(rows.select("text").distinct(), "text")
-    return rounded(rows.join(scored, "text").select("conv_id", "turn", "intent", "confidence", "second", "second_confidence"))
+    return rounded(nlu.intent_of(spoken(spark, d), "text").select("conv_id", "turn", "intent", "confidence", "second", "second_confidence"))
 
 
 HINTS = [("LOG", ["spent", "paid"]), ("PLAN", ["afford", "save", "budget"]), ("VIEW", ["show", "net worth", "overview"])]
@@ -279,7 +296,7 @@ ENTITY_CASE = " ".join(
 )
 
 
-@query("n_entities", rf"WITH {SPOKEN_SQL}, w AS (SELECT conv_id, turn, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ws FROM sp), e AS (SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS pos, ws[i] AS word, lower(ws[i + 1]) AS nx, regexp_replace(lower(ws[i]), '[.,/#!$%^&*;:{{}}=\-_`~()]', '', 'g') AS c FROM w, range(1, 40) r(i) WHERE i <= len(ws)), l AS (SELECT conv_id, turn, pos, word, CASE {ENTITY_CASE} END AS label FROM e) SELECT * FROM l WHERE label IS NOT NULL")
+@query("n_entities", rf"WITH {SPOKEN_SQL}, w AS (SELECT conv_id, turn, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ws FROM sp), e AS (SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS pos, ws[i] AS word, lower(ws[i + 1]) AS nx, regexp_replace(lower(ws[i]), '[.,/#!$%^&*;:{{}}=\-_`~()]', '', 'g') AS c FROM (SELECT conv_id, turn, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)), l AS (SELECT conv_id, turn, pos, word, CASE {ENTITY_CASE} END AS label FROM e) SELECT * FROM l WHERE label IS NOT NULL")
 def n_entities(spark, d):
     return nlu.entities(spoken(spark, d), "text", "conv_id", "turn")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import draw
 from ..operators import audit, metrics, quality
+from ..sources.io import small
 from .common import SPECS_SQL, draw_sql, minimum, specs, table, utterances
 
 QUERIES, ORACLES = {}, {}
@@ -255,10 +256,26 @@ def d_sample(spark, d):
     return audit.numbered(docs, "doc_id").join(F.broadcast(draws), "rn").select("draw", "doc_id")
 
 
-@query("d_export_meta", "SELECT lang, CAST(count(*) AS BIGINT) AS total, string_agg(doc_id, ',' ORDER BY doc_id) AS ids FROM documents WHERE doc_id < 200 GROUP BY lang".replace("WHERE doc_id < 200 ", ""))
+@query("d_export_meta", "SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS place, count(*) OVER (PARTITION BY lang) AS total FROM documents")
 def d_export_meta(spark, d):
-    rows = table(spark, d, "documents")
-    return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total"), F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("ids"))
+    """The rows of an export, each with its place and the envelope's total of its part."""
+    rows = audit.numbered(table(spark, d, "documents").select("lang", "doc_id"), "lang", "doc_id")
+    totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total"), F.min("rn").alias("first"))
+    totals = totals.withColumnRenamed("lang", "of")
+    return rows.join(small(totals), F.col("lang").eqNullSafe(F.col("of"))).select("lang", "doc_id", (F.col("rn") - F.col("first") + 1).alias("place"), "total")
+
+
+@query("d_run_meta", "SELECT '2.0.0' AS version, true AS has_time, count(*) AS total FROM documents")
+def d_run_meta(spark, d):
+    made = metrics.run_metadata(table(spark, d, "documents"), "2.0.0")
+    return made.select("version", F.col("generated_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$").alias("has_time"), "total")
+
+
+@query("r_provider", "SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 2 = 0 THEN 'KEEP' END AS suitability, CASE WHEN doc_id % 2 = 1 THEN 'unknown provider: nowhere' END AS error FROM documents")
+def r_provider(spark, d):
+    ids = table(spark, d, "documents").select(F.col("doc_id").alias("id"))
+    judged = audit.judge_with(ids.where("id % 2 = 0"), "offline").unionByName(audit.judge_with(ids.where("id % 2 = 1"), "nowhere"))
+    return judged.select("id", "suitability", "error")
 
 
 @query("u_union", "SELECT n_name AS name, 'nation' AS kind FROM nation UNION ALL SELECT r_name, 'region' FROM region")
@@ -305,3 +322,50 @@ def s_jsonl_roundtrip(spark, d):
     return io.read_jsonl_strict(spark, path, rows.schema)
 
 
+
+
+@query("s_document_unwrap", "SELECT n_nationkey, n_name FROM nation")
+def s_document_unwrap(spark, d):
+    """A JSON document written with its records under `samples`, and read back by unwrapping it."""
+    from ..sources import io
+
+    rows = table(spark, d, "nation").select("n_nationkey", "n_name")
+    path = io.scratch(spark, "document")
+    io.write_document(rows.agg(F.collect_list(F.struct("*")).alias("samples")), path)
+    return io.read_document(spark, path).select(F.col("n_nationkey").cast(rows.schema["n_nationkey"].dataType).alias("n_nationkey"), "n_name")
+
+
+@query("s_append", "SELECT r_regionkey, r_name FROM region UNION ALL SELECT r_regionkey, r_name FROM region WHERE r_regionkey > 2")
+def s_append(spark, d):
+    from ..sources import io
+
+    rows = table(spark, d, "region").select("r_regionkey", "r_name")
+    path = io.scratch(spark, "append")
+    io.write_jsonl(rows, path)
+    io.write_jsonl(rows.where("r_regionkey > 2"), path, mode="append")
+    return io.read_jsonl_strict(spark, path, rows.schema)
+
+
+@query("s_routes", "SELECT r_regionkey, r_name, CASE WHEN r_regionkey > 2 THEN 'manual' ELSE 'clean' END AS route FROM region")
+def s_routes(spark, d):
+    """One folder per route, read back by its name."""
+    from ..sources import io
+
+    rows = table(spark, d, "region").select("r_regionkey", "r_name").withColumn("route", F.when(F.col("r_regionkey") > 2, "manual").otherwise("clean"))
+    path = f"{io.scratch(spark, 'routes')}/{io.result_names('regions.jsonl')['clean.jsonl']}"
+    io.write_routes(rows, path)
+    back = [io.read_jsonl_strict(spark, f"{path}/route={x}", rows.drop("route").schema).withColumn("route", F.lit(x)) for x in ("clean", "manual")]
+    return back[0].unionByName(back[1])
+
+
+@query("s_optional_merge", "SELECT r_name AS name FROM region UNION SELECT n_name FROM nation")
+def s_optional_merge(spark, d):
+    """Rows joined by those of a file that is there, with a bad line in it, and of one that isn't."""
+    from ..sources import io
+
+    rows = table(spark, d, "region").select(F.col("r_name").alias("name"))
+    path = io.scratch(spark, "optional")
+    lines = table(spark, d, "nation").select(F.to_json(F.struct(F.col("n_name").alias("name"))).alias("value"))
+    lines.unionByName(spark.createDataFrame([("{broken",)], "value string")).write.text(path)
+    more = io.read_optional(spark, path, rows.schema).unionByName(io.read_optional(spark, f"{path}-missing", rows.schema))
+    return rows.unionByName(more).distinct()

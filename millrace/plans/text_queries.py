@@ -49,17 +49,41 @@ text_query("f_capitalise", lambda c: F.md5(T.capitalise(c)), "md5(upper(substr(t
 text_query("f_collapse_ws", lambda c: F.md5(T.collapse_space(c)), r"md5(trim(regexp_replace(text, '\s+', ' ', 'g')))", "documents", "doc_id")
 text_query("f_grammar", lambda c: F.md5(T.grammar_slips(c)), r"md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?i)\b(a|an|the)\b\s', '', 'g'), '\bis\b', 'are', 'g'), '\bdoes\b', 'do', 'g'), '\s+', ' ', 'g')))")
 text_query("f_slang", lambda c: F.md5(T.replace_word(T.replace_word(c, "the", "da"), "with", "wid")), r"md5(regexp_replace(regexp_replace(text, '(?i)\bthe\b', 'da', 'g'), '(?i)\bwith\b', 'wid', 'g'))")
-text_query("f_overlap_count", lambda c: T.overlapping_count(F.lower(c), F.lit("thth")), "CAST((SELECT count(*) FROM unnest(range(1, length(text) + 1)) AS r(i) WHERE substr(lower(text), i, 4) = 'thth') AS BIGINT)")
+text_query("f_overlap_count", lambda c: T.overlapping_count(F.lower(c), F.lit("thth")), "CAST(len(list_filter(range(1, length(text) + 1), lambda i: substr(lower(text), i, 4) = 'thth')) AS BIGINT)")
 text_query("f_amount_clean", lambda c: T.amount_digits(c), "coalesce(nullif(regexp_replace(text, '[^0-9.]', '', 'g'), ''), text)", "conversations", "conv_id, turn")
-text_query("f_csv_escape", lambda c: F.md5(T.csv_field(F.concat(F.lit('say "'), F.substring(c, 1, 20), F.lit('"')))), """md5('"' || replace('say "' || substr(text, 1, 20) || '"', '"', '""') || '"')""")
+text_query("f_csv_escape", lambda c: F.md5(T.csv_field(c)), """md5(CASE WHEN regexp_matches(text, '[,\n"]') THEN '"' || replace(text, '"', '""') || '"' ELSE text END)""")
 text_query("f_fence_json", lambda c: F.get_json_object(T.without_fences(F.concat(F.lit('```json\n{"n": '), F.length(c).cast("string"), F.lit("}\n```"))), "$.n").cast("bigint"), "CAST(length(text) AS BIGINT)")
-text_query("f_typo", lambda c: T.typo(F.element_at(F.split(F.lower(c), r"\s+"), 1), {"a": "s", "e": "r", "i": "o", "o": "p", "t": "y", "n": "m"}, F.element_at(F.split(F.lower(c), r"\s+"), 1)), (
-    "(SELECT CASE WHEN length(w) > 3 THEN CASE WHEN " + draw_sql("w", "'kind'") + " < 0.5 AND near IS NOT NULL THEN substr(w, 1, s - 1) || near || substr(w, s + 1) ELSE substr(w, 1, s - 1) || substr(w, s + 1, 1) || substr(w, s, 1) || substr(w, s + 2) END ELSE w END FROM "
-    "(SELECT w, s, CASE substr(w, s, 1) WHEN 'a' THEN 's' WHEN 'e' THEN 'r' WHEN 'i' THEN 'o' WHEN 'o' THEN 'p' WHEN 't' THEN 'y' WHEN 'n' THEN 'm' END AS near FROM "
-    r"(SELECT w, 2 + CAST(floor(" + draw_sql("w", "'spot'") + r" * greatest(length(w) - 2, 1)) AS INTEGER) AS s FROM (SELECT string_split_regex(lower(text), '\s+')[1] AS w))))"
+NEAR_KEYS = {"a": "s", "e": "r", "i": "o", "o": "p", "t": "y", "n": "m"}
+
+
+def slip_sql(word: str, name: str, *key: str) -> str:
+    near = f"CASE lower(substr({word}, {name}, 1)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NEAR_KEYS.items()) + " END"
+    spot = f"2 + CAST(floor({draw_sql(*key, chr(39) + 'spot' + chr(39))} * greatest(length({word}) - 2, 1)) AS INTEGER)"
+    edit = f"CASE WHEN {draw_sql(*key, chr(39) + 'kind' + chr(39))} < 0.5 AND {near} IS NOT NULL THEN substr({word}, 1, {name} - 1) || {near} || substr({word}, {name} + 1) ELSE substr({word}, 1, {name} - 1) || substr({word}, {name} + 1, 1) || substr({word}, {name}, 1) || substr({word}, {name} + 2) END"
+    return f"list_transform([{spot}], lambda {name}: {edit})[1]"
+
+
+text_query("f_typo", lambda c: F.md5(F.array_join(F.transform(F.split(c, r"\s+"), lambda w: T.typo(w, NEAR_KEYS, w)), " ")), (
+    r"md5(array_to_string(list_transform(string_split_regex(text, '\s+'), lambda w: CASE WHEN length(w) > 3 THEN list_transform([" + slip_sql("w", "s", "w") + "], lambda o: CASE WHEN " + draw_sql("w", "'edits'") + " < 0.2 THEN " + slip_sql("o", "z", "w", "'again'") + " ELSE o END)[1] ELSE w END), ' '))"
 ))
 
 
+def thousands_sql(x: str, indian: bool) -> str:
+    plain = rf"regexp_replace(CAST(CAST(round({x}, 3) AS DECIMAL(38, 3)) AS VARCHAR), '\.?0+$', '')"
+    whole = f"split_part({plain}, '.', 1)"
+    rest = f"CASE WHEN contains({plain}, '.') THEN '.' || split_part({plain}, '.', 2) ELSE '' END"
+    groups = lambda text, n: rf"ltrim(reverse(regexp_replace(reverse({text}), '(\d{{{n}}})', '\1,', 'g')), ',')"
+    if not indian:
+        return f"{groups(whole, 3)} || {rest}"
+    return f"CASE WHEN length({whole}) > 3 THEN {groups(f'left({whole}, -3)', 2)} || ',' || right({whole}, 3) ELSE {whole} END || {rest}"
+
+
+@query("f_thousands", f"SELECT o_orderkey, {thousands_sql('o_totalprice', False)} AS plain, {thousands_sql('o_totalprice * 100', True)} AS indian FROM orders")
+def f_thousands(spark, d):
+    price = F.col("o_totalprice")
+    return table(spark, d, "orders").select("o_orderkey", T.grouped_digits(price).alias("plain"), T.grouped_digits(price * 100, indian=True).alias("indian"))
+
+
 @query("f_placeholders", "SELECT p_partkey, 'p_brand,p_type' AS names FROM part")
 def f_placeholders(spark, d):
     template = F.concat(F.lit("a {P_Brand} of {P_TYPE} for "), F.col("p_name"))
@@ -67,14 +91,16 @@ def f_placeholders(spark, d):
 
 
 @query("f_array_ops", """
-SELECT conv_id, CAST(count(*) AS BIGINT) AS n, string_agg(role, ',' ORDER BY turn) AS roles, bool_or(role = 'system') AS has_system,
-       CAST(sum(length(text)) AS BIGINT) AS chars, CAST(min(CASE WHEN role = 'assistant' THEN turn END) AS BIGINT) AS first_answer
-FROM conversations GROUP BY conv_id""")
+SELECT conv_id, turn, CAST(len(w) AS BIGINT) AS n, list_contains(w, 'the') AS has_the, array_to_string(w[2:4], '-') AS part, CAST(len(list_filter(w, lambda x: length(x) < 4)) AS BIGINT) AS short,
+       md5(array_to_string(list_transform(w, lambda x: upper(x)), ' ')) AS upper_case, CAST(len(flatten(list_transform(w, lambda x: [x, x]))) AS BIGINT) AS doubled, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS chars
+FROM (SELECT conv_id, turn, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda x: x <> '') AS w FROM conversations WHERE text IS NOT NULL)""")
 def f_array_ops(spark, d):
-    packed = turns(spark, d).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n")))).alias("t"))
-    roles = F.transform("t", lambda x: x["role"])
-    answers = F.filter("t", lambda x: x["role"] == "assistant")
-    return packed.select("conv_id", F.size("t").cast("bigint").alias("n"), F.array_join(roles, ",").alias("roles"), F.array_contains(roles, "system").alias("has_system"), F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("chars"), F.get(answers, 0)["turn"].alias("first_answer"))
+    w = F.col("w")
+    rows = turns(spark, d).where("text is not null").select("conv_id", "turn", T.non_empty(F.split(F.lower("text"), "[^a-z]+")).alias("w"))
+    return rows.select(
+        "conv_id", "turn", F.size(w).cast("bigint").alias("n"), F.array_contains(w, "the").alias("has_the"), F.array_join(F.slice(w, 2, 3), "-").alias("part"), F.size(F.filter(w, lambda x: F.length(x) < 4)).cast("bigint").alias("short"),
+        F.md5(F.array_join(F.transform(w, lambda x: F.upper(x)), " ")).alias("upper_case"), F.size(F.flatten(F.transform(w, lambda x: F.array(x, x)))).cast("bigint").alias("doubled"), F.aggregate(w, F.lit(0).cast("bigint"), lambda a, x: a + F.length(x)).alias("chars"),
+    )
 
 
 def mulberry_sql(seed: str) -> str:

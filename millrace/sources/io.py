@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import json
+import logging
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -14,11 +16,19 @@ CORRUPT = "_corrupt"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, or below a folder of this machine where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="millrace-")
+    """A new path below spark.checkpoint.dir; where that is unset and Spark runs in one process (tests), below a folder of this machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    base = base or "file://" + tempfile.mkdtemp(prefix="millrace-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def small(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """A table for the small side of a join: broadcast if it has at most `most` rows, else left to a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def read_jsonl_strict(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Every line a record; a bad line fails the read, blank lines don't count."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -65,13 +75,32 @@ def write_routes(rows: DataFrame, path: str, route: str = "route") -> None:
     rows.write.mode("overwrite").partitionBy(route).json(path)
 
 
+def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """JSON lines that need not be there: without the file no rows; what can't be parsed is logged and left out."""
+    try:
+        good, bad = read_jsonl_logged(spark, path, schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    if n := bad.count():
+        logging.getLogger(__name__).warning("%s: %d lines left out", path, n)
+    return good
+
+
 def write_document(row: DataFrame, path: str) -> None:
-    """A table of one row as a pretty-printed JSON document, for reports; written by the driver."""
-    found = row.limit(2).toJSON().collect()
-    if len(found) != 1:
-        raise ValueError(f"a document is one row, not {len(found)}")
-    with open(path, "w") as f:
-        json.dump(json.loads(found[0]), f, indent=2, ensure_ascii=False)
+    """A table of one row as one pretty-printed JSON file, for reports, wherever Spark can write."""
+    found = row.limit(2).count()
+    if found != 1:
+        raise ValueError(f"a document is one row, not {found}")
+    spark, beside = row.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    row.coalesce(1).select(F.to_json(F.struct("*"), {"pretty": "true"})).write.text(beside)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    written = next(x.getPath() for x in store.listStatus(hadoop(beside)) if x.getPath().getName().startswith("part-"))
+    store.delete(hadoop(path), True)
+    store.rename(written, hadoop(path))
+    store.delete(hadoop(beside), True)
 
 
 def result_names(source: str) -> dict[str, str]:

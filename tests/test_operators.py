@@ -1,9 +1,15 @@
 """Edges that the data of the catalogue's queries doesn't reach."""
 
 import json
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions import text as T
 from millrace.operators import audit, calibrate, generate, metrics, nlu, quality, sequence
@@ -26,6 +32,16 @@ def test_tokenisers_differ_where_they_should(spark):
 
 def test_functions_at_edges(spark):
     assert column(spark, ["aaaa", "", None], lambda c: T.overlapping_count(c, F.lit("aa"))) == [3, 0, None]
+    for key in ("aa", "aba", "abc", "a.b", "\\E"):
+        texts = ["aaaa", "ababa", "abcabc", "a.b.a.b", "x\\E\\E", "", None]
+        want = [None if t is None else sum(t.startswith(key, i) for i in range(len(t))) for t in texts]
+        assert column(spark, texts, lambda c: T.overlapping_count(c, F.lit(key))) == want == column(spark, texts, lambda c: T.literal_count(c, key))
+    numbers = [0.0, 7.5, 999.0, 1000.0, 123456.78, 1234567.0, -9876543.21, None]
+    assert column(spark, [None if x is None else str(x) for x in numbers], lambda c: T.grouped_digits(c.cast("double"))) == ["0", "7.5", "999", "1,000", "123,456.78", "1,234,567", "-9,876,543.21", None]
+    assert column(spark, [None if x is None else str(x) for x in numbers], lambda c: T.grouped_digits(c.cast("double"), indian=True)) == ["0", "7.5", "999", "1,000", "1,23,456.78", "12,34,567", "-98,76,543.21", None]
+    words = [f"word{k}" for k in range(400)] + ["abc", ""]
+    slipped = column(spark, words, lambda c: T.typo(c, {"o": "p"}, c))
+    assert slipped[-2:] == ["abc", ""] and all(a[:1] == b[:1] and len(a) == len(b) and sum(x != y for x, y in zip(a, b)) <= 4 for a, b in zip(words, slipped))
     assert column(spark, ["$1,200.5", "none"], T.amount_digits) == ["1200.5", "none"]
     assert column(spark, ['a "b"', "plain", "x\ny"], T.csv_field) == ['"a ""b"""', "plain", '"x\ny"']
     assert column(spark, ["THE cat là the"], lambda c: T.replace_word(c, "the", "d$")) == ["d$ cat là d$"]
@@ -205,3 +221,31 @@ def test_stream_takes_up_where_it_stopped(spark, tmp_path):
 def test_windowed_counts(spark, data):
     events = spark.read.parquet(f"{data}/events.parquet")
     assert resume.event_counts(events).agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_providers_by_name(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "id long")
+    assert {(r.id, r.suitability, r.error) for r in audit.judge_with(rows, "offline").collect()} == {("1", "KEEP", None), ("2", "KEEP", None)}
+    assert {r.error for r in audit.judge_with(rows, "nowhere").collect()} == {"unknown provider: nowhere"}
+
+
+def test_optional_file(spark, tmp_path):
+    schema = StructType().add("name", "string")
+    assert io.read_optional(spark, str(tmp_path / "none.jsonl"), schema).count() == 0
+    (tmp_path / "some.jsonl").write_text('{"name": "a"}\n{broken\n')
+    assert [r.name for r in io.read_optional(spark, str(tmp_path / "some.jsonl"), schema).collect()] == ["a"]
+
+
+def test_library_without_the_training_data_operators(tmp_path):
+    """In a copy without them the entry still has all other queries."""
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "millrace", tmp_path / "millrace", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(*e.queries()); assert set(e.oracle_sql()) == set(e.queries())"
+    for with_pipeline in (True, False):
+        for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+            if (root / name).exists() and (with_pipeline or name == "__spark_entry__.py"):
+                shutil.copy(root / name, tmp_path / name)
+            else:
+                (tmp_path / name).unlink(missing_ok=True)
+        names = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": str(tmp_path)}, check=True).stdout.split()
+        assert len(names) > 90 and not {n for n in names if n.startswith("op") or n == "pipeline"}
