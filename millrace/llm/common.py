@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+TEXT_ROWS = 1000
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -66,6 +67,16 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def text_batches(spark: SparkSession) -> None:
+    """At most TEXT_ROWS rows in an Arrow batch from now on: whole texts are large, and tasks hold a batch several times.
+
+    It is a setting of the session, since results are computed after the operator has returned; a smaller one stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXT_ROWS:
+        spark.conf.set(name, TEXT_ROWS)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII texts take the fast built-in, the rest a translation table."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

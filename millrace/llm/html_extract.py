@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, text_batches
 
 #: Elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -314,6 +314,7 @@ def extract(html: str | None, share: float = 0.9, spread: float = 0.1) -> str:
 
 def extract_pages(pages: DataFrame, html_col: str = "html", id_cols: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """(id columns, text, n_chars), one row per page."""
+    text_batches(pages.sparkSession)
     slim = pages.select(*id_cols, F.col(html_col).alias("__html"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*id_cols).schema)
 

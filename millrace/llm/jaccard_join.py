@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import located, near, remove, shared_path, table, written
+from .common import located, near, remove, shared_path, table, text_batches, written
 from .components import components
 
 BASE, INVERSE = 0x2545F4914F6CDD1D, pow(0x2545F4914F6CDD1D, -1, 1 << 64)
@@ -138,6 +138,7 @@ def shingle_rows(docs: DataFrame, keep: tuple[str, ...], text_col: str, n: int,
     the others are there for larger sets, whose share is smaller than that of their smallest partners.
     """
     limit = lambda m: np.uint64(min((1 << 64) - 1, int(share_of(m, percent) * (1 << 64))))
+    text_batches(docs.sparkSession)
     slim = docs.select(*keep, F.col(text_col).alias("__text"))
     more = "sketch array<long>" if whole else "own int"
 
@@ -213,7 +214,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> Da
     side = lambda x, *columns: sets.select(F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns))
     light = pairs.join(side("a", "n_shingles", "sketch"), "a").join(side("b", "n_shingles", "sketch"), "b")
     light = written(light.where(sketches_allow(percent, *map(F.col, ("n_shingles_a", "n_shingles_b", "sketch_a", "sketch_b")))).select("a", "b"), f"candidates-{uuid.uuid4().hex}", folder)
-    both = light.join(side("a", "elements"), "a").join(side("b", "elements"), "b")
+    # Only sets that candidates name are shuffled, and those of one side not even that while candidates are few.
+    left = side("a", "elements").join(near(light, SMALL_ROWS), "a")
+    right = side("b", "elements").join(near(light.select("b").distinct(), SMALL_ROWS), "b", "left_semi")
+    both = left.join(right, "b")
     common = F.size(F.array_intersect("elements_a", "elements_b"))
     return both.where(common * 100 >= percent * (F.size("elements_a") + F.size("elements_b") - common)).select("a", "b")
 

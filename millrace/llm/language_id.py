@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, text_batches
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -266,6 +266,7 @@ def loaded(state: bytes) -> Identifier:
 def identify(docs: DataFrame, identifier: Identifier, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The `keep` columns with lang_pred, score, entropy (nats per character) and rejected."""
     state = pickle.dumps(identifier)
+    text_batches(docs.sparkSession)
 
     @F.pandas_udf("lang_pred string, score double, entropy double, rejected boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

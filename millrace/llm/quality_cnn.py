@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, text_batches
 
 WIDTH, FILTERS, HIDDEN, HALF, REACH = 5, 12, 16, 128, 24
 BLOCK = 1 << 13
@@ -217,6 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column],
 
 def score(docs: DataFrame, parameters: dict[str, np.ndarray] | None, text_col: str = "text", out: str = "score") -> DataFrame:
     """`docs` with the score in the column `out`, in place of a column of that name."""
+    text_batches(docs.sparkSession)
     others = [c for c in docs.columns if c != out]
     return docs.select(*others, score_udf(parameters)(F.coalesce(F.col(text_col), F.lit(""))).alias(out))
 
@@ -236,6 +237,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     docs = table(spark, sf_dir, "documents")
     parameters = train(docs, table(spark, sf_dir, "labels"), lambda c: ~held_out(c))
     scored = docs.select("doc_id", score_udf(parameters)(F.coalesce("text", F.lit(""))).alias("score"))

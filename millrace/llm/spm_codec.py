@@ -29,10 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructType
 
-from .common import table
+from .common import table, text_batches
 
 SPACE = "▁"
 BATCH_CHARS, BATCH_ROWS = 1 << 20, 1000
+LEARN_WORDS = 20_000  # words that are indexed together
 MAX_CACHED_WORDS, MAX_CACHED_CHARS = 100_000, 1 << 21
 UNKNOWN = -1
 MARKS = ".,;:!?"
@@ -304,8 +305,8 @@ class Encoder:
         if len(self.index) > MAX_CACHED_WORDS or self.chars > MAX_CACHED_CHARS:
             self.clear()
         new = list(words.difference(self.index))
-        if new:
-            self.learn(new)
+        for low in range(0, len(new), LEARN_WORDS):
+            self.learn(new[low : low + LEARN_WORDS])
         # A run of spaces before a word is a unit of its own; so is one at the end.
         units: list[int] = []
         per_text = np.zeros(len(texts), np.int64)
@@ -379,6 +380,7 @@ def encode_texts(docs: DataFrame, model_file: str | None = None, text_col: str =
     """The `keep` columns with (ids, n_tokens, round_trip): every whole text encoded, decoded again and compared."""
     with open(model_file or default_model(), "rb") as f:
         model = f.read()
+    text_batches(docs.sparkSession)
     slim = docs.select(*keep, F.col(text_col).alias("__text"))
     schema = StructType(list(slim.select(*keep).schema)).add("ids", ArrayType(IntegerType())).add("n_tokens", IntegerType()).add("round_trip", BooleanType())
 

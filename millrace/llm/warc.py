@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path, table, written
+from .common import shared_path, table, text_batches, written
 
 INDEX_SCHEMA = "file string, offset bigint, length bigint, url string, digest string, payload_bytes bigint, record_type string, page_id bigint, refers_to bigint"
 READ_SCHEMA = "page_id bigint, url string, record_type string, refers_to bigint, header_digest string, payload_digest string, payload_bytes bigint, payload binary"
@@ -75,6 +75,7 @@ def typed_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 def write_archives(records: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", level: int = 4) -> DataFrame:
     """Write the archives and the index below `folder`; returns the index."""
     spark = records.sparkSession
+    text_batches(spark)
     columns = ("page_id", "url", "payload", "digest", "payload_bytes", "record_type", "refers_to")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
