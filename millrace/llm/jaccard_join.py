@@ -11,7 +11,8 @@
 4. Heavy sets: the inverted lists of their first elements, as many as a link can't miss, are scanned. The order is
    rarest first by counts of a fixed number of hash buckets, so elements that many sets have come last. First each set
    is checked against its list's hub; then pairs of one list that are still in different components and whose sizes,
-   positions and parity sketches allow a link. A pair in one component needs no check.
+   positions and parity sketches allow a link, each component's closest pair first. A pair in one component needs no
+   check.
 The boundary is the size up to which the subsets of a set are fewer than the elements that its scan would cost. Pairs
 are dropped only by bounds that no link can break: sizes, positions in the common order, and the bits in which two
 parity sketches differ, which are at most the elements in which the sets differ. Those left are verified by whole sets.
@@ -41,6 +42,7 @@ from .common import located, near, remove, shared_path, table, text_batches, wri
 from .components import components
 
 BASE, INVERSE = 0x2545F4914F6CDD1D, pow(0x2545F4914F6CDD1D, -1, 1 << 64)
+CLOSEST_ROUNDS = 3
 PIECE = 1 << 18  # bytes hashed at a time
 SMALL_ROWS = 250_000  # rows of identifiers or places that may be broadcast
 BUCKETS_LEAST, BUCKETS_MOST, IN_BUCKET, PACKED = 1 << 12, 1 << 17, 64, 256  # of the table that orders elements: its size follows theirs up to half a megabyte
@@ -203,10 +205,13 @@ def light_links(sets: DataFrame, limit: int, percent: int, folder: str) -> DataF
     return rows.join(hubs, ["key", "size"]).where(certain & (F.col("id") != F.col("hub.id"))).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
+def bits_apart(sa: Column, sb: Column) -> Column:
+    return sum((F.bit_count(F.get(sa, k).bitwiseXOR(F.get(sb, k))) for k in range(8)), F.lit(0))
+
+
 def sketches_allow(percent: int, na: Column, nb: Column, sa: Column, sb: Column) -> Column:
     """Whether the bits in which two sketches differ are no more than the elements in which linked sets can differ."""
-    differ = sum((F.bit_count(F.get(sa, k).bitwiseXOR(F.get(sb, k))) for k in range(8)), F.lit(0))
-    return differ * (100 + percent) <= (100 - percent) * (na + nb)
+    return bits_apart(sa, sb) * (100 + percent) <= (100 - percent) * (na + nb)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
@@ -291,8 +296,23 @@ def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: in
     x, y = rest.alias("x"), rest.alias("y")
     apart = (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
     other = x.join(y, apart & may_link(percent, "x", "y") & sketches_allow(percent, *map(F.col, ("x.n", "y.n", "x.sketch", "y.sketch"))))
-    more = written(other.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs-rest", folder)
-    return links.unionByName(verified(more, sets, percent, folder))
+    distance = bits_apart(F.col("x.sketch"), F.col("y.sketch")) / (F.col("x.n") + F.col("y.n"))
+    more = other.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb"), distance.alias("d"))
+    more = written(more.distinct(), "pairs-rest", folder)
+    # In a group of k texts that are all alike k * k pairs are left. Some rounds of verifying each component's closest
+    # pair alone join most of them; pairs that are in one component by then need no check.
+    for k in range(CLOSEST_ROUNDS):
+        if more.isEmpty():
+            return links
+        ends = more.select(F.explode(F.array("ca", "cb")).alias("c"), "d", "a", "b").groupBy("c").agg(F.min(F.struct("d", "a", "b")).alias("p"))
+        ends = written(ends.select("p.a", "p.b").distinct(), f"pairs-closest-{k}", folder)
+        links = written(links.unionByName(verified(ends, sets, percent, folder)), f"links-closest-{k}", folder)
+        found = components(links)
+        of = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))  # noqa: B023, E731
+        left = more.select("a", "b", "d").join(ends, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        left = left.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}).where("ca <> cb")
+        more = written(left.select("a", "b", "ca", "cb", "d"), f"pairs-left-{k}", folder)
+    return links.unionByName(verified(more.select("a", "b"), sets, percent, folder))
 
 
 def labelled(placed: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
