@@ -38,11 +38,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, folder: str | None = None, codec: str | None = None) -> DataFrame:
     """Cut the lineage with a table in the shared folder, or a folder below it; a lost executor costs only a reread."""
     spark = df.sparkSession
     path = f"{folder}/{name}" if folder else shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

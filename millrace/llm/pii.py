@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,126}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 IPV4 = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])"
 DAY_DATE = r"(?<![\w./-])\d{2}([./-])\d{2}\1\d{4}(?![\w/-])"

@@ -21,8 +21,10 @@ after normalisation are refused.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,7 +38,7 @@ from .spm_codec import BATCH_ROWS, slices
 
 LIMIT = 2048
 BROADCAST = 200_000  # pre-tokens that may be broadcast
-MAX_CACHED_WORDS, MAX_WORD = 100_000, 256  # of words cut, and of the characters of one that is kept
+MAX_CACHED_WORDS = 200_000  # beyond, the words that were cut are forgotten; a slice of texts adds those of a million characters
 PROBES = ("a b", "a \n\t b", "x1 \t'tis 2", ". . 's\r\n?", "1 2 ab\n.c")
 
 
@@ -58,8 +60,11 @@ class PreTokens:
             raise ValueError("added tokens that strip, match words or match normalised text aren't supported")
         strings = sorted((x["content"] for x in added), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, strings))) if strings else None
-        self.words: dict[str, list[str]] = {}
+        self.words: dict[str, tuple[str, ...]] = {}
         self.by_words = all(self.cut(p) == [x for w in p.split() for x in self.cut(w)] for p in PROBES)
+        # Words of ASCII letters stay whole, in lower case or as they are; asked of all pairs of letters, so that a rule for changes of case would show.
+        pairs = ["".join(p) for p in itertools.product(string.ascii_letters, repeat=2)]
+        self.letters = next((f for f in (str.lower, str) if self.by_words and self.cut(" ".join(pairs)) == [f(p) for p in pairs]), None)
 
     def cut(self, text: str) -> list[str]:
         """The pre-tokens of a text without added tokens."""
@@ -69,33 +74,47 @@ class PreTokens:
             return []
         return [x for x, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer else [text]
 
-    def word(self, word: str) -> list[str]:
-        found = self.words.get(word)
-        if found is None:
-            found = self.cut(word)
-            if len(word) <= MAX_WORD:
-                if len(self.words) >= MAX_CACHED_WORDS:
-                    self.words.clear()
-                self.words[word] = found
-        return found
-
-    def frequencies(self, text: str) -> tuple[int, Counter]:
-        """(number of added tokens, frequency of each pre-token)."""
-        parts = self.added.split(text) if self.added else [text]
-        found: Counter = Counter()
+    def learn(self, words: set[str]) -> None:
+        """Cut words that are new: those of letters by themselves, the others in one call, if they stay apart in it."""
+        rest = []
+        self.words[""] = ()
+        for w in words - {""}:
+            if self.letters and w.isascii() and w.isalpha():
+                self.words[w] = (self.letters(w),)
+            elif len(w.split()) != 1:  # white space of another kind inside
+                self.words[w] = tuple(self.cut(w))
+            else:
+                rest.append(w)
+        t = self.tokenizer
+        together = " ".join(rest)
+        whole = t.normalizer.normalize_str(together) if t.normalizer else together
+        ends = list(itertools.accumulate(len(x) + 1 for x in whole.split(" ")))
+        if len(ends) != len(rest) or not t.pre_tokenizer:  # normalising changed where words end
+            self.words.update((w, tuple(self.cut(w))) for w in rest)
+            return
+        parts: list[list[str]] = [[] for _ in rest]
+        k = 0
+        for x, (begin, _) in t.pre_tokenizer.pre_tokenize_str(whole):
+            while begin >= ends[k]:
+                k += 1
+            parts[k].append(x)
+        self.words.update(zip(rest, map(tuple, parts), strict=True))
+
+    def frequencies(self, texts: list[str]) -> Iterator[tuple[int, Counter]]:
+        """(number of added tokens, frequency of each pre-token) of every text."""
+        parts = [self.added.split(t) if self.added else [t] for t in texts]
         if not self.by_words:
-            for part in parts:
-                found.update(self.cut(part))
-            return len(parts) - 1, found
-        words: Counter = Counter()
-        for part in parts:
-            # ASCII white space is a separator to the library too; any other stays inside a word for it to judge.
-            words.update(part.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-        words.pop("", None)
-        for w, k in words.items():
-            for p in self.word(w):
-                found[p] += k
-        return len(parts) - 1, found
+            for ps in parts:
+                yield len(ps) - 1, Counter(x for p in ps for x in self.cut(p))
+            return
+        # ASCII white space is a separator to the library too; any other stays inside a word for it to judge.
+        words = [" ".join(ps).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for ps in parts]
+        if len(self.words) > MAX_CACHED_WORDS:
+            self.words.clear()
+        if new := set().union(*words).difference(self.words):
+            self.learn(new)
+        for ps, ws in zip(parts, words, strict=True):
+            yield len(ps) - 1, Counter(itertools.chain.from_iterable(map(self.words.__getitem__, ws)))
 
     def pieces(self, pre_token: str) -> int:
         return len(self.tokenizer.model.tokenize(pre_token))
@@ -120,8 +139,7 @@ def frequencies(docs: DataFrame, source: str, text_col: str = "text", keep: tupl
             texts = batch.column(len(names)).to_pylist()
             for a, b in slices(texts):
                 added, offsets, parts, counts = [], [0], [], []
-                for text in texts[a:b]:
-                    n, found = cutter.frequencies(text)
+                for n, found in cutter.frequencies(texts[a:b]):
                     added.append(n)
                     parts += found.keys()
                     counts += found.values()
@@ -164,9 +182,9 @@ def token_counts(docs: DataFrame, limit: int = LIMIT, tokenizer_file: str | None
     folder = shared_path(spark, "token-counts")
     slim = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     counted = frequencies(slim, source, "__text", ("__id",)).withColumn("key", F.monotonically_increasing_id())
-    rows = written(counted, "frequencies", folder)
+    rows = written(counted, "frequencies", folder, codec="zstd")
     distinct = rows.select(F.explode("parts.p").alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("docs"))
-    vocabulary = written(pieces(distinct, source), "vocabulary", folder)
+    vocabulary = written(pieces(distinct, source), "vocabulary", folder, codec="zstd")
 
     head, tail = vocabulary, None
     if vocabulary.count() > broadcast:
