@@ -6,12 +6,16 @@ feed.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: A word's edge by ASCII letters alone; the engine's own \\b also knows others.
 EDGE = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
-PUNCTUATION = r"[.,/#!$%^&*;:{}=\-_`~()]"
+MARKS = ".,/#!$%^&*;:{}=-_`~()"
+PUNCTUATION = "[" + MARKS.replace("-", r"\-") + "]"
 
 
 def non_empty(parts: Column) -> Column:
@@ -120,11 +124,12 @@ def pick(values: list[str], *parts: Column | str) -> Column:
 
 
 def slip(word: Column, neighbours: dict[str, str], *key: Column | str) -> Column:
-    """One slip at an inner character: half of the time a neighbour on the keyboard if there is one, else a swap with the next."""
+    """One slip at an inner character: half of the time one of its neighbours on the keyboard if it has any, else a swap with the next."""
     spot = (F.lit(2) + F.floor(draw(*key, "spot") * F.greatest(F.length(word) - 2, F.lit(1)))).cast("int")
     table = F.create_map(*(F.lit(x) for kv in neighbours.items() for x in kv))
     here, following = F.substring(word, spot, F.lit(1)), F.substring(word, spot + 1, F.lit(1))
-    near = F.try_element_at(table, F.lower(here))
+    beside = F.try_element_at(table, F.lower(here))
+    near = F.substring(beside, (F.floor(draw(*key, "near") * F.length(beside)) + 1).cast("int"), F.lit(1)) if max(map(len, neighbours.values()), default=1) > 1 else beside
     tail = F.length(word)
     return F.when((draw(*key, "kind") < 0.5) & near.isNotNull(), F.concat(F.substring(word, F.lit(1), spot - 1), near, F.substring(word, spot + 1, tail))).otherwise(F.concat(F.substring(word, F.lit(1), spot - 1), following, here, F.substring(word, spot + 2, tail)))
 
@@ -135,6 +140,33 @@ def typo(word: Column, neighbours: dict[str, str], *key: Column | str) -> Column
     return F.when(F.length(word) > 3, F.get(F.transform(F.array(slip(word, neighbours, *key)), again), 0)).otherwise(word)
 
 
+def slips(text: Column, neighbours: dict[str, str], *key: Column | str) -> Column:
+    """In 15 % of the texts of three words or more a typo in one word, in 10 % slips of grammar."""
+
+    def one(words: Column) -> Column:
+        at = F.floor(draw(*key, "word") * F.size(words))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i == at, typo(w, neighbours, *key)).otherwise(w)), " ")
+
+    words = F.split(text, " ")
+    typed = F.when((draw(*key, "typo") < 0.15) & (F.size(words) > 2), F.get(F.transform(F.array(words), one), 0)).otherwise(text)
+    return F.get(F.transform(F.array(typed), lambda t: F.when(draw(*key, "grammar") < 0.1, grammar_slips(t)).otherwise(t)), 0)
+
+
+def regional_slang(text: Column, region: Column, slang: dict[str, dict[str, str]], *key: Column | str) -> Column:
+    """Each word that the region has slang for is replaced, whatever its case, in half of the texts, by a draw for each word."""
+
+    def replaced(word: str) -> Callable[[Column], Column]:
+        table = F.create_map(*(F.lit(x) for r, words in slang.items() if word in words for x in (r, words[word])))
+        value = F.try_element_at(table, region)
+        literal = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+        pattern = F.lit(rf"(?i){EDGE}{re.escape(word)}{EDGE}")
+        return lambda t: F.when(value.isNotNull() & (draw(*key, word) < 0.5), F.regexp_replace(t, pattern, literal)).otherwise(t)
+
+    for word in dict.fromkeys(w for words in slang.values() for w in words):
+        text = F.get(F.transform(F.array(text), replaced(word)), 0)
+    return text
+
+
 def grouped_digits(number: Column, indian: bool = False) -> Column:
     """A number with commas between groups of three digits, or of two before the last three; up to three decimals."""
     plain = F.regexp_replace(F.round(number, 3).cast("decimal(38,3)").cast("string"), r"\.?0+$", "")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -100,6 +101,17 @@ def batches(numbered_rows: DataFrame, key: str, size: int = 50) -> DataFrame:
     return numbered_rows.groupBy(number.alias("batch")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
 
 
+def resumed_batches(numbered_rows: DataFrame, done: int, size: int = 50, start: int = 0, most: int = 0) -> DataFrame:
+    """The rows that a run takes up after `done` rows of earlier runs, with their `batch`.
+
+    The first `start` rows are never taken, `most` (0: all) are at most. Batches are cut anew from the first row taken, and
+    their numbers go on from those that the rows before fill.
+    """
+    skip = start + done
+    taken = numbered_rows.where((F.col("rn") > skip) & (F.col("rn") <= skip + most if most else F.lit(True)))
+    return taken.withColumn("batch", (F.floor((F.col("rn") - skip - 1) / size) + skip // size + 1).cast("bigint"))
+
+
 class Provider(Protocol):
     """Judges a batch of records; one verdict per record, in order."""
 
@@ -113,16 +125,31 @@ class OfflineProvider:
         return [{"id": r["id"], "suitability": "KEEP", "reason": ""} for r in records]
 
 
+class FailingProvider(OfflineProvider):
+    """A stand-in that fails for batches whose first identifier a number divides."""
+
+    def __init__(self, by: int) -> None:
+        self.by = by
+
+    def judge(self, records: list[dict]) -> list[dict]:
+        if int(records[0]["id"]) % self.by == 0:
+            raise ConnectionError(f"no answer for {records[0]['id']}")
+        return super().judge(records)
+
+
 #: Providers by name; callers may add their own.
 PROVIDERS: dict[str, Callable[[], Provider]] = {"offline": OfflineProvider}
+EXHAUSTED = "max retries exceeded"
+VERDICT = "id string, suitability string, reason string, error string"
 
 
 def judge_with(rows: DataFrame, name: str, size: int = 50) -> DataFrame:
     """(id, suitability, reason, error): the named provider's verdicts; of an unknown name an error for every row."""
+    ids = rows.withColumn("id", F.col("id").cast("string"))
     if name not in PROVIDERS:
         none = F.lit(None).cast("string")
-        return rows.select(F.col("id").cast("string").alias("id"), none.alias("suitability"), none.alias("reason"), F.lit(f"unknown provider: {name}").alias("error"))
-    return judge(rows.withColumn("id", F.col("id").cast("string")), PROVIDERS[name](), size).withColumn("error", F.lit(None).cast("string"))
+        return ids.select("id", none.alias("suitability"), none.alias("reason"), F.lit(f"unknown provider: {name}").alias("error"))
+    return judge(ids, PROVIDERS[name](), size)
 
 
 def with_retries(call: Callable[[], list[dict]], tries: int = 3, wait: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> list[dict]:
@@ -137,13 +164,59 @@ def with_retries(call: Callable[[], list[dict]], tries: int = 3, wait: float = 2
     return []
 
 
-def judge(rows: DataFrame, provider: Provider, size: int = 50) -> DataFrame:
-    """Verdicts (id, suitability, reason) of a provider that is called per `size` rows, inside the tasks."""
+def first_answer(calls: list[Callable[[], list[dict]]], wait: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> tuple[list[dict] | None, int]:
+    """(result of the first call in turn that succeeds or none, how many failed); waits between calls double."""
+    for k, call in enumerate(calls):
+        with contextlib.suppress(Exception):
+            return call(), k
+        if k < len(calls) - 1:
+            sleep(wait * 2**k)
+    return None, len(calls)
+
+
+def judge(rows: DataFrame, provider: Provider, size: int = 50, tries: int = 3, wait: float = 2.0) -> DataFrame:
+    """Verdicts (id, suitability, reason, error) of a provider that is called per `size` rows, inside the tasks.
+
+    Rows of a batch for which every try failed get an error instead of a verdict; the task goes on.
+    """
+
+    kind = pa.schema([(c, pa.string()) for c in ("id", "suitability", "reason", "error")])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for low in range(0, part.num_rows, size):
+                records = part.slice(low, size).to_pylist()
+                found, _ = first_answer([lambda r=records: provider.judge(r)] * tries, wait)
+                yield pa.RecordBatch.from_pylist(found if found is not None else [{"id": r["id"], "error": EXHAUSTED} for r in records], schema=kind)
+
+    return rows.mapInArrow(run, VERDICT)
+
+
+def judge_rotating(batched: DataFrame, models: dict[str, Provider], tries: int = 3, wait: float = 2.0) -> DataFrame:
+    """(batch, tried, model, id, suitability, reason, error) of rows (batch, id, ...): calls go round the models.
+
+    Batch number b begins with model b - 1 in turn and each retry goes to the next one, so a batch's calls don't depend on
+    where it runs or whether it runs again. `tried` lists the models that failed for the batch, `model` is the one that
+    judged it; after the last try its rows get an error. A batch is small by construction and is judged as one.
+    """
+    names = list(models)
+
+    kind = pa.schema([("batch", pa.int64()), ("tried", pa.list_(pa.string())), *((c, pa.string()) for c in ("model", "id", "suitability", "reason", "error"))])
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        records, number = sorted(rows.to_pylist(), key=lambda r: r["id"]), key[0].as_py()
+        turn = [names[(number - 1 + k) % len(names)] for k in range(tries)]
+        found, failed = first_answer([lambda m=m: models[m].judge(records) for m in turn], wait)
+        verdicts = found if found is not None else [{"id": r["id"], "error": EXHAUSTED} for r in records]
+        common = {"batch": number, "tried": turn[:failed], "model": None if found is None else turn[failed]}
+        return pa.Table.from_pylist([{**v, **common, "id": str(v["id"])} for v in verdicts], schema=kind)
+
+    return batched.groupBy("batch").applyInArrow(run, f"batch bigint, tried array<string>, model string, {VERDICT}")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for low in range(0, len(frame), size):
-                records = frame.iloc[low : low + size].to_dict("records")
-                yield pd.DataFrame(with_retries(lambda r=records: provider.judge(r)), columns=["id", "suitability", "reason"])
 
-    return rows.mapInPandas(run, "id string, suitability string, reason string")
+def model_shares(judged: DataFrame) -> DataFrame:
+    """(model, n_judged, n_failed): rows that a model judged and batches that it failed for; null is what no model judged."""
+    done = judged.groupBy("model").agg(F.count(F.lit(1)).alias("n_judged"))
+    failed = judged.select("batch", "tried").distinct().select(F.explode("tried").alias("of")).groupBy("of").agg(F.count(F.lit(1)).alias("n_failed"))
+    both = done.join(failed, F.col("model") == F.col("of"), "full_outer")
+    return both.select(F.coalesce("model", "of").alias("model"), F.coalesce("n_judged", F.lit(0)).alias("n_judged"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"))

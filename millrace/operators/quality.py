@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..sources.io import small
+from ..sources.io import replace_folder, small
 
 MOST_LISTED = 5
 
@@ -78,6 +80,31 @@ def require_clean(violations: DataFrame) -> None:
         raise ValueError("the gate found: " + "; ".join(first))
 
 
+def publish(rows: DataFrame, specs: DataFrame, combos: DataFrame, minimum: DataFrame, path: str) -> dict[str, int]:
+    """Write the rows and put them in place of the table at `path` if the gate finds nothing; the number of findings by check.
+
+    One pass writes the rows beside `path` and counts, as it goes, rows with unknown labels or label pairs and the
+    declared labels met. What needs groups (conflicts, diversity) is looked for in what was written, and only if those
+    are clean. After a finding the written rows go and the old table stays.
+    """
+    spark = rows.sparkSession
+    known = small(specs.select("intent").distinct().withColumn("__known", F.lit(True)))
+    legal = small(combos.select("intent", "action").distinct().withColumn("__legal", F.lit(True)))
+    marked = rows.join(known, "intent", "left").join(legal, ["intent", "action"], "left")
+    seen = Observation()
+    met = F.collect_set(F.when(F.col("__known"), F.col("intent")))  # no more values than specs have
+    watched = marked.observe(seen, F.count_if(F.col("__known").isNull()).alias("unknown"), F.count_if(F.col("__legal").isNull()).alias("combination"), F.size(met).alias("met"))
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    watched.select(*rows.columns).write.parquet(beside)
+    counts = seen.get
+    found = {"unknown": counts["unknown"], "combination": counts["combination"], "coverage": specs.select("intent").distinct().count() - counts["met"], "conflict": 0, "diversity": 0}
+    if not any(found.values()):
+        written = spark.read.schema(rows.schema).parquet(beside)
+        found |= {"conflict": conflicts(written).count(), "diversity": diversity(written, minimum).count()}
+    replace_folder(spark, beside, None if any(found.values()) else path)
+    return found
+
+
 def authoring_faults(specs: DataFrame) -> DataFrame:
     """(intent, action, fault): supported actions without patterns, and patterns of actions that are not supported."""
     supported = valid_combos(specs)

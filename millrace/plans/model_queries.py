@@ -294,13 +294,35 @@ ENTITY_CASE = " ".join(
     "WHEN " + " OR ".join([f"c IN ({', '.join(repr(w) for w in ws)})"] + ([f"(length(c) > 3 AND ({' OR '.join(f'contains({w!r}, c)' for w in ws)}))"] if n == "category" else []) + [f"(c = '{a}' AND nx = '{b}')" for a, b, to in nlu.PHRASES if to == n]) + f" THEN '{n}'"
     for n, ws in nlu.ENTITY_WORDS
 )
+SPAN_SQL = (
+    rf"{SPOKEN_SQL}, w AS (SELECT conv_id, turn, lower(trim(text)) AS low, string_split_regex(lower(text), '\s+') AS lw, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ws FROM sp), am AS (SELECT conv_id, turn, lw, CASE "
+    + " ".join(f"WHEN regexp_matches(low, '{p}') THEN {{'m': regexp_extract(low, '{p}', 0), 'k': regexp_extract(low, '{p}', 1), 'more': {n}}}" for p, n in nlu.AMOUNT_SPANS)
+    + " END AS a FROM w), ap AS (SELECT *, greatest(coalesce(list_position(list_transform(lw, lambda x: contains(x, a.k) OR contains(x, replace(a.k, ',', ''))), true), 0) - 1, 0) AS f FROM am WHERE a IS NOT NULL), "
+    + "amounts AS (SELECT conv_id, turn, CAST(f AS INTEGER) AS first, CAST(f + a.more AS INTEGER) AS last, a.m AS text, 'amount' AS label FROM ap)"
+)
+CLEAN_SQL = r"regexp_replace(lower(ws[i]), '[.,/#!$%^&*;:{}=\-_`~()]', '', 'g')"
 
 
-@query("n_entities", rf"WITH {SPOKEN_SQL}, w AS (SELECT conv_id, turn, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ws FROM sp), e AS (SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS pos, ws[i] AS word, lower(ws[i + 1]) AS nx, regexp_replace(lower(ws[i]), '[.,/#!$%^&*;:{{}}=\-_`~()]', '', 'g') AS c FROM (SELECT conv_id, turn, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)), l AS (SELECT conv_id, turn, pos, word, CASE {ENTITY_CASE} END AS label FROM e) SELECT * FROM l WHERE label IS NOT NULL")
+@query("n_entities", f"""WITH {SPAN_SQL}, it AS (SELECT unnest({list(nlu.ITEM_NAMES)}) AS item), ip AS (SELECT conv_id, turn, item, list_position(list_transform(lw, lambda x: contains(x, item)), true) AS p FROM w JOIN it ON contains(low, item)),
+spans AS (SELECT * FROM amounts UNION ALL SELECT conv_id, turn, CAST(p - 1 AS INTEGER), CAST(p - 1 AS INTEGER), item, 'itemName' FROM ip WHERE p > 0),
+e AS (SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS pos, ws[i] AS word, lower(ws[i + 1]) AS nx, {CLEAN_SQL} AS c FROM (SELECT conv_id, turn, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+o AS (SELECT conv_id, turn, pos, word, CASE {ENTITY_CASE} END AS label FROM e WHERE NOT EXISTS (SELECT 1 FROM spans s WHERE s.conv_id = e.conv_id AND s.turn = e.turn AND e.pos BETWEEN s.first AND s.last))
+SELECT * FROM spans UNION ALL SELECT conv_id, turn, pos, pos, word, label FROM o WHERE label IS NOT NULL""")
 def n_entities(spark, d):
     return nlu.entities(spoken(spark, d), "text", "conv_id", "turn")
 
 
+@query("n_entity_phrases", f"""WITH {SPAN_SQL}, lex AS (SELECT phrase, label, string_split(phrase, ' ') AS pw, row_number() OVER (PARTITION BY phrase ORDER BY r) AS r FROM (VALUES {', '.join(f"({n!r}, '{k}', {r})" for r, (k, ns) in enumerate((('itemName', nlu.ITEM_NAMES), *nlu.ENTITY_WORDS)) for n in ns)}) AS v(phrase, label, r)),
+cl AS (SELECT conv_id, turn, list_transform(range(1, len(ws) + 1), lambda i: {CLEAN_SQL}) AS cs FROM w),
+c1 AS (SELECT cl.*, i FROM cl, LATERAL (SELECT unnest(range(1, len(cs) + 1)) AS i) WHERE NOT EXISTS (SELECT 1 FROM amounts s WHERE s.conv_id = cl.conv_id AND s.turn = cl.turn AND i - 1 BETWEEN s.first AND s.last)),
+hit AS (SELECT conv_id, turn, i - 1 AS first, i + len(pw) - 2 AS last, phrase, label FROM c1 JOIN lex ON lex.r = 1 AND cs[i] = pw[1] AND cs[i:i + len(pw) - 1] = pw
+ WHERE NOT EXISTS (SELECT 1 FROM amounts s WHERE s.conv_id = c1.conv_id AND s.turn = c1.turn AND s.first <= i + len(pw) - 2 AND s.last >= i - 1)),
+kept AS (SELECT conv_id, turn, unnest(list_reduce(list([[first, last]] ORDER BY first, last DESC), lambda held, x: CASE WHEN x[1][1] > held[len(held)][2] THEN list_concat(held, x) ELSE held END)) AS k FROM hit GROUP BY conv_id, turn)
+SELECT * FROM amounts UNION ALL SELECT conv_id, turn, CAST(first AS INTEGER), CAST(last AS INTEGER), phrase, label FROM hit JOIN kept USING (conv_id, turn) WHERE hit.first = k[1] AND hit.last = k[2]""")
+def n_entity_phrases(spark, d):
+    return nlu.entity_phrases(spoken(spark, d), "text", "conv_id", "turn")
+
+
 MODEL_VALUES = ", ".join(f"({p}, '{i}', {a}, CAST({x} AS DOUBLE), CAST({s} AS DOUBLE), {b})" for p, (i, a, x, s, b) in enumerate(scoring.ARCHITECTURES))
 PRESET_VALUES = ", ".join(f"('{k}', {a}, {x}, {s}, {b})" for k, (a, x, s, b) in scoring.PRESETS.items())
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import draw
+from ..functions.text import draw, tokens_space
 from ..operators import audit, metrics, quality
-from ..sources.io import small
+from ..sources.io import scratch, small
+from ..streaming import resume
 from .common import SPECS_SQL, draw_sql, minimum, specs, table, utterances
 
 QUERIES, ORACLES = {}, {}
@@ -73,9 +74,45 @@ def v_gate_report(spark, d):
     return quality.report(utterances(spark, d), s, quality.valid_combos(s), minimum(spark))
 
 
-@query("g_valid_combos", f"WITH {SPECS_SQL} SELECT intent, action FROM combos")
+@query("g_valid_combos", "SELECT DISTINCT lang AS intent, source AS action FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL")
 def g_valid_combos(spark, d):
-    return quality.valid_combos(specs(spark))
+    found = table(spark, d, "documents").where("lang is not null and source is not null").groupBy(F.col("lang").alias("intent")).agg(F.collect_set("source").alias("supported_actions"))
+    return quality.valid_combos(found)
+
+
+@query("v_authoring", "WITH s AS (SELECT DISTINCT lang AS intent, source AS action FROM documents WHERE doc_id % 3 <> 0 AND lang IS NOT NULL AND source IS NOT NULL), p AS (SELECT DISTINCT lang AS intent, source AS action FROM documents WHERE doc_id % 7 < 5 AND lang IS NOT NULL AND source IS NOT NULL), f AS (SELECT s.*, 'no patterns' AS fault FROM s ANTI JOIN p USING (intent, action) UNION ALL SELECT p.*, 'not supported' FROM p ANTI JOIN s USING (intent, action)) SELECT * FROM f")
+def v_authoring(spark, d):
+    """Specs made of the documents' labels: each part of the documents names its own actions and patterns."""
+    rows = table(spark, d, "documents").where("lang is not null and source is not null")
+    actions = rows.where("doc_id % 3 <> 0").groupBy(F.col("lang").alias("intent")).agg(F.collect_set("source").alias("supported_actions"))
+    patterns = rows.where("doc_id % 7 < 5").groupBy(F.col("lang").alias("intent")).agg(F.map_from_entries(F.transform(F.collect_set("source"), lambda x: F.struct(x, F.array(F.lit("say it"))))).alias("utterance_patterns"))
+    return quality.authoring_faults(actions.join(patterns, "intent", "full_outer").select("intent", F.coalesce("supported_actions", F.array().cast("array<string>")).alias("supported_actions"), "utterance_patterns"))
+
+
+@query("v_misaligned", r"SELECT conv_id, turn FROM conversations WHERE turn % 3 = 0 AND len(list_filter(string_split_regex(translate(lower(text), '.,?!', '    '), '\s+'), lambda x: x <> '')) > 0")
+def v_misaligned(spark, d):
+    tokens = tokens_space(F.col("text"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", tokens.alias("tokens")).withColumn("tags", F.transform(F.when(F.col("turn") % 3 == 0, F.slice("tokens", F.lit(2), F.size("tokens"))).otherwise(F.col("tokens")), lambda t: F.lit("O")))
+    return quality.misaligned(rows).select("conv_id", "turn")
+
+
+CLEAN_SQL = f"WITH {SPECS_SQL}, k AS (SELECT * FROM u WHERE intent IS NOT NULL AND action IS NOT NULL AND utterance IS NOT NULL), c AS (SELECT lower(utterance) AS x FROM k GROUP BY lower(utterance) HAVING count(DISTINCT intent || '|' || action) > 1) SELECT doc_id, intent, action FROM k WHERE lower(utterance) NOT IN (SELECT x FROM c)"
+
+
+@query("v_gate_publish", CLEAN_SQL)
+def v_gate_publish(spark, d):
+    """What a table holds after rows without faults were published to it and rows with one were refused."""
+    rows = utterances(spark, d).where("intent is not null and action is not null and utterance is not null").withColumn("__u", F.lower("utterance"))
+    clashing = quality.conflicts(rows).select(F.col("utterance").alias("__u"))
+    rows = rows.join(clashing, "__u", "left_anti").drop("__u")
+    declared = rows.groupBy("intent").agg(F.collect_set("action").alias("supported_actions"))
+    path, combos, least = scratch(spark, "published"), quality.valid_combos(declared), declared.select("intent", F.lit(1).alias("least"))
+    first = quality.publish(rows, declared, combos, least, path)
+    bad = rows.limit(1).withColumn("intent", F.lit("nobody declared this"))
+    second = quality.publish(rows.unionByName(bad), declared, combos, least, path)
+    if any(first.values()) or not any(second.values()):
+        raise ValueError(f"the gate found {first}, then {second}")
+    return spark.read.schema(rows.schema).parquet(path).select("doc_id", "intent", "action")
 
 
 def verdicts(spark, d):
@@ -174,6 +211,16 @@ def w_batches(spark, d):
     return audit.batches(audit.numbered(table(spark, d, "documents").select("doc_id"), "doc_id"), "doc_id")
 
 
+@query("w_resume", "WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM documents) SELECT 1 AS run, (rn - 21) // 50 + 20 // 50 + 1 AS batch, doc_id FROM n WHERE rn > 20 AND rn <= 150 UNION ALL SELECT 2, (rn - 151) // 50 + 150 // 50 + 1, doc_id FROM n WHERE rn > 150")
+def w_resume(spark, d):
+    """Two runs: the first takes 130 rows behind the first 20, the second finds its place from their number and takes the rest."""
+    rows, path, done = audit.numbered(table(spark, d, "documents").select("doc_id"), "doc_id"), scratch(spark, "progress"), 0
+    for run, most in ((1, 130), (2, 0)):
+        audit.resumed_batches(rows, done, start=20, most=most).select(F.lit(run).alias("run"), "batch", "doc_id").write.mode("append").parquet(path)
+        done = spark.read.parquet(path).count()
+    return spark.read.parquet(path).select("run", "batch", "doc_id")
+
+
 @query("w_head_n", "SELECT lang, CAST(count(*) AS BIGINT) AS n FROM (SELECT lang, row_number() OVER (ORDER BY doc_id) AS rn FROM documents) WHERE rn <= (SELECT count(*) FROM labels) GROUP BY lang")
 def w_head_n(spark, d):
     audited = table(spark, d, "labels").agg(F.count(F.lit(1)).alias("audited"))
@@ -278,6 +325,39 @@ def r_provider(spark, d):
     return judged.select("id", "suitability", "error")
 
 
+ROTATION = {"a": 2, "b": 3, "c": 5}  # a stand-in fails for batches whose first identifier its number divides
+ROTATION_SQL = """n AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 50 + 1 AS batch FROM documents), b AS (SELECT batch, min(doc_id) AS f FROM n GROUP BY batch),
+t AS (SELECT batch, f, list_transform(range(3), lambda k: CAST((batch - 1 + k) % 3 AS INTEGER)) AS ms FROM b),
+o AS (SELECT batch, list_transform(ms, lambda m: ['a', 'b', 'c'][m + 1]) AS names, coalesce(list_position(list_transform(ms, lambda m: f % [2, 3, 5][m + 1] <> 0), true), 0) AS hit FROM t),
+r AS (SELECT batch, CASE WHEN hit > 0 THEN names[hit] END AS model, CASE WHEN hit > 0 THEN names[1:hit - 1] ELSE names END AS tried FROM o)"""
+
+
+def rotated(spark, d):
+    rows = audit.numbered(table(spark, d, "documents").select(F.col("doc_id").alias("id")), "id")
+    return audit.judge_rotating(audit.resumed_batches(rows, 0).select("batch", "id"), {m: audit.FailingProvider(by) for m, by in ROTATION.items()}, wait=0.0)
+
+
+@query("r_rotation", f"WITH {ROTATION_SQL} SELECT CAST(batch AS BIGINT) AS batch, CAST(doc_id AS VARCHAR) AS id, model, array_to_string(tried, ',') AS tried, CASE WHEN model IS NOT NULL THEN 'KEEP' END AS suitability, CASE WHEN model IS NULL THEN 'max retries exceeded' END AS error FROM n JOIN r USING (batch)")
+def r_rotation(spark, d):
+    return rotated(spark, d).select("batch", "id", "model", F.array_join("tried", ",").alias("tried"), "suitability", "error")
+
+
+@query("r_model_shares", f"WITH {ROTATION_SQL}, j AS (SELECT model, count(*) AS n FROM n JOIN r USING (batch) GROUP BY model), f AS (SELECT m, count(*) AS n FROM (SELECT unnest(tried) AS m FROM r) GROUP BY m) SELECT coalesce(model, m) AS model, coalesce(j.n, 0) AS n_judged, coalesce(f.n, 0) AS n_failed FROM j FULL OUTER JOIN f ON model = m")
+def r_model_shares(spark, d):
+    return audit.model_shares(rotated(spark, d))
+
+
+@query("d_quota", "SELECT p_brand, least(count(DISTINCT p_name), 12) AS n, least(count(DISTINCT p_name), 12) AS places FROM part GROUP BY p_brand")
+def d_quota(spark, d):
+    """Names by brand within a quota of 12, which two runs over a growing folder fill together."""
+    rows, folder = table(spark, d, "part").select("p_brand", "p_name", "p_partkey"), scratch(spark, "quota")
+    for part in ("p_partkey % 11 = 0", "p_partkey % 11 <> 0"):
+        rows.where(part).select("p_brand", "p_name").write.mode("append").json(f"{folder}/in")
+        resume.fill_quotas(spark, f"{folder}/in", "p_brand string, p_name string", 12, ["p_brand"], "p_name", f"{folder}/out", f"{folder}/state")
+    held = spark.read.schema("p_brand string, p_name string, place bigint").parquet(f"{folder}/out")
+    return held.groupBy("p_brand").agg(F.count_distinct("p_name").alias("n"), F.count_distinct("place").alias("places"))
+
+
 @query("u_union", "SELECT n_name AS name, 'nation' AS kind FROM nation UNION ALL SELECT r_name, 'region' FROM region")
 def u_union(spark, d):
     return table(spark, d, "nation").select(F.col("n_name").alias("name"), F.lit("nation").alias("kind")).unionByName(table(spark, d, "region").select(F.col("r_name").alias("name"), F.lit("region").alias("kind")))
@@ -358,6 +438,20 @@ def s_routes(spark, d):
     return back[0].unionByName(back[1])
 
 
+@query("s_specs", "SELECT r_name AS intent, n_name AS action FROM nation JOIN region ON n_regionkey = r_regionkey")
+def s_specs(spark, d):
+    """A folder with one spec file per region, other files beside them, read as a table."""
+    from ..sources import io
+
+    folder = io.scratch(spark, "specs")
+    for k in range(5):
+        spec = table(spark, d, "region").where(F.col("r_regionkey") == k).select("r_regionkey", F.col("r_name").alias("intent"))
+        actions = table(spark, d, "nation").where(F.col("n_regionkey") == k).agg(F.array_sort(F.collect_list("n_name")).alias("supported_actions"))
+        io.write_document(spec.join(actions).select("intent", "supported_actions"), f"{folder}/region{k}.intent.json")
+    io.write_document(table(spark, d, "region").limit(1), f"{folder}/notes.json")
+    return quality.valid_combos(io.read_specs(spark, folder, "intent string, supported_actions array<string>"))
+
+
 @query("s_optional_merge", "SELECT r_name AS name FROM region UNION SELECT n_name FROM nation")
 def s_optional_merge(spark, d):
     """Rows joined by those of a file that is there, with a bad line in it, and of one that isn't."""

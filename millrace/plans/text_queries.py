@@ -31,7 +31,8 @@ def token_query(name: str, make, source: str, key: str, sql_tokens: str) -> None
     ORACLES[name] = f"SELECT {key}, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, '|')) AS digest FROM (SELECT {key}, {sql_tokens} AS t FROM {source} WHERE text IS NOT NULL)"
 
 
-token_query("t_tok_decimal", T.tokens_decimal, "documents", "doc_id", r"list_filter(string_split_regex(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), '(\d),(\d)', '\1\2', 'g'), '[?!,]', ' ', 'g'), '\.(\s)', '\1', 'g'), '\.\z', ''), '\s+'), lambda x: x <> '')")
+TOKENS_DECIMAL_SQL = r"list_filter(string_split_regex(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({text}), '(\d),(\d)', '\1\2', 'g'), '[?!,]', ' ', 'g'), '\.(\s)', '\1', 'g'), '\.\z', ''), '\s+'), lambda x: x <> '')"
+token_query("t_tok_decimal", T.tokens_decimal, "documents", "doc_id", TOKENS_DECIMAL_SQL.format(text="text"))
 token_query("t_tok_punct", T.tokens_punct, "conversations", "conv_id, turn", "list_filter(list_transform(string_split(translate(lower(text), '.,?!', '    '), ' '), lambda x: trim(x)), lambda x: x <> '')")
 token_query("t_tok_ws", T.tokens_space, "conversations", "conv_id, turn", r"list_filter(string_split_regex(translate(lower(text), '.,?!', '    '), '\s+'), lambda x: x <> '')")
 token_query("t_tok_strip", T.tokens_strip, "conversations", "conv_id, turn", r"list_transform(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''), lambda w: regexp_replace(w, '[.,/#!$%^&*;:{}=\-_`~()]', '', 'g'))")

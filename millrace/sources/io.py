@@ -16,14 +16,29 @@ CORRUPT = "_corrupt"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset and Spark runs in one process (tests), below a folder of this machine."""
+    """A new path below spark.checkpoint.dir, or the session's checkpoint folder; where both are unset and Spark runs in one process (tests), below a folder of this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = current.get() if current.isDefined() else None
     if not base and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     base = base or "file://" + tempfile.mkdtemp(prefix="millrace-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def replace_folder(spark: SparkSession, source: str, target: str | None) -> None:
+    """Put a folder in another one's place, whatever was there; without a target it goes."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = hadoop(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if target is None:
+        store.delete(hadoop(source), True)
+        return
+    store.delete(hadoop(target), True)
+    if not store.rename(hadoop(source), hadoop(target)):
+        raise OSError(f"{source} could not be put in place of {target}")
+
+
 def small(df: DataFrame, most: int = 200_000) -> DataFrame:
     """A table for the small side of a join: broadcast if it has at most `most` rows, else left to a shuffle."""
     return F.broadcast(df) if df.count() <= most else df
