@@ -11,11 +11,12 @@
 4. Heavy sets: the inverted lists of their first elements, as many as a link can't miss, are scanned. The order is
    rarest first by counts of a fixed number of hash buckets, so elements that many sets have come last. First each set
    is checked against its list's hub; then pairs of one list that are still in different components and whose sizes,
-   positions and parity sketches allow a link, each component's closest pair first. A pair in one component needs no
-   check.
+   positions and parity sketches allow a link. A pair in one component needs no check.
 The boundary is the size up to which the subsets of a set are fewer than the elements that its scan would cost. Pairs
 are dropped only by bounds that no link can break: sizes, positions in the common order, and the bits in which two
-parity sketches differ, which are at most the elements in which the sets differ. Those left are verified by whole sets.
+parity sketches differ, which are at most the elements in which the sets differ: first a small sketch that travels with the
+lists, then one as wide as the set needs. Those left are verified by whole sets, each component's closest pair first if
+they are many.
 
 No candidates are capped or dropped; links between classes are exact up to 64-bit hash collisions.
 
@@ -116,10 +117,15 @@ def slack(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / 100.0 - 1e-9)
 
 
-def sketch(elements: np.ndarray) -> np.ndarray:
-    """512 bits, each the parity of the number of elements that fall on it."""
-    bits = np.bincount((elements & np.uint64(511)).astype(np.int64), minlength=512) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def sketch(elements: np.ndarray, bits: int = 512) -> np.ndarray:
+    """Each bit the parity of the number of elements that fall on it."""
+    counts = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(counts.astype(np.uint8)).view(np.int64)
+
+
+def wide_bits(n: int) -> int:
+    """Bits of the sketch that tells sets of size n apart when a small one is full: a power of two, at least 2 n."""
+    return max(512, 1 << max(0, 2 * n - 1).bit_length())
 
 
 def share_of(n: int, percent: int) -> float:
@@ -134,7 +140,7 @@ def lists_of(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def shingle_rows(docs: DataFrame, keep: tuple[str, ...], text_col: str, n: int, percent: int, whole: bool) -> DataFrame:
-    """The kept columns, n_shingles, set_hash, elements and, of whole sets, their sketch.
+    """The kept columns, n_shingles, set_hash, elements and, of whole sets, a small and a wide sketch.
 
     Not whole: only the elements that are counted. Those that decide about this set come first, `own` says how many;
     the others are there for larger sets, whose share is smaller than that of their smallest partners.
@@ -142,13 +148,13 @@ def shingle_rows(docs: DataFrame, keep: tuple[str, ...], text_col: str, n: int,
     limit = lambda m: np.uint64(min((1 << 64) - 1, int(share_of(m, percent) * (1 << 64))))
     text_batches(docs.sparkSession)
     slim = docs.select(*keep, F.col(text_col).alias("__text"))
-    more = "sketch array<long>" if whole else "own int"
+    more = ["sketch array<long>", "wide array<long>"] if whole else ["own int"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
-                sizes, marks, kept, last = [], [], [], []
+                sizes, marks, kept, last, wide = [], [], [], [], []
                 for t in part.column(len(keep)):
                     s = shingle_set((t.as_py() or "").encode("utf-8", "surrogatepass"), n)
                     sizes.append(len(s))
@@ -156,14 +162,15 @@ def shingle_rows(docs: DataFrame, keep: tuple[str, ...], text_col: str, n: int,
                     if whole:
                         kept.append(s)
                         last.append(sketch(s))
+                        wide.append(sketch(s, wide_bits(len(s))))
                     else:
                         kept.append(s[: np.searchsorted(s, limit(len(s)), side="right")])
                         last.append(np.searchsorted(kept[-1], limit(ceil(len(s) * 100 / percent)), side="right"))
-                columns = [*part.columns[:-1], pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), lists_of(kept), lists_of(last) if whole else pa.array(np.array(last, np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_shingles", "set_hash", "elements", more.split()[0]])
+                columns = [*part.columns[:-1], pa.array(sizes, pa.int64()), pa.array(np.array(marks, np.uint64).view(np.int64)), lists_of(kept), *((lists_of(last), lists_of(wide)) if whole else (pa.array(np.array(last, np.int32)),))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_shingles", "set_hash", "elements", *(x.split()[0] for x in more)])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*keep).schema)
-    return slim.mapInArrow(run, f"{kinds}, n_shingles long, set_hash long, elements array<long>, {more}")
+    return slim.mapInArrow(run, f"{kinds}, n_shingles long, set_hash long, elements array<long>, {', '.join(more)}")
 
 
 def light_limit(percent: int) -> int:
@@ -214,17 +221,30 @@ def sketches_allow(percent: int, na: Column, nb: Column, sa: Column, sb: Column)
     return bits_apart(sa, sb) * (100 + percent) <= (100 - percent) * (na + nb)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
-    """The pairs (a, b) whose whole sets have the similarity; sketches are compared before sets."""
-    side = lambda x, *columns: sets.select(F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns))
-    light = pairs.join(side("a", "n_shingles", "sketch"), "a").join(side("b", "n_shingles", "sketch"), "b")
-    light = written(light.where(sketches_allow(percent, *map(F.col, ("n_shingles_a", "n_shingles_b", "sketch_a", "sketch_b")))).select("a", "b"), f"candidates-{uuid.uuid4().hex}", folder)
-    # Only sets that candidates name are shuffled, and those of one side not even that while candidates are few.
-    left = side("a", "elements").join(near(light, SMALL_ROWS), "a")
-    right = side("b", "elements").join(near(light.select("b").distinct(), SMALL_ROWS), "b", "left_semi")
-    both = left.join(right, "b")
+def wide_bits_apart(sa: Column, sb: Column) -> Column:
+    """The bits in which two wide sketches differ; the wider one is folded, which a parity sketch allows."""
+    pieces = lambda s, m: F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.aggregate(F.sequence(F.lit(0), (F.size(s) / m).cast("int") - 1), F.lit(0).cast("bigint"), lambda x, k: x.bitwiseXOR(F.get(s, i + k * m))))
+    fold = lambda s, m: F.when(F.size(s) == m, s).otherwise(pieces(s, m))
+    m = F.least(F.size(sa), F.size(sb))
+    return F.aggregate(F.zip_with(fold(sa, m), fold(sb, m), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """The pairs (a, b, ...) whose wide sketches differ in no more bits than linked sets can in elements: few that don't link are left."""
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    allowed = wide_bits_apart(F.col("wide_a"), F.col("wide_b")) * (100 + percent) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    return written(both.where(allowed).select(*pairs.columns), f"candidates-{uuid.uuid4().hex}", folder)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets have the similarity."""
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("elements").alias(f"elements_{x}"))
+    # Only sets that pairs name are shuffled, and those of one side not even that while pairs are few.
+    left = side("a").join(near(pairs.select("a", "b"), SMALL_ROWS), "a")
+    right = side("b").join(near(pairs.select("b").distinct(), SMALL_ROWS), "b", "left_semi")
     common = F.size(F.array_intersect("elements_a", "elements_b"))
-    return both.where(common * 100 >= percent * (F.size("elements_a") + F.size("elements_b") - common)).select("a", "b")
+    return left.join(right, "b").where(common * 100 >= percent * (F.size("elements_a") + F.size("elements_b") - common)).select("a", "b")
 
 
 def bucket_counts(sets: DataFrame) -> np.ndarray:
@@ -286,10 +306,10 @@ def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: in
     h = hubs.select("element", "hub.*").alias("h")
     first = ranked.alias("m").join(h, F.col("m.element") == F.col("h.element")).where((F.col("m.id") != F.col("h.id")) & may_link(percent, "m", "h"))
     pairs = first.select(F.least("m.id", "h.id").alias("a"), F.greatest("m.id", "h.id").alias("b")).distinct()
-    links = written(links.unionByName(verified(written(pairs, "pairs-hubs", folder), sets, percent, folder)), "links-hubs", folder)
-    found = components(links)
+    pairs = plausible(written(pairs, "pairs-hubs", folder), sets, percent, folder)
+    links = written(links.unionByName(confirmed(pairs, sets, percent)), "links-hubs", folder)
     # Lists whose sets are all in one component are done.
-    named = written(ranked.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "lists", folder)
+    named = written(ranked.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id")), "lists", folder)
     open_ = named.groupBy("element").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("element")
     rest = named.join(written(open_, "open-lists", folder), "element").join(sets.select("id", "sketch"), "id")
     rest = written(rest.select("element", "id", "n", "at", "component", "sketch"), "lists-open", folder)
@@ -298,21 +318,21 @@ def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: in
     other = x.join(y, apart & may_link(percent, "x", "y") & sketches_allow(percent, *map(F.col, ("x.n", "y.n", "x.sketch", "y.sketch"))))
     distance = bits_apart(F.col("x.sketch"), F.col("y.sketch")) / (F.col("x.n") + F.col("y.n"))
     more = other.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb"), distance.alias("d"))
-    more = written(more.distinct(), "pairs-rest", folder)
-    # In a group of k texts that are all alike k * k pairs are left. Some rounds of verifying each component's closest
-    # pair alone join most of them; pairs that are in one component by then need no check.
-    for k in range(CLOSEST_ROUNDS):
-        if more.isEmpty():
-            return links
+    more = plausible(written(more.distinct(), "pairs-rest", folder), sets, percent, folder)
+    # Nearly all pairs that are left are links. If they are many, groups of k texts that are all alike have k * k of them:
+    # rounds of confirming each component's closest pair alone join most, and pairs in one component need no check.
+    k = 0
+    while k < CLOSEST_ROUNDS and more.count() > SMALL_ROWS:
         ends = more.select(F.explode(F.array("ca", "cb")).alias("c"), "d", "a", "b").groupBy("c").agg(F.min(F.struct("d", "a", "b")).alias("p"))
         ends = written(ends.select("p.a", "p.b").distinct(), f"pairs-closest-{k}", folder)
-        links = written(links.unionByName(verified(ends, sets, percent, folder)), f"links-closest-{k}", folder)
+        links = written(links.unionByName(confirmed(ends, sets, percent)), f"links-closest-{k}", folder)
         found = components(links)
         of = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))  # noqa: B023, E731
         left = more.select("a", "b", "d").join(ends, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
         left = left.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}).where("ca <> cb")
         more = written(left.select("a", "b", "ca", "cb", "d"), f"pairs-left-{k}", folder)
-    return links.unionByName(verified(more.select("a", "b"), sets, percent, folder))
+        k += 1
+    return links.unionByName(confirmed(more, sets, percent))
 
 
 def labelled(placed: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
