@@ -8,7 +8,9 @@ content paths. The smallest container that holds at least `share` of the content
 `article` or `main` element around it; without such an element, blocks around it stay only on paths that reach the mean
 without their neighbours' help. In it stay the blocks on content paths; headings that a block stays under; blocks
 that aren't mostly links, if a content block shares their container or the article is marked; and a block of nothing but
-a link between two content blocks. Boilerplate by tag or attributes is vetoed and never counts.
+a link between two content blocks. In a marked article also headings without anything under them and single blocks of
+links stay; lists of links and their headings go. Boilerplate by tag or attributes is vetoed and never counts, nor does
+a line of copyright outside a marked article.
 
 Tags are kept as numbered paths and elements with links to their parents, so time and memory are linear in the page,
 however deeply it is nested.
@@ -40,14 +42,17 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 CONTAINERS = frozenset(["", *"article aside body center details div fieldset figure form html main section td".split()])
 CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot html body legend summary".split())
 #: Words in class, id or role attributes of boilerplate, whatever stands beside them, and words that are so unless the element names itself content.
-NOISE = re.compile(r"(?:^|[_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|popup|modal|overlay|comments?|disqus|replies|respond|sidebar|side-bar|widgets?|menus?|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|complementary|contentinfo|dialog)(?=$|[_-]|\d)", re.I)
+NOISE = re.compile(r"(?:^|[_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|popup|modal|overlay|comments?|disqus|replies|respond|feedback|(?:user|reader|visitor|guest|community)s?[_-](?:discussions?|responses?|opinions?|reviews?)|discussion-?(?:board|thread|list)|sidebar|side-bar|widgets?|menus?|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|complementary|contentinfo|dialog)(?=$|[_-]|\d)", re.I)
 WEAK = re.compile(r"(?:^|[_-])(?:header|tags?|alerts?)(?=$|[_-]|\d)", re.I)
 OWN = re.compile(r"(?:^|[_-])(?:article|content|main|post|story|entry|body)(?=$|[_-])", re.I)
+#: A line that says whose rights a page is under.
+COPYRIGHT = re.compile(r"\s*(?:©|&copy;|\(c\)\s|copyright\b)[^\n]{0,200}\Z", re.I)
 #: Words that say how a container is laid out, not what it is.
 LAYOUT = re.compile(r"(?:^|[_-])(?:has|no|with|without)[_-]", re.I)
 TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)|[^>])*+)(>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
+ITEMS = frozenset(("li", "dt", "dd", "td", "th"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 HEAD_END = re.compile(r"</head\s*>|<body[\s>]", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…、。¿¡，？！]")
@@ -73,7 +78,7 @@ class Page:
     """Elements by number, each with its parent; element 0 is the page itself."""
 
     def __init__(self) -> None:
-        self.tag, self.parent, self.boiler, self.path, self.link, self.heading, self.inside = [""], [0], [False], [0], [False], [0], [False]
+        self.tag, self.parent, self.boiler, self.path, self.link, self.heading, self.inside, self.item = [""], [0], [False], [0], [False], [0], [False], [False]
         self.paths: dict[tuple[int, str], int] = {(0, ""): 0}
         self.leaves: list[Leaf] = []
 
@@ -85,6 +90,7 @@ class Page:
         self.link.append(tag == "a" or self.link[parent])
         self.heading.append(int(tag[1]) if tag in HEADINGS else self.heading[parent])
         self.inside.append(tag in ("article", "main") or self.inside[parent])
+        self.item.append(tag in ITEMS or self.item[parent])
         return len(self.tag) - 1
 
 
@@ -258,7 +264,7 @@ def extract(html: str | None, share: float = 0.9, spread: float = 0.1) -> str:
     """The main text of one page: blocks joined by two line feeds."""
     page = parsed(html or "")
     leaves = [x for x in page.leaves if x.text.strip()]
-    usable = np.array([not page.boiler[x.node] for x in leaves], bool)
+    usable = np.array([not page.boiler[x.node] and not (not page.inside[x.node] and COPYRIGHT.match(x.text)) for x in leaves], bool)
     if not usable.any():
         return ""
     in_link = np.array([page.link[x.node] for x in leaves], bool)
@@ -296,14 +302,21 @@ def extract(html: str | None, share: float = 0.9, spread: float = 0.1) -> str:
     stays = [c and not h or not c and not h and not n and (bool(marked) or holder[leaves[ks[0]].node] in homes) for ks, c, h, n in zip(order, chosen, level, linked, strict=True)]
     for i in range(1, len(order) - 1):
         stays[i] = stays[i] or linked[i] and not level[i] and chosen[i - 1] and chosen[i + 1]
+    if marked:  # a link by itself is text; links beside each other or in a list are a list of links
+        for i, ks in enumerate(order):
+            alone_ = not any(linked[max(0, i - 1) : i] + linked[i + 1 : i + 2])
+            stays[i] = stays[i] or linked[i] and not level[i] and alone_ and not page.item[leaves[ks[0]].node]
     if not any(stays):
         stays = chosen
-    under = 0  # what the next heading has under it: nothing, the level of a heading that stays, or text
+    # What a heading of each level has under it, up to the next of its level or above: anything, and anything that stays.
+    held, kept_under = [False] * 7, [False] * 7
     for i in range(len(order) - 1, -1, -1):
-        if level[i]:
-            stays[i] = stays[i] or under > level[i]
-        if stays[i]:
-            under = level[i] or 9
+        own_level = level[i]
+        if own_level:
+            stays[i] = stays[i] or kept_under[own_level] or bool(marked) and not held[own_level]
+            held[own_level:], kept_under[own_level:] = [False] * (7 - own_level), [False] * (7 - own_level)
+        for above_ in range(1, own_level or 7):
+            held[above_], kept_under[above_] = True, kept_under[above_] or stays[i]
     kept = {leaves[ks[0]].block for ks, s in zip(order, stays, strict=True) if s}
     texts: dict[int, list[str]] = {b: [] for b in sorted(kept)}
     for x in page.leaves:

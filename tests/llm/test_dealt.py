@@ -637,7 +637,14 @@ def test_main_text_of_odd_markup(spark):
     assert e("<div>" * deep + f"<p>{LONG}</p>") == LONG.strip()
     assert e("<ul><li>" + "<div>" * deep + "</span><li></p>" * deep + f"<p>{LONG}") == LONG.strip()
     assert e("<article><h1>Only a title</h1></article>") == "Only a title"
-    assert e(f"<article><h1>A</h1><h2>B</h2><h2>C</h2><p>{LONG}</p><h2>D</h2></article>") == f"A\n\nC\n\n{LONG.strip()}"
+    assert e(f"<article><h1>A</h1><h2>B</h2><h2>C</h2><p>{LONG}</p><h2>D</h2></article>") == f"A\n\nB\n\nC\n\n{LONG.strip()}\n\nD"
+    assert e(f"<article><p><a href=x>The first paragraph is a link</a></p><p>{LONG}</p><h2>Last heading</h2></article>") == f"The first paragraph is a link\n\n{LONG.strip()}\n\nLast heading"
+    assert e(f"<article><p>{LONG}</p><h3>More</h3><p><a href=x>a</a></p><p><a href=y>b</a></p><h2>Next</h2><h3>Links</h3><ul><li><a href=x>one</a></ul></article>") == LONG.strip()
+    for name in ("section class='reader-feedback'", "div id=user-discussion", "div class=discussion-thread"):
+        assert e(f"<div><div class=post><p>{LONG}</p></div><{name}><p>{LONG}</p></div></div>") == LONG.strip(), name
+        assert e(f"<article><p>one</p><{name}><p>{LONG}</p></{name.split()[0]}></article>") == "one", name
+    assert e(f"<div><div><p>{LONG}</p><p>{LONG}</p></div><div>Copyright 2024 Foo, all rights reserved.</div><p>&copy; Foo</p></div>") == f"{LONG.strip()}\n\n{LONG.strip()}"
+    assert e(f"<article><p>{LONG}</p><p>Copyright is a right.</p></article>") == f"{LONG.strip()}\n\nCopyright is a right."
     big = (1 << 60) + 1
     df = spark.createDataFrame([(big, "u", "<p>x"), (None, None, None)], "page_id long, url string, html string")
     assert {(r.page_id, r.url, r.text, r.n_chars) for r in html_extract.extract_pages(df).collect()} == {(big, "u", "x", 1), (None, None, "", 0)}
