@@ -67,11 +67,15 @@ def aligned_overlaps(placed: DataFrame, items: DataFrame, text_col: str, item_co
     seeds = written(item_seeds(known, short), "item-seeds")
     # Every mask picks the first two tokens (one-token items have no second), so most places go before any seed is made.
     pick = ["first"] if 1 in short else ["first", "second"]
-    begins = near(seeds.select(F.xxhash64(*pick).alias("begin")).distinct(), BROADCAST_SEEDS)
+    begins = written(seeds.select(F.xxhash64(*pick).alias("begin")).distinct(), "begins")
     words = placed.select(F.xxhash64("__at_file", "__at_row").alias("place"), tokens(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     places = words.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("w") - 1))).withColumn("begin", F.xxhash64(*(F.get("w", F.col("at") + k) for k in range(len(pick)))))
     hashes = F.array(*(seed(F.col("w"), F.col("at"), mask) for mask in [*MASKS, *(tuple(range(k)) for k in short)]))
-    found = places.join(begins, "begin", "left_semi").select("place", "at", F.explode(hashes).alias("seed")).where("seed is not null")
+    if begins.count() <= BROADCAST_SEEDS:  # all in one stage: seeds are made only where one can begin
+        found = places.join(F.broadcast(begins), "begin", "left_semi").select("place", "at", F.explode(hashes).alias("seed"))
+    else:  # seeds are made first, so that no shuffle carries a text's tokens
+        found = places.select("place", "at", "begin", hashes.alias("seeds")).join(begins, "begin", "left_semi").select("place", "at", F.explode("seeds").alias("seed"))
+    found = found.where("seed is not null")
     hits = found.join(near(seeds.select("item_id", "item_hash", "m", "item_at", "seed"), BROADCAST_SEEDS), "seed")
     hits = written(hits.select("place", "item_id", "item_hash", "m", (F.col("at") - F.col("item_at")).alias("offset")).distinct(), "alignments")
     # Tokens of the texts and items that have hits.
