@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontaminate, exact_dedup, jaccard_join, quality_cnn, spm_codec
-from millrace.llm.common import table, written
+from millrace.llm.common import cleared, remove, shared_path, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +47,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on `documents`, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for number, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        docs = written(out, f"pipeline-{number}-{name}") if number < len(STAGES) - 1 else out
-    return docs
+    """All stages on `documents`, each written and read again; what a stage needed besides goes with it."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = shared_path(spark, f"pipeline-{name}")
+        with cleared(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)

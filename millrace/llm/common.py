@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _CLEARED[-1:]:
+        paths.append(path)
+    return path
+
+
+_CLEARED: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what operators have put into the shared folder meanwhile; what is to stay has to be written to a path of before."""
+    _CLEARED.append(paths := [])
+    try:
+        yield
+    finally:
+        _CLEARED.remove(paths)
+        for path in paths:
+            remove(spark, path)
 
 
 def written(df: DataFrame, name: str, folder: str | None = None, codec: str | None = None) -> DataFrame:
