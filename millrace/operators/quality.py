@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..sources.io import replace_folder, small
@@ -12,6 +12,17 @@ from ..sources.io import replace_folder, small
 MOST_LISTED = 5
 
 
+def combo_key(intent: str = "intent", action: str = "action") -> Column:
+    """`intent|action`; null if either is."""
+    return F.concat(F.col(intent), F.lit("|"), F.col(action))
+
+
+def combo_parts(key: Column) -> Column:
+    """struct(intent, action) of a key: what stands before and behind its first |."""
+    intent = F.substring_index(key, "|", 1)
+    return F.struct(intent.alias("intent"), F.substring(key, F.length(intent) + 2, F.length(key)).alias("action"))
+
+
 def valid_combos(specs: DataFrame) -> DataFrame:
     """(intent, action) of every supported action of every spec."""
     return specs.select("intent", F.explode("supported_actions").alias("action")).distinct()

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .audit import numbered
 
@@ -26,8 +25,11 @@ def model_scores(models: DataFrame) -> DataFrame:
     weights = F.array(*(F.struct(F.lit(k).alias("preset"), *(F.lit(float(x)).alias(n) for n, x in zip("alsb", w, strict=True))) for k, w in PRESETS.items()))
     rows = models.withColumn("w", F.explode(weights))
     mean = (F.col("accuracy") * F.col("w.a") + latency * F.col("w.l") + size * F.col("w.s") + (11 - F.col("battery")) * 10 * F.col("w.b")) / (F.col("w.a") + F.col("w.l") + F.col("w.s") + F.col("w.b"))
-    scored = rows.select(F.col("w.preset").alias("preset"), "id", "pos", F.floor(mean + 0.5).cast("bigint").alias("score"))
-    return scored.select("preset", "id", "score", F.row_number().over(Window.partitionBy("preset").orderBy(F.desc("score"), "pos")).cast("bigint").alias("rank"))
+    scored = rows.select(F.col("w.preset").alias("preset"), "id", "pos", F.floor(mean + 0.5).cast("bigint").alias("score")).withColumn("down", -F.col("score"))
+    # Ranks over all models of a preset: numbered by ranges, from the first number of each of the few presets.
+    ranked = numbered(scored, "preset", "down", "pos")
+    starts = ranked.groupBy(F.col("preset").alias("of")).agg(F.min("rn").alias("first"))
+    return ranked.join(F.broadcast(starts), F.col("preset") == F.col("of")).select("preset", "id", "score", (F.col("rn") - F.col("first") + 1).alias("rank"))
 
 
 def latency(df: DataFrame) -> DataFrame:

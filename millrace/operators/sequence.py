@@ -108,3 +108,10 @@ def char_spans(parts: Column) -> Column:
         return F.struct(end.alias("at"), F.when(p["label"].isNull(), state["spans"]).otherwise(F.concat(state["spans"], span)).alias("spans"))
 
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda s: s["spans"])
+
+
+def remapped_samples(samples: DataFrame) -> DataFrame:
+    """(id, intent, taskType, text, entities) of span samples (id, intent, subIntent, utterance, entities_token_iob): ranges become start and end, missing entities an empty array."""
+    entity = lambda e: F.struct(e["text"].alias("text"), e["label"].alias("label"), F.get(e["range"], 0).alias("start"), F.get(e["range"], 1).alias("end"))
+    entities = F.transform("entities_token_iob", entity)
+    return samples.select("id", "intent", F.col("subIntent").alias("taskType"), F.col("utterance").alias("text"), F.coalesce(entities, F.array().cast("array<struct<text: string, label: string, start: int, end: int>>")).alias("entities"))

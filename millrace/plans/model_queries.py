@@ -327,10 +327,13 @@ MODEL_VALUES = ", ".join(f"({p}, '{i}', {a}, CAST({x} AS DOUBLE), CAST({s} AS DO
 PRESET_VALUES = ", ".join(f"('{k}', {a}, {x}, {s}, {b})" for k, (a, x, s, b) in scoring.PRESETS.items())
 
 
-@query("c_model_rank", f"WITH m AS (SELECT * FROM (VALUES {MODEL_VALUES}) AS v(pos, id, acc, lat, sz, bat)), w AS (SELECT * FROM (VALUES {PRESET_VALUES}) AS v(preset, a, l, s, b)), x AS (SELECT preset, id, pos, CAST(floor((acc * a + greatest(0, 100 - lat / 2) * l + greatest(0, 100 - sz * 1.5) * s + (11 - bat) * 10 * b) / (a + l + s + b) + 0.5) AS BIGINT) AS score FROM m, w) SELECT preset, id, score, row_number() OVER (PARTITION BY preset ORDER BY score DESC, pos) AS rank FROM x")
+@query("c_model_rank", f"WITH m AS (SELECT * FROM (VALUES {MODEL_VALUES}) AS v(pos, arch, acc, lat, sz, bat)), c AS (SELECT p_partkey AS pos, arch || '-' || p_partkey AS id, acc - p_size % 5 AS acc, lat * ((50 + p_size) / 50) AS lat, sz * ((50 + p_size) / 50) AS sz, bat FROM part JOIN m ON p_partkey % 7 = m.pos), w AS (SELECT * FROM (VALUES {PRESET_VALUES}) AS v(preset, a, l, s, b)), x AS (SELECT preset, id, pos, CAST(floor((acc * a + greatest(0, 100 - lat / 2) * l + greatest(0, 100 - sz * 1.5) * s + (11 - bat) * 10 * b) / (a + l + s + b) + 0.5) AS BIGINT) AS score FROM c, w) SELECT preset, id, score, row_number() OVER (PARTITION BY preset ORDER BY score DESC, pos) AS rank FROM x")
 def c_model_rank(spark, d):
-    rows = [(p, *m) for p, m in enumerate((i, float(a), x, s, b) for i, a, x, s, b in scoring.ARCHITECTURES)]
-    return scoring.model_scores(spark.createDataFrame(rows, "pos int, id string, accuracy double, latency double, size double, battery int"))
+    """Every part stands for a model: one of the architectures, larger and slower by the part's size."""
+    kinds = F.array(*(F.struct(F.lit(i).alias("arch"), F.lit(float(a)).alias("accuracy"), F.lit(x).alias("latency"), F.lit(s).alias("size"), F.lit(b).alias("battery")) for i, a, x, s, b in scoring.ARCHITECTURES))
+    rows = table(spark, d, "part").withColumn("k", F.get(kinds, F.pmod("p_partkey", F.lit(len(scoring.ARCHITECTURES))).cast("int")))
+    grown = (50 + F.col("p_size")) / 50
+    return scoring.model_scores(rows.select(F.col("p_partkey").alias("pos"), F.concat("k.arch", F.lit("-"), F.col("p_partkey").cast("string")).alias("id"), (F.col("k.accuracy") - F.col("p_size") % 5).alias("accuracy"), (F.col("k.latency") * grown).alias("latency"), (F.col("k.size") * grown).alias("size"), F.col("k.battery").alias("battery")))
 
 
 @query("c_latency", """WITH g AS (SELECT arch, processor, seq, 8000 AS vocab, 128 AS dim, q AS quantised FROM (VALUES ('cnn'), ('bilstm'), ('transformer')) a(arch), (VALUES ('budget-cpu'), ('mid-gpu'), ('flagship-npu')) p(processor), (VALUES (16), (32)) s(seq), (VALUES (true), (false)) q(q)),

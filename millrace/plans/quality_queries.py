@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import draw, tokens_space
-from ..operators import audit, metrics, quality
+from ..operators import audit, metrics, quality, sequence
 from ..sources.io import scratch, small
 from ..streaming import resume
 from .common import SPECS_SQL, draw_sql, minimum, specs, table, utterances
@@ -185,6 +185,52 @@ def audit_facet(rows, intent, split, term):
     return rows.where(has)
 
 
+@query("p_remap", "SELECT doc_id AS id, lang AS intent, source AS taskType, md5(text) AS digest, CASE WHEN n_chars % 2 = 0 THEN 1 ELSE 0 END AS n_entities, CASE WHEN n_chars % 2 = 0 THEN 0 END AS first_start, CASE WHEN n_chars % 2 = 0 THEN CAST(n_chars AS INTEGER) END AS first_end FROM documents")
+def p_remap(spark, d):
+    """Documents as span samples, renamed and with their ranges unfolded; every second one has no entities."""
+    entity = F.array(F.struct(F.lit("all").alias("text"), F.lit("DOC").alias("label"), F.array(F.lit(0), F.col("n_chars").cast("int")).alias("range"), F.array(F.lit("B-DOC")).alias("iob")))
+    samples = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("intent"), F.col("source").alias("subIntent"), F.col("text").alias("utterance"), F.when(F.col("n_chars") % 2 == 0, entity).alias("entities_token_iob"))
+    first = F.get("entities", 0)
+    return sequence.remapped_samples(samples).select("id", "intent", "taskType", F.md5("text").alias("digest"), F.size("entities").alias("n_entities"), first["start"].alias("first_start"), first["end"].alias("first_end"))
+
+
+@query("p_target", "SELECT doc_id, lang FROM documents WHERE lang = 'de'")
+def p_target(spark, d):
+    return table(spark, d, "documents").where("lang = 'de'").select("doc_id", "lang")
+
+
+@query("p_composite", "SELECT lang || '|' || source AS key, lang AS intent, source AS action, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY lang, source")
+def p_composite(spark, d):
+    """Counts by a composite key, which is then taken apart again."""
+    rows = utterances(spark, d).groupBy(quality.combo_key().alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("key", quality.combo_parts(F.col("key")).alias("p"), "n").select("key", "p.intent", "p.action", "n")
+
+
+@query("f_defaults", "SELECT d.doc_id, upper(coalesce(lang, 'none')) AS lang, coalesce(l.quality, 0) AS quality, trim(lower(substr(coalesce(text, ''), 1, 3))) AS beginning FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def f_defaults(spark, d):
+    """Missing values by default, and access into what may be missing."""
+    verdict = table(spark, d, "labels").select("doc_id", F.struct("quality").alias("verdict"))
+    rows = table(spark, d, "documents").join(verdict, "doc_id", "left")
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", F.upper(F.coalesce("lang", F.lit("none"))).alias("lang"), F.coalesce("verdict.quality", F.lit(0)).alias("quality"), F.trim(F.lower(F.substring(text, 1, 3))).alias("beginning"))
+
+
+@query("e_windows", "SELECT date_trunc('day', CAST(ts AS TIMESTAMP)) AS start, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
+def e_windows(spark, d):
+    return resume.event_counts(table(spark, d, "events"))
+
+
+@query("e_resume", "SELECT p_partkey AS id, p_partkey % 2 AS run, p_size > 25 AS large FROM part")
+def e_resume(spark, d):
+    """Two runs over a folder that grows between them; each judges what is new to it."""
+    rows, folder = table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_size"), scratch(spark, "resume")
+    for run in (0, 1):
+        rows.where(F.col("id") % 2 == run).write.mode("append").json(f"{folder}/in")
+        judge = lambda batch, k=run: batch.select("id", F.lit(k).cast("bigint").alias("run"), (F.col("p_size") > 25).alias("large"))
+        resume.run_available(spark, f"{folder}/in", "id bigint, p_size int", judge, f"{folder}/out", f"{folder}/state", files_per_batch=100)
+    return spark.read.schema("id bigint, run bigint, large boolean").json(f"{folder}/out").select("id", "run", "large")
+
+
 @query("p_seq_ids", "SELECT doc_id, 'v4_' || (row_number() OVER (ORDER BY doc_id) - 1) AS id, upper(substr(lang, 1, 3)) || '_' || row_number() OVER (ORDER BY doc_id) AS short_id FROM documents")
 def p_seq_ids(spark, d):
     rows = audit.numbered(table(spark, d, "documents").select("doc_id", "lang"), "doc_id")
