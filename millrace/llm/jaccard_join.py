@@ -318,21 +318,21 @@ def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: in
     other = x.join(y, apart & may_link(percent, "x", "y") & sketches_allow(percent, *map(F.col, ("x.n", "y.n", "x.sketch", "y.sketch"))))
     distance = bits_apart(F.col("x.sketch"), F.col("y.sketch")) / (F.col("x.n") + F.col("y.n"))
     more = other.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb"), distance.alias("d"))
-    more = plausible(written(more.distinct(), "pairs-rest", folder), sets, percent, folder)
-    # Nearly all pairs that are left are links. If they are many, groups of k texts that are all alike have k * k of them:
-    # rounds of confirming each component's closest pair alone join most, and pairs in one component need no check.
+    more = written(more.distinct(), "pairs-rest", folder)
+    # A group of k texts that are all alike leaves k * k pairs. Where there are many, rounds of looking at each component's
+    # closest pair alone join most of them first; pairs that are in one component by then need no look.
     k = 0
     while k < CLOSEST_ROUNDS and more.count() > SMALL_ROWS:
         ends = more.select(F.explode(F.array("ca", "cb")).alias("c"), "d", "a", "b").groupBy("c").agg(F.min(F.struct("d", "a", "b")).alias("p"))
         ends = written(ends.select("p.a", "p.b").distinct(), f"pairs-closest-{k}", folder)
-        links = written(links.unionByName(confirmed(ends, sets, percent)), f"links-closest-{k}", folder)
+        links = written(links.unionByName(confirmed(plausible(ends, sets, percent, folder), sets, percent)), f"links-closest-{k}", folder)
         found = components(links)
         of = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))  # noqa: B023, E731
         left = more.select("a", "b", "d").join(ends, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
         left = left.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}).where("ca <> cb")
         more = written(left.select("a", "b", "ca", "cb", "d"), f"pairs-left-{k}", folder)
         k += 1
-    return links.unionByName(confirmed(more, sets, percent))
+    return links.unionByName(confirmed(plausible(more.select("a", "b"), sets, percent, folder), sets, percent))
 
 
 def labelled(placed: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
