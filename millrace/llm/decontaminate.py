@@ -19,7 +19,7 @@ tables give an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import located, near, table, written
@@ -60,6 +60,12 @@ def best_window(equal: Column, size: Column) -> Column:
     return F.array_max(F.transform(starts, lambda k: F.size(F.filter(F.slice(equal, k, size), lambda x: x))))
 
 
+def runs(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """(keys, begin, length): the runs of places that follow each other, of all rows with equal keys."""
+    numbered = rows.withColumn("__run", F.col(at) - F.row_number().over(Window.partitionBy(*keys).orderBy(at)))
+    return numbered.groupBy(*keys, "__run").agg(F.min(at).alias("begin"), F.count(F.lit(1)).cast("int").alias("length")).drop("__run")
+
+
 def aligned_overlaps(placed: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """(kept columns, __at_file, __at_row, item_id, start, window_size, matched): every alignment of a located text and an item that is an overlap."""
     known = written(item_words(items, item_col, item_text_col), "items")
@@ -70,14 +76,19 @@ def aligned_overlaps(placed: DataFrame, items: DataFrame, text_col: str, item_co
     begins = written(seeds.select(F.xxhash64(*pick).alias("begin")).distinct(), "begins")
     words = placed.select(F.xxhash64("__at_file", "__at_row").alias("place"), tokens(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     places = words.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("w") - 1))).withColumn("begin", F.xxhash64(*(F.get("w", F.col("at") + k) for k in range(len(pick)))))
-    hashes = F.array(*(seed(F.col("w"), F.col("at"), mask) for mask in [*MASKS, *(tuple(range(k)) for k in short)]))
+    hashes = F.array(*(seed(F.col("w"), F.col("at"), mask) for mask in dict.fromkeys([*MASKS, *(tuple(range(k)) for k in short)])))
     if begins.count() <= BROADCAST_SEEDS:  # all in one stage: seeds are made only where one can begin
         found = places.join(F.broadcast(begins), "begin", "left_semi").select("place", "at", F.explode(hashes).alias("seed"))
     else:  # seeds are made first, so that no shuffle carries a text's tokens
         found = places.select("place", "at", "begin", hashes.alias("seeds")).join(begins, "begin", "left_semi").select("place", "at", F.explode("seeds").alias("seed"))
     found = found.where("seed is not null")
-    hits = found.join(near(seeds.select("item_id", "item_hash", "m", "item_at", "seed"), BROADCAST_SEEDS), "seed")
-    hits = written(hits.select("place", "item_id", "item_hash", "m", (F.col("at") - F.col("item_at")).alias("offset")).distinct(), "alignments")
+    # Of n and m places with one seed side by side, n + m - 1 alignments come, not n * m: runs of places are joined.
+    found = found.join(near(seeds.select("seed").distinct(), BROADCAST_SEEDS), "seed", "left_semi")
+    there = runs(found, ["place", "seed"], "at").select("place", "seed", F.col("begin").alias("t"), F.col("length").alias("tn"))
+    here = written(runs(seeds, ["item_id", "item_hash", "m", "seed"], "item_at"), "item-runs").select("item_id", "item_hash", "m", "seed", F.col("begin").alias("k"), F.col("length").alias("kn"))
+    pairs = there.join(near(here, BROADCAST_SEEDS), "seed")
+    offsets = F.sequence(F.col("t") - F.col("k") - F.col("kn") + 1, F.col("t") - F.col("k") + F.col("tn") - 1)
+    hits = written(pairs.select("place", "item_id", "item_hash", "m", F.explode(offsets).alias("offset")).distinct(), "alignments")
     # Tokens of the texts and items that have hits.
     texts = placed.withColumn("place", F.xxhash64("__at_file", "__at_row")).join(near(hits.select("place").distinct(), BROADCAST_SEEDS), "place", "left_semi")
     texts = texts.select(*keep, "__at_file", "__at_row", "place", tokens(F.col(text_col)).alias("w"))
@@ -89,8 +100,11 @@ def aligned_overlaps(placed: DataFrame, items: DataFrame, text_col: str, item_co
     there = both.where(high - low >= size).select(*keep, "__at_file", "__at_row", "item_id", "item_hash", low.alias("start"), (low - offset).alias("item_start"), size.alias("window_size"), F.slice("w", low + 1, high - low).alias("there"))
     same_item = F.col("t.item_id").eqNullSafe(F.col("k.item_id")) & (F.col("t.item_hash") == F.col("k.item_hash"))
     full = there.alias("t").join(near(known, BROADCAST_SEEDS // WINDOW).alias("k"), same_item).select("t.*", "k.m", F.slice("k.item_tokens", F.col("item_start") + 1, F.size("there")).alias("here"))
-    checked = full.withColumn("matched", best_window(F.zip_with("there", "here", lambda a, b: a == b), F.col("window_size")))
-    least = F.when(F.col("m") < MIN_ITEM, F.col("m")).otherwise(F.ceil(F.col("window_size") * SHARE))
+    least = F.when(F.col("m") < MIN_ITEM, F.col("m")).otherwise(F.ceil(F.col("window_size") * SHARE)).cast("int")
+    checked = full.withColumn("equal", F.zip_with("there", "here", lambda a, b: a == b)).withColumn("total", F.size(F.filter("equal", lambda x: x)))
+    # Windows are looked at where the whole alignment doesn't decide.
+    matched = F.when(F.col("total") < least, F.col("total")).when(F.col("total") == F.size("equal"), F.col("window_size")).otherwise(best_window(F.col("equal"), F.col("window_size")))
+    checked = checked.withColumn("matched", matched)
     return checked.where(F.col("matched") >= least).select(*keep, "__at_file", "__at_row", "item_id", "start", "window_size", "matched")
 
 

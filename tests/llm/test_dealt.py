@@ -193,6 +193,33 @@ def test_overlaps_of_short_items(spark, monkeypatch, most):
     assert {(x.doc_id, x.item_id) for x in got} == want
 
 
+def test_repetitive_items_meet_in_runs(spark):
+    """Of n and m places with one seed, n + m - 1 alignments; the windows of the best are whole."""
+    n = 1500
+    rows = [(1, " ".join(["same"] * n), "en"), (2, " ".join(["a", "b"] * 200), "en"), (3, " ".join(["same"] * 30 + ["x"] + ["same"] * 6), "en")]
+    bench = spark.createDataFrame([(1, " ".join(["same"] * n), ""), (2, " ".join(["a", "b"] * 100), ""), (3, "same same same same same", "")], "item_id long, text string, seed string")
+    got = {(r.doc_id, r.item_id, r.start, r.window_size, r.matched) for r in decontaminate.overlaps(docs_of(spark, rows), bench).collect()}
+    assert got == {(1, 1, 0, 20, 20), (3, 1, 0, 20, 20), (2, 2, 0, 20, 20), (1, 3, 0, 5, 5), (3, 3, 0, 5, 5)}
+    places = spark.createDataFrame([(1, k) for k in (3, 4, 5, 9, 11, 12)] + [(None, 0)], "key long, at int")
+    assert plain(decontaminate.runs(places, ["key"], "at")) == [(1, 11, 2), (1, 3, 3), (1, 9, 1), (None, 0, 1)]
+
+
+def test_no_shuffle_carries_tokens(spark, monkeypatch):
+    """With nothing broadcast, what goes through exchanges on the way to alignments is numbers."""
+    plans, write = [], decontaminate.written
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+    monkeypatch.setattr(decontaminate, "written", lambda df, name: (plans.append(df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))) if name == "alignments" else None, write(df, name))[1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        decontaminate.overlaps(docs_of(spark, [(1, "a b c d e f g h", "en")]), spark.createDataFrame([(1, "a b c d e f g h", "")], "item_id long, text string, seed string")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    (plan,) = plans
+    carried = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    assert len(carried) >= 3 and not {c.split("#")[0].strip() for x in carried for c in x.split(",")} & {"w", "__text", "text"}
+
+
 # op4
 
 
