@@ -39,6 +39,8 @@ from .spm_codec import BATCH_ROWS, slices
 LIMIT = 2048
 BROADCAST = 200_000  # pre-tokens that may be broadcast
 MAX_CACHED_WORDS = 200_000  # beyond, the words that were cut are forgotten; a slice of texts adds those of a million characters
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
+MARKS = "".join(c for c in string.punctuation if c != "'")
 PROBES = ("a b", "a \n\t b", "x1 \t'tis 2", ". . 's\r\n?", "1 2 ab\n.c")
 
 
@@ -62,9 +64,19 @@ class PreTokens:
         self.added = re.compile("|".join(map(re.escape, strings))) if strings else None
         self.words: dict[str, tuple[str, ...]] = {}
         self.by_words = all(self.cut(p) == [x for w in p.split() for x in self.cut(w)] for p in PROBES)
-        # Words of ASCII letters stay whole, in lower case or as they are; asked of all pairs of letters, so that a rule for changes of case would show.
-        pairs = ["".join(p) for p in itertools.product(string.ascii_letters, repeat=2)]
-        self.letters = next((f for f in (str.lower, str) if self.by_words and self.cut(" ".join(pairs)) == [f(p) for p in pairs]), None)
+        self.letters, self.suffixes = self.plain_letters() if self.by_words else {}, {"": ()}
+
+    def plain_letters(self) -> dict[int, str]:
+        """What letters become, if words of them stay whole with or without marks behind them: then those need no library.
+
+        It is asked about every letter, every pair of letters and every letter with every mark; without that answer, none is.
+        """
+        found = {c: x[0] for c in LETTERS if len(x := self.cut(c)) == 1}
+        pairs = list(itertools.product(found, repeat=2))
+        marked = list(itertools.product(found, MARKS))
+        whole = self.cut(" ".join(map("".join, pairs))) == [found[a] + found[b] for a, b in pairs]
+        apart = self.cut(" ".join(map("".join, marked))) == [x for a, m in marked for x in (found[a], *self.cut(m))]
+        return {ord(c): x for c, x in found.items()} if whole and apart else {}
 
     def cut(self, text: str) -> list[str]:
         """The pre-tokens of a text without added tokens."""
@@ -75,12 +87,19 @@ class PreTokens:
         return [x for x, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer else [text]
 
     def learn(self, words: set[str]) -> None:
-        """Cut words that are new: those of letters by themselves, the others in one call, if they stay apart in it."""
+        """Cut words that are new: those of letters and marks by themselves, the others in one call, if they stay apart in it."""
         rest = []
         self.words[""] = ()
+        letters, alphabet = self.letters, "".join(map(chr, self.letters))
         for w in words - {""}:
-            if self.letters and w.isascii() and w.isalpha():
-                self.words[w] = (self.letters(w),)
+            stem = w.rstrip(MARKS) if letters else ""
+            if stem and not stem.strip(alphabet):
+                marks = w[len(stem) :]
+                if marks not in self.suffixes:
+                    if len(self.suffixes) > MAX_CACHED_WORDS:
+                        self.suffixes = {"": ()}
+                    self.suffixes[marks] = tuple(self.cut(marks))
+                self.words[w] = (stem.translate(letters), *self.suffixes[marks])
             elif len(w.split()) != 1:  # white space of another kind inside
                 self.words[w] = tuple(self.cut(w))
             else:
