@@ -292,13 +292,15 @@ def spec_rows(specs: DataFrame, pool: DataFrame, seed: str, regions: dict[str, d
     pool.write.parquet(path)  # every round reads it
     pool = specs.sparkSession.read.schema(pool.schema).parquet(path)
 
+    # Expressions are the same in every round.
+    key = (F.lit(seed), *(F.col(k) for k in group), F.col("attempt"))
+    pattern = F.element_at("patterns", (F.floor(draw(*key, "pattern") * F.size("patterns")) + 1).cast("int"))
+    in_slang = regional_slang(F.col("text"), pick(list(regions), *key, "region"), regions, *key)
+    in_style, slipped = in_own_style(F.col("text"), styles, *key), slips(F.col("text"), neighbours, *key)
+
     def attempts(rows: DataFrame) -> DataFrame:
-        key = (F.lit(seed), *(F.col(k) for k in group), F.col("attempt"))
-        pattern = F.element_at("patterns", (F.floor(draw(*key, "pattern") * F.size("patterns")) + 1).cast("int"))
         filled = fill_slots(rows.select(*group, "attempt", pattern.alias("template")), pool, seed, "template", *group, "attempt", reject=True)
-        text = regional_slang(F.col("text"), pick(list(regions), *key, "region"), regions, *key)
-        filled = filled.withColumn("text", text).withColumn("text", in_own_style(F.col("text"), styles, *key))
-        return filled.withColumn("text", slips(F.col("text"), neighbours, *key)).select(*group, "attempt", "text", "slots")
+        return filled.withColumn("text", in_slang).withColumn("text", in_style).withColumn("text", slipped).select(*group, "attempt", "text", "slots")
 
     return sampled_in_rounds(specs, attempts, group, cap)[0]
 
