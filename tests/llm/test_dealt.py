@@ -792,6 +792,6 @@ def test_components_of_long_chains(spark):
 def test_registry(spark, data):
     from millrace.llm import registry
 
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 14))
     assert set(registry.ORACLES) <= set(registry.QUERIES)
     json.dumps(registry.ORACLES)
