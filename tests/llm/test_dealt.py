@@ -273,6 +273,18 @@ def test_quality_reads_whole_texts():
 # op5
 
 
+@pytest.mark.parametrize("labels", [126, 3000, 100_000])
+def test_long_hosts_of_addresses(spark, labels):
+    """However many labels a host has, the text goes through; its address counts as far as 127 of them can be a host."""
+    host = "a." * labels
+    rows = [(1, f"x@{host}", "en"), (2, f"x@{host}com", "en"), (3, f"jo@site.org x@{host} jo@site.org", "en")]
+    got = {r.doc_id: r for r in pii.pseudonymise(docs_of(spark, rows), "k").collect()}
+    assert got[1].text == f"x@{host}" and got[1].n_email == 0 and got[3].n_email == 2
+    assert (got[2].n_email, got[2].text != f"x@{host}com") == ((1, True) if labels == 126 else (0, False))
+    first, _, last = got[3].text.split(" ")
+    assert first == last != "jo@site.org"
+
+
 def test_pseudonyms(spark):
     values = {"card": ["4111 1111 1111 1111", "4111111111111111", "5500-0000-0000-0004", "3782 822463 10005"], "phone": ["+1 (366) 555-9807", "+13665559807", "(212) 555-0147", "+49 30 1234567"], "ipv4": ["8.8.8.8", "192.168.0.255"], "ssn": ["123-45-6789"], "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"], "date": ["2024-02-29", "29/02/2024", "29.02.2024", "12/31/1999"], "email": ["Jo.Doe+x@Mail7.example.com"]}
     bad = ["4111111111111112", "999.1.1.1", "000-12-3456", "2023-02-29", "DE88370400440532013000", "1.2.3.4.5", "ab@", "v1.2.3"]
