@@ -52,6 +52,13 @@ def test_url_parts_and_rules(spark):
     assert scores[0].url_score > 0.5 > scores[1].url_score
 
 
+def test_url_query_has_the_rules_of_its_contract(spark, tmp_path):
+    urls = {"http://a.com/en/1": ("com/en/", "block"), "http://example.com/en/1": ("com/en/", "block"), "http://www.example.com/en/71": ("example.com/en/7", "allow"), "http://x.net/de/8": ("net/de/", "allow"), "http://example.net/de/1": ("net/de/", "allow"),
+            "http://example.net/de/8": ("example.net/de/8", "block"), "http://a.EXAMPLE.net/de/80?q": ("example.net/de/8", "block"), "http://b.org/es/": ("org/es/", "block")}
+    spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.page_id: (r.rule, r.verdict) for r in url_filter.op1_url_filters(spark, str(tmp_path)).collect()} == dict(enumerate(urls.values()))
+
+
 def plain_features(url):
     """The lexical features of a URL with an ordinary site name, from the definition."""
     from math import log2
