@@ -43,11 +43,22 @@ def uncovered_intents(rows: DataFrame, specs: DataFrame) -> DataFrame:
     return specs.select("intent").distinct().join(rows.select("intent").distinct(), "intent", "left_anti")
 
 
+def digest(text: Column | str) -> Column:
+    """The SHA-256, 32 bytes, of a text in lower case; null of null. Texts are compared by it, so that no shuffle has to carry them."""
+    return F.unhex(F.sha2(F.lower(text), 256))
+
+
+def clashes(rows: DataFrame) -> DataFrame:
+    """(digest, n_labels, labels): digests of utterances under more than one label pair."""
+    pairs = rows.select(digest("utterance").alias("digest"), F.concat_ws("|", "intent", "action").alias("label")).distinct()
+    return pairs.groupBy("digest").agg(F.count(F.lit(1)).alias("n_labels"), F.array_join(F.array_sort(F.collect_list("label")), ",").alias("labels")).where("n_labels > 1")
+
+
 def conflicts(rows: DataFrame) -> DataFrame:
     """(utterance, n_labels, labels): equal utterances, apart from case, under more than one label pair."""
-    label = F.concat_ws("|", "intent", "action")
-    pairs = rows.select(F.lower("utterance").alias("utterance"), label.alias("label")).distinct()
-    return pairs.groupBy("utterance").agg(F.count(F.lit(1)).alias("n_labels"), F.array_join(F.array_sort(F.collect_list("label")), ",").alias("labels")).where("n_labels > 1")
+    texts = rows.select(F.lower("utterance").alias("utterance"), digest("utterance").alias("of"))
+    found = texts.join(small(clashes(rows)), F.col("of").eqNullSafe(F.col("digest")))
+    return found.groupBy("digest", "n_labels", "labels").agg(F.first("utterance").alias("utterance")).select("utterance", "n_labels", "labels")
 
 
 def diversity(rows: DataFrame, minimum: DataFrame, combos: DataFrame | None = None) -> DataFrame:
@@ -55,7 +66,7 @@ def diversity(rows: DataFrame, minimum: DataFrame, combos: DataFrame | None = No
 
     Pairs without any row are not looked at, unless the supported `combos` are given.
     """
-    found = rows.select("intent", "action", F.lower("utterance").alias("u")).distinct().groupBy("intent", "action").agg(F.count(F.lit(1)).alias("n"))
+    found = rows.select("intent", "action", digest("utterance").alias("u")).distinct().groupBy("intent", "action").agg(F.count(F.lit(1)).alias("n"))
     if combos is not None:
         found = combos.join(found, ["intent", "action"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     least = F.coalesce("least", F.lit(0))
@@ -66,7 +77,7 @@ def report(rows: DataFrame, specs: DataFrame, combos: DataFrame, minimum: DataFr
     """(check, message), distinct: the messages of all checks; of conflicts the first few and one line for the rest."""
     say = lambda name, df, text: df.select(F.lit(name).alias("check"), text.alias("message"))
     found = conflicts(rows)
-    total = found.agg(F.count(F.lit(1)).alias("total"))
+    total = clashes(rows).agg(F.count(F.lit(1)).alias("total"))
     first = found.orderBy("utterance").limit(MOST_LISTED)
     text = F.concat(F.lit("conflict: "), F.md5("utterance"), F.lit(" -> "), F.col("labels"))
     over = total.where(F.col("total") > MOST_LISTED).select(F.lit("conflict").alias("check"), F.concat(F.lit("and "), (F.col("total") - MOST_LISTED).cast("string"), F.lit(" more of "), F.col("total").cast("string")).alias("message"))
@@ -111,7 +122,7 @@ def publish(rows: DataFrame, specs: DataFrame, combos: DataFrame, minimum: DataF
     found = {"unknown": counts["unknown"], "combination": counts["combination"], "coverage": specs.select("intent").distinct().count() - counts["met"], "conflict": 0, "diversity": 0}
     if not any(found.values()):
         written = spark.read.schema(rows.schema).parquet(beside)
-        found |= {"conflict": conflicts(written).count(), "diversity": diversity(written, minimum).count()}
+        found |= {"conflict": clashes(written).count(), "diversity": diversity(written, minimum).count()}
     replace_folder(spark, beside, None if any(found.values()) else path)
     return found
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import draw, tokens_space
 from ..operators import audit, metrics, quality, sequence
-from ..sources.io import scratch, small
+from ..sources.io import replace_folder, scratch, small
 from ..streaming import resume
 from .common import SPECS_SQL, draw_sql, minimum, specs, table, utterances
 
@@ -102,14 +102,20 @@ CLEAN_SQL = f"WITH {SPECS_SQL}, k AS (SELECT * FROM u WHERE intent IS NOT NULL A
 @query("v_gate_publish", CLEAN_SQL)
 def v_gate_publish(spark, d):
     """What a table holds after rows without faults were published to it and rows with one were refused."""
-    rows = utterances(spark, d).where("intent is not null and action is not null and utterance is not null").withColumn("__u", F.lower("utterance"))
-    clashing = quality.conflicts(rows).select(F.col("utterance").alias("__u"))
-    rows = rows.join(clashing, "__u", "left_anti").drop("__u")
+    rows = utterances(spark, d).where("intent is not null and action is not null and utterance is not null").withColumn("__u", quality.digest("utterance"))
+    # Both tables are asked for again and again below.
+    clashing, labels = scratch(spark, "clashing"), scratch(spark, "declared")
+    quality.clashes(rows).select(F.col("digest").alias("__u")).write.parquet(clashing)
+    rows = rows.join(small(spark.read.schema("__u binary").parquet(clashing)), "__u", "left_anti").drop("__u")
     declared = rows.groupBy("intent").agg(F.collect_set("action").alias("supported_actions"))
+    declared.write.parquet(labels)
+    declared = spark.read.schema(declared.schema).parquet(labels)
     path, combos, least = scratch(spark, "published"), quality.valid_combos(declared), declared.select("intent", F.lit(1).alias("least"))
     first = quality.publish(rows, declared, combos, least, path)
     bad = rows.limit(1).withColumn("intent", F.lit("nobody declared this"))
     second = quality.publish(rows.unionByName(bad), declared, combos, least, path)
+    for done in (clashing, labels):
+        replace_folder(spark, done, None)
     if any(first.values()) or not any(second.values()):
         raise ValueError(f"the gate found {first}, then {second}")
     return spark.read.schema(rows.schema).parquet(path).select("doc_id", "intent", "action")

@@ -1,5 +1,6 @@
 """Edges that the data of the catalogue's queries doesn't reach."""
 
+import hashlib
 import json
 import os
 import shutil
@@ -13,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from millrace.functions import text as T
 from millrace.operators import audit, calibrate, generate, metrics, nlu, quality, sequence
+from millrace.plans import quality_queries
 from millrace.sources import io
 from millrace.streaming import resume
 
@@ -249,3 +251,22 @@ def test_library_without_the_training_data_operators(tmp_path):
                 (tmp_path / name).unlink(missing_ok=True)
         names = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": str(tmp_path)}, check=True).stdout.split()
         assert len(names) > 90 and not {n for n in names if n.startswith("op") or n == "pipeline"}
+
+
+def test_the_gate_shuffles_no_texts(spark, tmp_path):
+    filler = lambda k: "".join(hashlib.sha256(f"{k} {i}".encode()).hexdigest() for i in range(150))
+    rows = [(k, f"{'Ab' if k % 2 else 'aB'} {filler(k - k % 2 if k < 20 else k)}", "en" if k % 4 != 1 else "de", "src1") for k in range(200)] + [(200, None, "en", "src1"), (201, None, "de", "src1"), (202, "x", None, "src1")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    context = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        context.listenerBus().waitUntilEmpty()
+        return context.statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+    before = shuffled()
+    got = quality_queries.v_gate_publish(spark, str(tmp_path))
+    # Below 20 every second pair of texts is the same but for case, under two labels.
+    assert sorted(r.doc_id for r in got.collect()) == [k for k in range(200) if k >= 20 or k % 4 > 1]
+    assert shuffled() - before < sum(len(r[1] or "") for r in rows) / 2
+    want = {(rows[k][1].lower(), 2, "de|src1,en|src1") for k in range(0, 20, 4)} | {(None, 2, "de|src1,en|src1")}
+    assert {tuple(r) for r in quality.conflicts(spark.createDataFrame(rows, "doc_id long, utterance string, intent string, action string")).collect()} == want
