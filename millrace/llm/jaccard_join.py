@@ -11,7 +11,8 @@
 4. Heavy sets: the inverted lists of their first elements, as many as a link can't miss, are scanned. The order is
    rarest first by counts of a fixed number of hash buckets, so elements that many sets have come last. First each set
    is checked against its list's hub; then pairs of one list that are still in different components and whose sizes,
-   positions and parity sketches allow a link. A pair in one component needs no check.
+   positions and parity sketches allow a link. A pair in one component needs no check. Sets too large for a small sketch
+   are listed by a sixth more elements, and a pair of them has to meet in as many more than one.
 The boundary is the size up to which the subsets of a set are fewer than the elements that its scan would cost. Pairs
 are dropped only by bounds that no link can break: sizes, positions in the common order, and the bits in which two
 parity sketches differ, which are at most the elements in which the sets differ: first a small sketch that travels with the
@@ -36,6 +37,7 @@ from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,9 +131,10 @@ def wide_bits(n: int) -> int:
 
 
 def share_of(n: int, percent: int) -> float:
-    """The share of the hash space counted for a set of n elements: what a link can miss, and twice the deviation of a random share."""
+    """The share of the hash space counted for a set of n elements: half as much again as a link can miss, so that sets go whose
+    elements are shared by chance up to a third, and twice the deviation of a random share."""
     miss = (100 - percent) / 100
-    return min(1.0, miss + 2 * (miss * (1 - miss) / max(n, 1)) ** 0.5)
+    return min(1.0, 1.5 * miss + 2 * (miss * (1 - miss) / max(n, 1)) ** 0.5)
 
 
 def lists_of(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -186,6 +189,23 @@ def most_left_out(n: int, percent: int) -> int:
     return n - ceil(n * percent / 100 - 1e-9)
 
 
+def is_full(n: int | Column, percent: int) -> bool | Column:
+    """Whether the small sketches of sets of size n can't tell them apart: linked ones may differ in about as many bits as any two do."""
+    return 2 * n * (100 - percent) > 250 * (100 + percent)
+
+
+def first_places(n: int, percent: int) -> int:
+    """How many of a set's first elements are listed: one more than a link can miss, and where small sketches are full a sixth more."""
+    miss = most_left_out(n, percent)
+    return min(n, miss + 1 + (miss // 6 if is_full(n, percent) else 0))
+
+
+def met_at_least(n: Column, percent: int) -> Column:
+    """How many of the listed elements of a set of size n a link can't miss."""
+    miss = slack(n, percent)
+    return F.least(n, miss + 1 + F.when(is_full(n, percent), F.floor(miss / 6)).otherwise(F.lit(0))) - miss
+
+
 def subsets(n: int, percent: int) -> int:
     return sum(comb(n, a) for a in range(most_left_out(n, percent) + 1))
 
@@ -232,7 +252,8 @@ def wide_bits_apart(sa: Column, sb: Column) -> Column:
 def plausible(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
     """The pairs (a, b, ...) whose wide sketches differ in no more bits than linked sets can in elements: few that don't link are left."""
     side = lambda x: sets.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    left = side("a").join(near(pairs, SMALL_ROWS), "a")
+    both = left.join(side("b").join(near(pairs.select("b").distinct(), SMALL_ROWS), "b", "left_semi"), "b")
     allowed = wide_bits_apart(F.col("wide_a"), F.col("wide_b")) * (100 + percent) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
     return written(both.where(allowed).select(*pairs.columns), f"candidates-{uuid.uuid4().hex}", folder)
 
@@ -253,12 +274,21 @@ def bucket_counts(sets: DataFrame) -> np.ndarray:
     buckets = BUCKETS_LEAST
     while buckets < BUCKETS_MOST and buckets * IN_BUCKET < total:
         buckets *= 2
-    bucket = F.col("element").bitwiseAND(buckets - 1).cast("int")
-    rows = sets.select(F.explode("elements").alias("element")).groupBy(bucket.alias("bucket")).count()
-    packed = rows.groupBy(F.floor(F.col("bucket") / PACKED).alias("pack")).agg(F.collect_list("bucket").alias("at"), F.collect_list("count").alias("n"))
+
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(buckets, np.int64)
+        for batch in batches:
+            found = pc.list_flatten(batch.column(0)).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(buckets - 1)
+            n += np.bincount(found.astype(np.int64), minlength=buckets)
+        if n.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets // PACKED, dtype=np.int32)), lists_of(list(n.reshape(-1, PACKED)))], names=["pack", "n"])
+
+    # A pack has as many rows as there are partitions.
+    rows = sets.select("elements").mapInArrow(of_partition, "pack int, n array<long>")
+    packed = rows.groupBy("pack").agg(F.aggregate(F.collect_list("n"), F.array_repeat(F.lit(0).cast("bigint"), PACKED), lambda x, y: F.zip_with(x, y, lambda a, b: a + b)).alias("n"))
     counts = np.zeros(buckets, np.int32)
     for r in packed.toLocalIterator():
-        counts[np.array(r["at"], np.int64)] = np.minimum(np.array(r["n"], np.int64), (1 << 31) - 1)
+        counts[r["pack"] * PACKED : (r["pack"] + 1) * PACKED] = np.minimum(np.array(r["n"], np.int64), (1 << 31) - 1)
     return counts
 
 
@@ -276,7 +306,7 @@ def heavy_lists(sets: DataFrame, limit: int, percent: int) -> DataFrame:
             found, rows, sizes, places = [np.zeros(0, np.uint64)], [], [], []
             for k in range(batch.num_rows):
                 s = values[offsets[k] : offsets[k + 1]]
-                p = most_left_out(len(s), percent) + 1
+                p = first_places(len(s), percent)
                 order = np.lexsort((s, count[(s & np.uint64(len(count) - 1)).astype(np.int64)]))[:p]
                 found.append(s[order])
                 rows += [k] * p
@@ -297,28 +327,37 @@ def may_link(percent: int, a: str, b: str) -> Column:
 
 def heavy_links(sets: DataFrame, lists: DataFrame, links: DataFrame, percent: int, folder: str) -> DataFrame:
     """All links, those given and those of heavy sets, as far as components need them."""
-    counted = lists.groupBy("element").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    shared = written(lists.join(written(counted, "list-lengths", folder), "element").drop("k"), "shared", folder)
+    # Both sides of each join by element come out of one exchange: so the groups ask for the same columns as the rows, none null.
+    present = lambda df: df.where(" and ".join(f"{c} is not null" for c in df.columns))
+    placed, one = present(lists).repartition("element"), F.struct("id", "n", "at")
+    several = placed.groupBy("element").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low <> high").select("element")
+    shared = written(placed.join(several, "element"), "shared", folder)
     # The set that has most of its elements in common with others is its lists' hub.
     known = shared.groupBy("id").agg(F.count(F.lit(1)).alias("known"))
     ranked = written(shared.join(written(known, "known", folder), "id").withColumn("u", F.col("n") - F.col("known")), "ranked", folder)
-    hubs = written(ranked.groupBy("element").agg(F.min(F.struct("u", "n", "id", "at")).alias("hub")), "hubs", folder)
-    h = hubs.select("element", "hub.*").alias("h")
-    first = ranked.alias("m").join(h, F.col("m.element") == F.col("h.element")).where((F.col("m.id") != F.col("h.id")) & may_link(percent, "m", "h"))
-    pairs = first.select(F.least("m.id", "h.id").alias("a"), F.greatest("m.id", "h.id").alias("b")).distinct()
+    placed = present(ranked.select("element", "id", "n", "at", "u")).repartition("element")
+    hubs = placed.groupBy("element").agg(F.min(F.struct("u", "n", "id", "at")).alias("h"))
+    first = placed.join(hubs, "element").select(F.struct("id", "n", "at", "u").alias("m"), "h").where((F.col("m.id") != F.col("h.id")) & (F.col("m.u") >= F.col("h.u")) & may_link(percent, "m", "h"))
+    # Of two sets always the same one is the hub, so a pair comes in one order; hubs, which are few, are `b`.
+    pairs = first.select(F.col("m.id").alias("a"), F.col("h.id").alias("b")).distinct()
     pairs = plausible(written(pairs, "pairs-hubs", folder), sets, percent, folder)
     links = written(links.unionByName(confirmed(pairs, sets, percent)), "links-hubs", folder)
     # Lists whose sets are all in one component are done.
     named = written(ranked.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id")), "lists", folder)
-    open_ = named.groupBy("element").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("element")
-    rest = named.join(written(open_, "open-lists", folder), "element").join(sets.select("id", "sketch"), "id")
+    placed, one = present(named.select("element", "id", "n", "at", "component")).repartition("element"), F.struct("component", "id", "n", "at")
+    open_ = placed.groupBy("element").agg(F.min(one).alias("low"), F.max(one).alias("high")).where("low.component <> high.component").select("element")
+    small = sets.select("id", F.when(~is_full(F.col("n_shingles"), percent), F.col("sketch")).alias("sketch"))
+    rest = placed.join(open_, "element").join(small, "id")
     rest = written(rest.select("element", "id", "n", "at", "component", "sketch"), "lists-open", folder)
     x, y = rest.alias("x"), rest.alias("y")
     apart = (F.col("x.element") == F.col("y.element")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-    other = x.join(y, apart & may_link(percent, "x", "y") & sketches_allow(percent, *map(F.col, ("x.n", "y.n", "x.sketch", "y.sketch"))))
-    distance = bits_apart(F.col("x.sketch"), F.col("y.sketch")) / (F.col("x.n") + F.col("y.n"))
-    more = other.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb"), distance.alias("d"))
-    more = written(more.distinct(), "pairs-rest", folder)
+    other = x.join(y, apart & may_link(percent, "x", "y") & F.coalesce(sketches_allow(percent, *map(F.col, ("x.n", "y.n", "x.sketch", "y.sketch"))), F.lit(True)))
+    distance = F.coalesce(bits_apart(F.col("x.sketch"), F.col("y.sketch")) / (F.col("x.n") + F.col("y.n")), F.lit(1.0))
+    enough = F.least(*(met_at_least(F.col(x), percent) for x in ("x.n", "y.n")))
+    more = other.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb"), distance.alias("d"), enough.alias("enough"))
+    # A pair meets in every listed element that both sets have, since all of its lists are open.
+    met = more.groupBy(*more.columns).agg(F.count(F.lit(1)).alias("met")).where("met >= enough").drop("met", "enough")
+    more = written(met, "pairs-rest", folder)
     # A group of k texts that are all alike leaves k * k pairs. Where there are many, rounds of looking at each component's
     # closest pair alone join most of them first; pairs that are in one component by then need no look.
     k = 0

@@ -780,6 +780,31 @@ def test_jaccard_join_tells_rows_apart(spark, monkeypatch, most):
     assert jaccard_join.keep_one(docs_of(spark, [(None, "a b c d", ""), (None, "a b c d", ""), (None, "", "")]), 3, 90).count() == 2
 
 
+def test_jaccard_join_drops_sets_that_share_words_by_chance(spark, monkeypatch):
+    r, counted, lists = random.Random(5), [], jaccard_join.heavy_lists
+    monkeypatch.setattr(jaccard_join, "heavy_lists", lambda sets, *a: counted.append(sets.count()) or lists(sets, *a))
+    rows = [(i, " ".join([f"u{i}x{j}" for j in range(450)] + [f"c{j}" for j in r.sample(range(300), 150)]), "") for i in range(40)]
+    rows += [(100, rows[7][1] + " more", "")]
+    got = jaccard_join.jaccard_components(docs_of(spark, rows), 1, 90)
+    assert plain(got) == brute_components(rows, 1, 90)
+    assert counted == [2]
+
+
+def test_jaccard_join_of_sets_too_large_for_small_sketches(spark):
+    r, rows = random.Random(6), []
+    assert [jaccard_join.is_full(n, 90) for n in (2375, 2376)] == [False, True]
+    for group in range(4):
+        base = [f"g{group}x{j}" for j in range((2300, 2376, 2600, 2900)[group])]
+        for k in range(8):
+            w = list(base)
+            for j in r.sample(range(len(w)), r.randrange(len(w) // 60, len(w) // 28)):
+                w[j] = f"c{r.randrange(4000)}"
+            rows.append((100 * group + k, " ".join(w[: len(w) - r.randrange(40)]), ""))
+    want = brute_components(rows, 1, 90)
+    assert 4 < len({c for _, _, c in want}) < len(rows)
+    assert plain(jaccard_join.jaccard_components(docs_of(spark, rows), 1, 90)) == want
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(docs_of(spark, ODD).limit(0)).count() == 0
     assert plain(jaccard_join.jaccard_components(docs_of(spark, [(1, None, ""), (2, "", "")]))) == [(1, 0, 1), (2, 0, 2)]
